@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from replyloom.domain import (
     INTENTS, RICH_DEFAULTS, SECONDARY_INTENTS, TARGET_TYPES, URGENCIES,
 )
+from replyloom.functions.settle import settle
 from replyloom.functions.text import JSON_WHITESPACE, in_domain, normalize_reply, strip
 
 _STRICT = {"allowSingleQuotes": "false"}
@@ -45,11 +46,10 @@ def with_object(df: DataFrame, raw: str | Column, fields: str, out: str, when=No
     if when is not None:
         items = F.when(when, items)
     tmp = f"_{out}_items"
-    return (
-        df.withColumn(tmp, items)
-        .withColumn(out, F.when(_whole(F.col(tmp)), F.get(F.col(tmp), F.lit(0)).dropFields("tail_mark")))
-        .drop(tmp)
-    )
+    names = [f.split(":")[0] for f in fields.split(",")]
+    first = F.get(F.col(tmp), F.lit(0))
+    found = F.when(_whole(F.col(tmp)), F.struct(*[first[n].alias(n) for n in names]))
+    return settle(df.withColumn(tmp, items), **{out: found}).drop(tmp)
 
 
 def _is_json_boolean(raw: Column) -> Column:
@@ -113,12 +113,7 @@ def with_reply(
         label = F.when((how != "bad") & in_domain(name, classes), name)
     else:
         label = F.when(how == "bad", F.lit("")).when(how.isNotNull(), normalize_reply(name))
-    return (
-        df.withColumn("label", label)
-        .withColumn("confidence", value)
-        .withColumn("parse_error", how == "bad")
-        .drop("_obj", "_how")
-    )
+    return settle(df, label=label, confidence=value, parse_error=how == "bad").drop("_obj", "_how")
 
 
 def enum_or_default(c: Column, allowed, default: str) -> Column:

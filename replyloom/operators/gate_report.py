@@ -111,10 +111,9 @@ def gated_vs_baseline(gated: DataFrame, baseline: DataFrame) -> DataFrame:
         F.count_if(_ok()).alias("gated_served"),
         F.count_if(_ok() & _hit()).alias("_right"),
     )
-    base = baseline.agg(F.max("accuracy").alias("baseline_accuracy"))
-    return one.join(F.broadcast(base)).select(
+    return one.select(
         "baseline_served",
-        "baseline_accuracy",
+        baseline.agg(F.max("accuracy")).scalar().alias("baseline_accuracy"),
         "gated_served",
         half_even(ratio(F.col("_right"), F.col("gated_served"))).alias("gated_accuracy"),
         (F.col("baseline_served") - F.col("gated_served")).alias("flagged"),
@@ -169,10 +168,8 @@ def spearman(df: DataFrame, value: str, hit: Column, steps: int = 256) -> DataFr
     )
     marks = hist.agg(
         F.percentile_approx("v", [i / steps for i in range(1, steps)], steps * 40).alias("marks")
-    )
-    ranged = hist.join(F.broadcast(marks)).select(
-        "v", "c", "p", F.size(F.filter("marks", lambda m: m < F.col("v"))).alias("b")
-    )
+    ).scalar()
+    ranged = hist.select("v", "c", "p", F.size(F.filter(marks, lambda m: m < F.col("v"))).alias("b"))
     inside = W.partitionBy("b").orderBy("v")
     local = ranged.withColumn("r", F.sum("c").over(inside) - F.col("c") + (F.col("c") + 1) / F.lit(2.0))
     per_range = local.groupBy("b").agg(

@@ -167,19 +167,20 @@ def release_gate(
         ).alias("worst_class"),
         sum((F.count_if(F.col("final_label") == c) > 0).cast("int") for c in classes).alias("n_present"),
     )
-    b = base.agg(share(F.col("correct")).alias("base_accuracy"))
-    st = stability.select(F.col("total").alias("_t"), F.col("same").alias("_s"))
+    base_accuracy = base.agg(share(F.col("correct"))).scalar()
+    stable = stability.agg(F.bool_and(F.col("total") == F.col("same"))).scalar()
     checks = {
         "accuracy_ok": half_even(F.col("accuracy") - F.col("base_accuracy"), 9) >= gain,
         "classes_ok": F.col("worst_class") >= class_floor,
         "format_ok": F.col("strict") >= 1.0,
-        "stable_ok": F.col("_t") == F.col("_s"),
+        "stable_ok": F.col("stable"),
         "coverage_ok": F.col("n_present") >= min_classes,
     }
     verdict = F.lit(True)
     for c in checks.values():
         verdict = verdict & F.coalesce(c, F.lit(False))
-    return cand.join(F.broadcast(b)).join(F.broadcast(st)).select(
+    cand = cand.withColumns({"base_accuracy": base_accuracy, "stable": stable})
+    return cand.select(
         half_even(F.col("accuracy")).alias("accuracy"),
         half_even(F.col("base_accuracy")).alias("base_accuracy"),
         half_even(F.col("worst_class")).alias("worst_class"),

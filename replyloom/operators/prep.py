@@ -113,8 +113,8 @@ def dataset_rules(pairs: DataFrame, min_rows: int = 50, min_real: float = 0.2, c
 def balance_topup(pairs: DataFrame, classes=INTENTS) -> DataFrame:
     """How many rows each class lacks to reach the largest class."""
     dist = class_distribution(pairs, classes=classes)
-    top = dist.agg(F.max("n").alias("largest"))
-    return dist.join(F.broadcast(top)).select("label", "n", (F.col("largest") - F.col("n")).alias("missing"))
+    largest = dist.agg(F.max("n")).scalar()
+    return dist.select("label", "n", (largest - F.col("n")).alias("missing"))
 
 
 def class_support(df: DataFrame, label: str = "label", at_least: int = 5, classes=INTENTS) -> DataFrame:

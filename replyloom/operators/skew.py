@@ -2,26 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def lookup_counted(
-    rows: DataFrame, groups: DataFrame, keys: list[str], count_col: str, parts: int = 1000
+    rows: DataFrame, groups: DataFrame, keys: list[str], count_col: str, unique: Column, parts: int = 1000
 ) -> DataFrame:
     """Inner join of ``rows`` to ``groups``, the latter one row per key, where
-    ``count_col`` says how many of the rows carry the key.
+    ``count_col`` says how many of the rows carry the key and ``unique`` differs
+    from row to row.
 
     Keys with more than 1/``parts`` of all counted rows cannot number more than
-    ``parts``, so that side is broadcast with a bound that does not depend on the
-    data and its rows never shuffle. What remains is spread by construction and
-    takes an ordinary shuffle join.
+    ``parts``, so they are broadcast under a bound that does not depend on the
+    data. Rows settled that way join the remaining keys under their own ``unique``
+    value: they match nothing and spread evenly instead of following their hot key.
     """
-    total = groups.agg(F.sum(count_col).alias("_total"))
-    marked = groups.join(F.broadcast(total)).withColumn(
-        "_hot", F.col(count_col) * F.lit(parts) > F.col("_total")
+    facts = [c for c in groups.columns if c not in keys]
+    total = groups.agg(F.sum(count_col)).scalar()
+    is_hot = F.col(count_col) * F.lit(parts) > total
+    pack = F.struct(*facts)
+    hot = groups.filter(is_hot).select(*keys, pack.alias("_hot"))
+    key = F.concat_ws("\x01", *[F.col(k).cast("string") for k in keys])
+    cold = groups.filter(~is_hot).select(key.alias("_key"), pack.alias("_cold"))
+    spread = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "_key", F.when(F.col("_hot").isNull(), key).otherwise(F.concat(F.lit("\x02"), unique.cast("string")))
+    )
+    found = F.coalesce("_hot", "_cold")
+    return (
+        spread.join(cold, "_key", "left")
+        .withColumn("_found", found)
+        .filter(F.col("_found").isNotNull())
+        .select(*rows.columns, "_found.*")
     )
-    hot = F.broadcast(marked.filter("_hot").drop("_hot", "_total"))
-    cold = marked.filter(~F.col("_hot")).drop("_hot", "_total")
-    in_hot = rows.join(hot, keys, "inner")
-    rest = rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, "inner")
-    return in_hot.unionByName(rest)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from replyloom.domain import INTENTS, ROLES, USER_LENGTH
 from replyloom.functions.replies import is_text_field, with_object
+from replyloom.functions.settle import settle
 from replyloom.functions.text import JSON_WHITESPACE, fingerprint, in_domain, strip
 from replyloom.operators.skew import lookup_counted
 
@@ -92,10 +93,9 @@ def validate_lines(
             F.when(F.length(user) > high, _error("too_long", F.length(user))),
         )
     )
-    return (
-        df.withColumn("errors", F.when(F.size("_shape") > 0, F.col("_shape")).otherwise(content_checks))
-        .withColumn("user", F.when(F.size("_shape") == 0, user))
-        .drop("_doc", "_items", "_msgs", "_shape")
+    errors = F.when(F.size("_shape") > 0, F.col("_shape")).otherwise(content_checks)
+    return settle(df, errors=errors, user=F.when(F.size("_shape") == 0, user)).drop(
+        "_doc", "_items", "_msgs", "_shape"
     )
 
 
@@ -124,7 +124,7 @@ def duplicate_users(validated: DataFrame, file: str = "file", line_no: str = "li
     clean = _clean(validated, file, line_no)
     repeated = _groups(clean).filter(F.col("_copies") > 1)
     return (
-        lookup_counted(clean, repeated, ["file", "_fp"], "_copies")
+        lookup_counted(clean, repeated, ["file", "_fp"], "_copies", F.col("line_no"))
         .filter(F.col("line_no") > F.col("first_line"))
         .select("file", "line_no", "first_line")
     )

@@ -1,4 +1,4 @@
 """Registered queries by family."""
 
-from replyloom.plans import prep_queries  # noqa: F401
+from replyloom.plans import prep_queries, reply_queries  # noqa: F401
 from replyloom.plans.registry import CHECKS, QUERIES  # noqa: F401
