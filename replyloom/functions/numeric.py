@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 from replyloom.domain import PRICES
@@ -48,6 +50,16 @@ def call_cost(model: Column, tokens_in: Column, tokens_out: Column, prices=PRICE
     ) * _per_token(model, 1, prices)
 
 
+def nanos(usd: Column) -> Column:
+    """Whole billionths of a dollar: sums of them are exact in any order, and list
+    prices per million tokens with three decimals lose nothing."""
+    return F.rint(usd * F.lit(1e9)).cast("bigint")
+
+
+def usd_from_nanos(total: Column, digits: int = 6) -> Column:
+    return F.bround(total.cast("decimal(28,0)") * F.lit(Decimal("0.000000001")), digits).cast("double")
+
+
 def embed_cost(tokens: Column, price_per_1m: float = PRICES["text-embedding-3-small"][0]) -> Column:
     return tokens * F.lit(price_per_1m / 1_000_000)
 

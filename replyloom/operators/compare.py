@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from replyloom.functions.numeric import half_even, ratio
 from replyloom.functions.text import preview
 from replyloom.operators.common import is_holdout, long_form
+from replyloom.operators.skew import lookup_counted
 
 KEY = "request_id"
 
@@ -92,3 +93,14 @@ def outcome_examples(first: DataFrame, second: DataFrame, k: int = 5, on: str =
     return ranked.filter(F.col("rank") <= k).select(
         "outcome", "rank", "request_id", "expected", "final_label", "other_label", preview(F.col("user"), 80).alias("preview")
     )
+
+
+def run_join_by_text(left: DataFrame, right: DataFrame, text: str = "user") -> DataFrame:
+    """Join on the request text against a run with one row per text. Texts repeat on
+    the left, one of them perhaps a third of all rows: their counts settle which
+    keys are broadcast and which are shuffled."""
+    other = right.select(
+        text, F.col("final_label").alias("other_label"), F.col("correct").alias("other_correct"), F.lit(True).alias("matched")
+    )
+    counted = left.groupBy(text).agg(F.count(F.lit(1)).alias("_copies"))
+    return lookup_counted(left, other.join(counted, text), [text], "_copies", F.col(KEY)).drop("_copies")

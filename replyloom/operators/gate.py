@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from replyloom.domain import ACCEPT_AT, INTENTS, REJECT_BELOW
 from replyloom.functions.numeric import blended_cost
 from replyloom.functions.replies import with_reply
+from replyloom.functions.settle import settle
 from replyloom.functions.text import domain_code, domain_label, normalize_reply, strict_format
 
 
@@ -107,7 +108,7 @@ def majority_vote(votes: DataFrame, classes=INTENTS) -> DataFrame:
     """Winner among any number of votes ``(request_id, call_no, vote)``: most
     votes, then earliest call. Two partial aggregations on fixed-width values."""
     tally = (
-        votes.select("request_id", "call_no", domain_code(F.col("vote"), classes).alias("_code"))
+        settle(votes.select("request_id", "call_no", "vote"), _code=domain_code(F.col("vote"), classes))
         .filter(F.col("_code") > 0)
         .groupBy("request_id", "_code")
         .agg(F.count(F.lit(1)).alias("n"), F.min("call_no").alias("first_call"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from replyloom.domain import ACCEPT_AT, INTENTS, STATUSES
 from replyloom.functions.numeric import blended_cost, half_even, ratio
+from replyloom.functions.text import domain_label
 from replyloom.operators.common import is_adversarial, is_holdout, long_form, right
 from replyloom.operators.quantiles import percentile_columns, with_percentile_ranks
 
@@ -139,7 +140,7 @@ def signal_isolation(gated: DataFrame, accept_at: float = ACCEPT_AT) -> DataFram
     codes = [F.col(f"code{n}") for n in (1, 2, 3)]
     valid = [F.when(c > 0, c) for c in codes]
     split = F.greatest(*valid) > F.least(*valid)
-    json_label = F.element_at(F.array(*[F.lit(c) for c in INTENTS]), F.when(codes[2] > 0, codes[2]))
+    json_label = domain_label(codes[2])
     one = caught.agg(
         F.count(F.lit(1)).alias("caught"),
         F.count_if(~F.col("format_ok")).alias("format"),
@@ -168,8 +169,11 @@ def spearman(df: DataFrame, value: str, hit: Column, steps: int = 256) -> DataFr
     )
     marks = hist.agg(
         F.percentile_approx("v", [i / steps for i in range(1, steps)], steps * 40).alias("marks")
-    ).scalar()
-    ranged = hist.select("v", "c", "p", F.size(F.filter(marks, lambda m: m < F.col("v"))).alias("b"))
+    )
+    # one row holding a fixed number of boundaries
+    ranged = hist.join(F.broadcast(marks)).select(
+        "v", "c", "p", F.size(F.filter("marks", lambda m: m < F.col("v"))).alias("b")
+    )
     inside = W.partitionBy("b").orderBy("v")
     local = ranged.withColumn("r", F.sum("c").over(inside) - F.col("c") + (F.col("c") + 1) / F.lit(2.0))
     per_range = local.groupBy("b").agg(

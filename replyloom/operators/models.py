@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from replyloom.domain import EMBED_MODEL, INTENTS
 from replyloom.functions.numeric import half_even
@@ -117,7 +119,8 @@ def cosine(a: Column, b: Column) -> Column:
 def centroid_classify(df: DataFrame, centroids: DataFrame, embedding: str = "embedding") -> DataFrame:
     """Class of the most similar centroid; ties to the smaller label. There is one
     centroid per class, so all of them travel as one array value."""
-    table = centroids.agg(F.collect_list(F.struct("label", "centroid")).alias("t")).scalar()
+    table = F.col("_centroids")
+    one = centroids.agg(F.collect_list(F.struct("label", "centroid")).alias("_centroids"))
     vec = F.col(embedding).cast("array<double>")
     scored = F.transform(table, lambda c: F.struct(cosine(vec, c["centroid"]).alias("sim"), c["label"].alias("label")))
     best = F.aggregate(
@@ -125,9 +128,71 @@ def centroid_classify(df: DataFrame, centroids: DataFrame, embedding: str = "emb
         F.get(scored, F.lit(0)),
         lambda a, b: F.when((b["sim"] > a["sim"]) | ((b["sim"] == a["sim"]) & (b["label"] < a["label"])), b).otherwise(a),
     )
-    return df.withColumn("_best", best).withColumn("centroid_label", F.col("_best.label")).withColumn(
+    best_of = df.join(F.broadcast(one)).withColumn("_best", best)
+    return best_of.withColumn("centroid_label", F.col("_best.label")).withColumn(
         "similarity", half_even(F.col("_best.sim"))
-    ).drop("_best")
+    ).drop("_best", "_centroids")
+
+
+def knn_classify(
+    df: DataFrame,
+    train: DataFrame,
+    *,
+    k: int = 5,
+    key: str = "id",
+    label: str = "label",
+    embedding: str = "embedding",
+    block: int = 4096,
+    skip_self: bool = False,
+) -> DataFrame:
+    """Majority class of the ``k`` most cosine-similar training rows, exactly.
+
+    Both sides are cut into blocks by key hash, as many as their counted rows need,
+    and each pair of blocks is one matrix product in one task. A pair returns only
+    its ``k`` best per row, never all pairs, and the final choice is a top-k over
+    at most ``k`` times the number of training blocks. Ties go to the smaller key,
+    then the smaller label.
+    """
+    n_train, n_rows = (max(1, -(-d.count() // block)) for d in (train, df))
+    part = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = df.select(F.col(key).alias("l_key"), F.col(embedding).alias("l_vec"), part(n_rows).alias("lb")).withColumn(
+        "tb", spread(n_train)
+    )
+    right = train.select(
+        F.col(key).alias("t_key"), F.col(label).alias("t_label"), F.col(embedding).alias("t_vec"), part(n_train).alias("tb")
+    ).withColumn("lb", spread(n_rows))
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"l_key": [], "t_key": [], "t_label": [], "sim": []})
+        b = b.sort_values("t_key")
+        unit = lambda vs: (lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300))(
+            np.stack(vs.to_numpy()).astype("float64")
+        )
+        sim = np.round(unit(a["l_vec"]) @ unit(b["t_vec"]).T, 9)
+        t_keys, t_labels = b["t_key"].to_numpy(), b["t_label"].to_numpy()
+        if skip_self:
+            sim[a["l_key"].to_numpy()[:, None] == t_keys[None, :]] = -np.inf
+        # keys ascend, so a stable sort settles equal similarities by key
+        best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+        out = pd.DataFrame(
+            {
+                "l_key": np.repeat(a["l_key"].to_numpy(), best.shape[1]),
+                "t_key": t_keys[best].ravel(),
+                "t_label": t_labels[best].ravel(),
+                "sim": np.take_along_axis(sim, best, axis=1).ravel(),
+            }
+        )
+        return out[np.isfinite(out["sim"])]
+
+    schema = "l_key bigint, t_key bigint, t_label string, sim double"
+    local = left.groupBy("lb", "tb").cogroup(right.groupBy("lb", "tb")).applyInPandas(nearest, schema)
+    order = W.partitionBy("l_key").orderBy(F.desc("sim"), F.asc("t_key"))
+    top = local.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
+    votes = top.groupBy("l_key", "t_label").agg(F.count(F.lit(1)).alias("n"))
+    ranked = votes.groupBy("l_key").agg(F.max("n").alias("votes"), F.min(F.struct((-F.col("n")).alias("m"), "t_label")).alias("b"))
+    return ranked.select(F.col("l_key").alias(key), F.col("b.t_label").alias("knn_label"), "votes")
 
 
 def calibrate(results: DataFrame, hit: Column, value: str = "confidence") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from replyloom.domain import ESCALATE_BELOW, INTENTS, PRICES, STAY_AT
-from replyloom.functions.numeric import call_cost, embed_cost, half_even, ratio
+from replyloom.functions.numeric import call_cost, embed_cost, half_even, nanos, ratio, usd_from_nanos
 from replyloom.functions.replies import with_reply
 from replyloom.functions.text import in_domain
 from replyloom.operators.common import is_adversarial, is_holdout, long_form, right
@@ -247,7 +247,7 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
         F.count_if(ok & h).alias("_hok"),
         F.count_if(F.col("route") == "escalated").alias("_e"),
         F.sum("n_calls").alias("_calls"),
-        F.sum("total_cost").alias("_cost"),
+        F.sum(nanos(F.col("total_cost"))).alias("_cost"),
     )
     out = with_percentile_ranks(hist, by).groupBy(*by).agg(
         F.sum("_c").alias("total"),
@@ -257,7 +257,7 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
         F.sum("_hok").alias("holdout_correct"),
         F.sum("_e").alias("escalated"),
         F.sum("_calls").alias("api_calls"),
-        half_even(F.sum("_cost")).alias("total_cost_usd"),
+        usd_from_nanos(F.sum("_cost")).alias("total_cost_usd"),
         *percentile_columns(),
     )
     return out

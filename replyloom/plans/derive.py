@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replyloom.domain import INTENTS, LARGE_MODEL, SMALL_MODEL, TARGET_TYPES
+from replyloom.functions.settle import settle
 
 SPARK, DUCK = "spark", "duck"
 
@@ -282,6 +283,11 @@ def apply_levels(df: DataFrame, levels: list[dict[str, str]]) -> DataFrame:
     return df
 
 
+def settled_raw(df: DataFrame) -> DataFrame:
+    """Derived text is long-winded to compute; compute it once per row."""
+    return settle(df, raw=F.col("raw")).select(*df.columns)
+
+
 def as_requests(events: DataFrame) -> DataFrame:
     with_k = events.withColumn("k", F.expr(_k(SPARK)))
     return with_k.select(*[F.expr(e).alias(n) for n, e in requests_columns(SPARK).items()])
@@ -308,7 +314,7 @@ def replies(reqs: DataFrame, *runs: str) -> DataFrame:
         ]
     )
     fanned = reqs.select("request_id", "expected", "k", "value", F.inline(specs))
-    return apply_levels(fanned, reply_levels(SPARK)).select(*REPLY_COLUMNS)
+    return settled_raw(apply_levels(fanned, reply_levels(SPARK)).select(*REPLY_COLUMNS))
 
 
 def micro(reqs: DataFrame) -> DataFrame:
@@ -327,10 +333,8 @@ def rich_expected(items: DataFrame) -> DataFrame:
 def rich_replies(items: DataFrame, run: str) -> DataFrame:
     stages = F.array(*[F.lit(s) for s in RICH_STAGES[run]])
     fanned = items.withColumn("run_id", F.lit(run)).withColumn("stage", F.explode(stages))
-    return apply_levels(fanned, rich_reply_levels(SPARK)).select(
-        "request_id", "run_id", "model", "stage", F.lit(1).alias("call_no"), "raw", "latency_ms",
-        "input_tokens", "output_tokens",
-    )
+    replied = apply_levels(fanned, rich_reply_levels(SPARK)).withColumn("call_no", F.lit(1))
+    return settled_raw(replied.select(*REPLY_COLUMNS))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +342,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_levels(table(spark, sf_dir, "conversations"), line_levels(SPARK)).select("file", "line_no", "raw")
+    rows = apply_levels(table(spark, sf_dir, "conversations"), line_levels(SPARK))
+    return settled_raw(rows.select("file", "line_no", "raw"))
 
 
 # --- checking side ------------------------------------------------------------

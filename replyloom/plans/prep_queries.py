@@ -244,13 +244,13 @@ def export_manifest(spark, sf):
 @query(
     "embed_cache_missing",
     """SELECT DISTINCT sha256(text) AS text_key FROM documents
-    EXCEPT SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0""",
+    EXCEPT SELECT sha256(text) FROM documents JOIN labels USING (doc_id)""",
 )
 def embed_cache_missing(spark, sf):
+    """Texts still to embed when the labelled documents have vectors already."""
     docs = d.table(spark, sf, "documents")
-    cache = docs.filter(F.col("doc_id") % 2 == 0).select(
-        F.lit("m").alias("model"), embeddings.text_key(F.col("text")).alias("text_key")
-    )
+    labelled = docs.join(d.table(spark, sf, "labels").select("doc_id"), "doc_id")
+    cache = labelled.select(F.lit("m").alias("model"), embeddings.text_key(F.col("text")).alias("text_key"))
     return embeddings.missing_texts(docs, cache, "m")
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from replyloom.domain import EMBED_MODEL, PRICES
-from replyloom.functions.numeric import embed_cost, half_even
+from replyloom.functions.numeric import embed_cost, nanos, usd_from_nanos
 from replyloom.functions.replies import with_reply
 from replyloom.functions.text import normalize_reply, strict_format
 from replyloom.operators import compare, metrics, route, score
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
 from replyloom.plans.sqltext import (
-    CLASS_ROWS, CLASSES, COST, normal, parsed, parsed_strict, percentiles, ratio_or_null, share, strict, where,
+    CLASS_ROWS, CLASSES, COST, normal, parsed, parsed_strict, ratio_or_null, share, strict, usd, where,
 )
 
 
@@ -56,7 +56,7 @@ def parse_reply_strict(spark, sf):
     "call_cost",
     with_ctes(
         ["replies", "micro"],
-        f"""SELECT run_id, model, unknown_model, count(*) AS n_calls, round_even(sum(cost), 6) AS cost FROM (
+        f"""SELECT run_id, model, unknown_model, count(*) AS n_calls, {usd('cost')} AS cost FROM (
           SELECT run_id, model, false AS unknown_model, {COST} AS cost FROM replies WHERE run_id IN ('cheap', 'strong')
           UNION ALL SELECT run_id, 'unpriced', true, NULL FROM replies WHERE run_id = 'cheap2'
           UNION ALL SELECT 'embed', '{EMBED_MODEL}', false, embed_tokens * ({PRICES[EMBED_MODEL][0]}::double / 1000000) FROM micro)
@@ -75,7 +75,7 @@ def call_cost(spark, sf):
         embed_cost(F.col("embed_tokens")).alias("cost"),
     )
     return calls.unionByName(embeds).groupBy("run_id", "model", "unknown_model").agg(
-        F.count(F.lit(1)).alias("n_calls"), half_even(F.sum("cost")).alias("cost")
+        F.count(F.lit(1)).alias("n_calls"), usd_from_nanos(F.sum(nanos(F.col("cost")))).alias("cost")
     )
 
 

@@ -67,11 +67,8 @@ def where(cond: str) -> str:
     return f"count(*) FILTER (WHERE {cond})"
 
 
-def percentiles(value: str, source: str, by: str = "") -> str:
-    """Index percentiles straight from the definition: sorted[int(n*q)]."""
-    group = f"GROUP BY {by}" if by else ""
-    keys = f"{by}, " if by else ""
-    ordered = f"list_sort(list(cast(round_even({value}, 0) AS bigint)))"
-    return f"""SELECT {keys}count(*) AS n,
-      {ordered}[cast(floor(count(*) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
-      {ordered}[cast(floor(count(*) * 0.95::double) AS bigint) + 1] AS latency_p95_ms FROM {source} {group}"""
+def usd(cost: str) -> str:
+    """Exact sum in billionths, rounded half to even at six digits."""
+    n = f"sum(cast(round_even(({cost}) * 1e9, 0) AS bigint))"
+    return f"""(({n} // 1000 + CASE WHEN {n} % 1000 > 500 OR ({n} % 1000 = 500 AND ({n} // 1000) % 2 = 1)
+      THEN 1 ELSE 0 END)::double / 1000000)"""

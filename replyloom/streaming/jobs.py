@@ -13,7 +13,9 @@ TERMINAL_STATES = ("succeeded", "failed", "cancelled")
 def new_events(events: DataFrame, delay: str, key: str = "event_id", ts: str = "ts") -> DataFrame:
     """Each event once, however often polls deliver it. State is kept for
     ``delay``, which must cover the longest time between two deliveries."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    # event time must carry a zone; a zoneless one is read in the session's
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
 def run_available(stream: DataFrame, purpose: str) -> DataFrame:
@@ -33,8 +35,12 @@ def run_available(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
-def latest_status(events: DataFrame, job: str = "job_id", ts: str = "ts", status: str = "status") -> DataFrame:
+def latest_status(
+    events: DataFrame, job: str = "job_id", ts: str = "ts", status: str = "status", terminal=TERMINAL_STATES
+) -> DataFrame:
     """Last known state of each job and whether it is final."""
-    return events.groupBy(job).agg(F.max_by(status, ts).alias("status")).withColumn(
-        "finished", F.col("status").isin(*TERMINAL_STATES)
+    return (
+        events.groupBy(job)
+        .agg(F.max_by(status, ts).alias("status"))
+        .withColumn("finished", F.col("status").isin(*terminal))
     )
