@@ -35,20 +35,19 @@ def in_domain(c: Column, classes=INTENTS) -> Column:
     return F.coalesce(c.isin(*classes), F.lit(False))
 
 
+def _names(classes) -> Column:
+    return F.array(*[F.lit(c) for c in classes])
+
+
 def domain_code(c: Column, classes=INTENTS) -> Column:
     """Class position from 1, 0 when outside: a fixed-width stand-in, so that
     per-request aggregation can hash instead of sort."""
-    code = F.lit(0)
-    for pos, name in reversed(list(enumerate(classes, start=1))):
-        code = F.when(c == name, F.lit(pos)).otherwise(code)
-    return code
+    return F.coalesce(F.array_position(_names(classes), c), F.lit(0)).cast("int")
 
 
 def domain_label(code: Column, classes=INTENTS) -> Column:
-    label = F.lit(None).cast("string")
-    for pos, name in reversed(list(enumerate(classes, start=1))):
-        label = F.when(code == pos, F.lit(name)).otherwise(label)
-    return label
+    """Class at a position; NULL for 0."""
+    return F.get(_names(classes), code - 1)
 
 
 def fingerprint(c: Column) -> Column:

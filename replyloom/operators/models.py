@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from replyloom.domain import EMBED_MODEL, INTENTS
 from replyloom.functions.numeric import half_even
 from replyloom.functions.text import domain_code
+from replyloom.session import cut_lineage
 
 # Inverse regularisation strength and iteration limit of the fit.
 C = 10.0
@@ -201,6 +202,7 @@ def calibrate(results: DataFrame, hit: Column, value: str = "confidence") -> Dat
     folded = results.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_x")).agg(
         F.avg(hit.cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
     )
+    folded = cut_lineage(folded, "calibrate")
     model = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w").fit(folded)
     return model.transform(folded).select(
         F.col("_x").alias(value),

@@ -71,28 +71,27 @@ def requests_columns(d: str) -> dict[str, str]:
 def reply_levels(d: str) -> list[dict[str, str]]:
     """Column expressions of a reply, in levels that build on one another. Input:
     request columns plus run_id, model, stage, call_no, acc."""
-    r = lambda i: hexnum(d, "h", i)
     cls = lambda n: pick(INTENTS, n)
     inside = "expected IN (" + ", ".join(f"'{c}'" for c in INTENTS) + ")"
-    obj = """'{"label": "' || said || '", "confidence": ' || conf || '}'"""
+    head = """'{"label": "' || said || '", "confidence": '"""
     odd = {
-        0: f"""{obj} || ' thanks'""",
+        0: "obj || ' thanks'",
         1: """'{''label'': ''' || said || ''', ''confidence'': ' || conf || '}'""",
-        2: f"""'```json' || chr(10) || {obj} || chr(10) || '```'""",
-        3: f"""substr({obj}, 1, 20)""",
-        4: f"""'[' || {obj} || ']'""",
-        5: """'{"label": "' || said || '", "confidence": "' || conf || '"}'""",
-        6: """'{"label": "' || said || '", "confidence": true}'""",
-        7: """'{"label": "' || said || '", "confidence": null}'""",
+        2: "'```json' || chr(10) || obj || chr(10) || '```'",
+        3: "substr(obj, 1, 20)",
+        4: "'[' || obj || ']'",
+        5: f"""{head} || '"' || conf || '"}}'""",
+        6: f"""{head} || 'true}}'""",
+        7: f"""{head} || 'null}}'""",
         8: """'{"label": "' || said || '"}'""",
-        9: """'{"label": "' || said || '", "confidence": ' || pct || '}'""",
+        9: f"""{head} || pct || '}}'""",
         10: """'{"label": "' || upper(said) || '.", "confidence": ' || conf || '}'""",
         11: """'{"label": "other", "confidence": ' || conf || '}'""",
-        12: """'{"label": "' || said || '", "confidence": "abc"}'""",
-        13: """'{"label": "' || said || '", "confidence": [1]}'""",
+        12: f"""{head} || '"abc"}}'""",
+        13: f"""{head} || '[1]}}'""",
         14: """'{"label": null, "confidence": ' || conf || '}'""",
         15: "''",
-        16: f"""' ' || {obj} || chr(10)""",
+        16: "' ' || obj || chr(10)",
         17: """'{"label": " ' || said || ' .", "confidence": ' || conf || '}'""",
     }
     plain = {
@@ -100,19 +99,28 @@ def reply_levels(d: str) -> list[dict[str, str]]:
         4: "'It is ' || said", 5: "''", 6: """'"' || said || '"'""", 7: "'`' || said || '`!'",
     }
     case = lambda arms, n, other: f"CASE {n} " + " ".join(f"WHEN {i} THEN {e}" for i, e in arms.items()) + f" ELSE {other} END"
-    steady = "run_id IN ('tuned', 'tuned_again')"
+    early = {i: e for i, e in odd.items() if i <= 8}
+    late = {i: e for i, e in odd.items() if i > 8}
     return [
         {"h": "md5(CASE WHEN run_id = 'tuned_again' THEN 'tuned' ELSE run_id END || call_no || ':' || request_id)"},
-        {"truth": f"CASE WHEN {inside} THEN expected ELSE {cls(r(2) + ' % 4')} END", "odd": r(3)},
-        {"said": f"CASE WHEN {r(1)} % 100 < acc THEN truth ELSE {cls(r(2) + ' % 4')} END"},
-        {"pct": f"CASE WHEN said = truth THEN 50 + (k + {r(5)}) % 50 ELSE (k + {r(5)}) % 95 END"},
+        {f"r{i}": hexnum(d, "h", i) for i in range(1, 6)},
+        {
+            "c2": "r2 % 4",
+            "odd": "CASE WHEN stage = 'json' THEN r3 % 60 WHEN run_id LIKE 'tuned%' THEN 40 ELSE r3 % 40 END",
+        },
+        {"guess": cls("c2")},
+        {"truth": f"CASE WHEN {inside} THEN expected ELSE guess END"},
+        {"said": "CASE WHEN r1 % 100 < acc THEN truth ELSE guess END"},
+        {"pct": "CASE WHEN said = truth THEN 50 + (k + r5) % 50 ELSE (k + r5) % 95 END"},
         {"conf": "'0.' || lpad(cast(pct as string), 2, '0')"},
+        {"obj": f"{head} || conf || '}}'"},
+        {"rare": f"CASE WHEN odd > 8 THEN {case(late, 'odd', 'obj')} ELSE '' END"},
+        {"worded": case(plain, "odd", "said")},
         {
-            "raw": f"CASE WHEN stage = 'json' THEN {case(odd, 'odd % 60', obj)} "
-            f"WHEN {steady} THEN said ELSE {case(plain, 'odd % 40', 'said')} END",
-            "latency_ms": f"value * (8 + {r(4)} % 5)",
-            "input_tokens": f"80 + {r(4)} % 61",
-            "output_tokens": f"5 + {r(5)} % 9",
+            "raw": f"CASE WHEN stage <> 'json' THEN worded WHEN odd > 8 THEN rare ELSE {case(early, 'odd', 'obj')} END",
+            "latency_ms": "value * (8 + r4 % 5)",
+            "input_tokens": "80 + r4 % 61",
+            "output_tokens": "5 + r5 % 9",
         },
     ]
 
@@ -123,7 +131,7 @@ REPLY_COLUMNS = (
 
 
 def micro_levels(d: str) -> list[dict[str, str]]:
-    r = lambda i: hexnum(d, "h", i)
+    r = lambda i: f"r{i}"
     w = {
         f"w{i}": f"1 + {r(i)} % 100 + CASE WHEN expected = '{c}' THEN {r(5)} % 200 ELSE 0 END"
         for i, c in enumerate(sorted(INTENTS), start=1)
@@ -131,6 +139,7 @@ def micro_levels(d: str) -> list[dict[str, str]]:
     arms = " ".join(f"WHEN w{i} = top THEN '{c}'" for i, c in enumerate(sorted(INTENTS), start=1))
     return [
         {"h": "md5('micro:' || request_id)"},
+        {f"r{i}": hexnum(d, "h", i) for i in range(1, 7)},
         w,
         {"top": "greatest(w1, w2, w3, w4)", "mass": "w1 + w2 + w3 + w4"},
         {
@@ -146,9 +155,10 @@ MICRO_COLUMNS = ("request_id", "micro_label", "max_proba", "embed_tokens", "embe
 
 
 def rich_levels(d: str) -> list[dict[str, str]]:
-    r = lambda i: hexnum(d, "h", i)
+    r = lambda i: f"r{i}"
     return [
         {"h": "md5('rich:' || request_id)"},
+        {f"r{i}": hexnum(d, "h", i) for i in range(1, 7)},
         {
             "primary_intent": pick(INTENTS, f"{r(1)} % 4"),
             "secondary_intent": pick(INTENTS + ("none",), f"{r(2)} % 5"),
@@ -167,7 +177,7 @@ RICH_STAGES = {"mono": ["mono"], "multi": ["normalize", "classify", "target", "s
 
 def rich_reply_levels(d: str) -> list[dict[str, str]]:
     """Extraction replies; input: rich item columns plus run_id and stage."""
-    g = lambda i: hexnum(d, "g", i)
+    g = lambda i: f"g{i}"
     keep = "CASE WHEN run_id = 'mono' THEN 92 ELSE 80 END"
     swap = lambda i, gold, other: f"CASE WHEN {g(i)} % 100 < {keep} THEN {gold} ELSE {other} END"
     quoted = """coalesce('"' || p_name || '"', 'null')"""
@@ -182,6 +192,7 @@ def rich_reply_levels(d: str) -> list[dict[str, str]]:
         ELSE '{{"verbs":["v' || k || '"],"nouns":["n' || user_id || '","m"],"tone":"flat","language":"' || lang || '"}}' END"""
     return [
         {"g": "md5(run_id || ':' || stage || ':' || request_id)"},
+        {f"g{i}": hexnum(d, "g", i) for i in range(1, 9)},
         {
             "n": f"{g(7)} % 30",
             "p1": swap(1, "primary_intent", "'modify'"),
@@ -212,9 +223,10 @@ def rich_reply_levels(d: str) -> list[dict[str, str]]:
 
 
 def pair_levels(d: str) -> list[dict[str, str]]:
-    r = lambda i: hexnum(d, "h", i)
+    r = lambda i: f"r{i}"
     return [
         {"h": "md5('pair:' || doc_id)"},
+        {f"r{i}": hexnum(d, "h", i) for i in range(1, 5)},
         {
             "id": "doc_id",
             "label": f"CASE WHEN {r(1)} % 50 = 0 THEN 'other' ELSE {pick(INTENTS, r(2) + ' % 4')} END",
@@ -229,7 +241,7 @@ PAIR_COLUMNS = ("id", "text", "label", "origin", "lang", "conf", "source")
 
 def line_levels(d: str) -> list[dict[str, str]]:
     """Chat training lines, many broken, one per turn of a conversation."""
-    r = lambda i: hexnum(d, "h", i)
+    r = lambda i: f"r{i}"
     if d == SPARK:
         obj = lambda role, content: f"to_json(named_struct('role', {role}, 'content', {content}))"
     else:
@@ -260,6 +272,7 @@ def line_levels(d: str) -> list[dict[str, str]]:
     cases = " ".join(f"WHEN {i} THEN {e}" for i, e in arms.items())
     return [
         {"h": "md5('line:' || conv_id || ':' || turn)"},
+        {f"r{i}": hexnum(d, "h", i) for i in range(1, 3)},
         {
             "file": "'part-' || (conv_id % 4)",
             "line_no": "conv_id * 1000 + turn",
@@ -273,8 +286,19 @@ def line_levels(d: str) -> list[dict[str, str]]:
 # --- Spark side ---------------------------------------------------------------
 
 
+KEYS = {
+    "events": ("event_id",), "documents": ("doc_id",), "conversations": ("conv_id", "turn"), "embeddings": ("vec_id",),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One small file is one task whatever the cores; only then are
+    its rows dealt out by key. A table of many files is left as it is scanned."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in KEYS and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, *KEYS[name])
+    return df
 
 
 def apply_levels(df: DataFrame, levels: list[dict[str, str]]) -> DataFrame:

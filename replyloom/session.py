@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "replyloom", **conf) -> SparkSession:
@@ -39,3 +39,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="replyloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back: an iterative fit
+    then does not repeat the plan behind it, and a lost executor costs a re-read."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
