@@ -26,6 +26,9 @@ def local_session(cores: str = "8", app: str = "replyloom", **conf) -> SparkSess
     return spark
 
 
+_fallback: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -36,8 +39,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="replyloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _fallback:
+            _fallback.append(tempfile.mkdtemp(prefix="replyloom-"))
+        root = _fallback[0]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
