@@ -49,7 +49,7 @@ def with_object(df: DataFrame, raw: str | Column, fields: str, out: str, when=No
     names = [f.split(":")[0] for f in fields.split(",")]
     first = F.get(F.col(tmp), F.lit(0))
     found = F.when(_whole(F.col(tmp)), F.struct(*[first[n].alias(n) for n in names]))
-    return settle(df.withColumn(tmp, items), **{out: found}).drop(tmp)
+    return settle(df.withColumn(tmp, items), {out: found}, drop=(tmp,))
 
 
 def _is_json_boolean(raw: Column) -> Column:
@@ -113,7 +113,8 @@ def with_reply(
         label = F.when((how != "bad") & in_domain(name, classes), name)
     else:
         label = F.when(how == "bad", F.lit("")).when(how.isNotNull(), normalize_reply(name))
-    return settle(df, label=label, confidence=value, parse_error=how == "bad").drop("_obj", "_how")
+    read = {"label": label, "confidence": value, "parse_error": how == "bad"}
+    return settle(df, read, drop=("_obj", "_how"))
 
 
 def enum_or_default(c: Column, allowed, default: str) -> Column:

@@ -108,7 +108,7 @@ def majority_vote(votes: DataFrame, classes=INTENTS) -> DataFrame:
     """Winner among any number of votes ``(request_id, call_no, vote)``: most
     votes, then earliest call. Two partial aggregations on fixed-width values."""
     tally = (
-        settle(votes.select("request_id", "call_no", "vote"), _code=domain_code(F.col("vote"), classes))
+        settle(votes.select("request_id", "call_no", "vote"), {"_code": domain_code(F.col("vote"), classes)})
         .filter(F.col("_code") > 0)
         .groupBy("request_id", "_code")
         .agg(F.count(F.lit(1)).alias("n"), F.min("call_no").alias("first_call"))

@@ -82,8 +82,8 @@ def class_distribution(
 
 def clean_pairs(pairs: DataFrame, key: str, bounds: tuple[int, int] = USER_LENGTH) -> DataFrame:
     """Drop empty, too short, too long and repeated texts; the lowest ``key`` of a
-    repeat stays. Texts do not travel: only (fingerprint, key) is shuffled, and the
-    rows are picked back by their unique key, which no hot text can skew."""
+    repeat stays. Repeats are found on (fingerprint, key) alone, folded before the
+    shuffle, and rows are then picked by their unique key: a hot text skews neither."""
     n = F.length("text")
     kept = pairs.filter((F.length(strip(F.col("text"))) > 0) & n.between(*bounds))
     first = kept.groupBy(fingerprint(F.col("text")).alias("_fp")).agg(F.min(key).alias(key))

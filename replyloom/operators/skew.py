@@ -12,25 +12,24 @@ def lookup_counted(
     ``count_col`` says how many of the rows carry the key and ``unique`` differs
     from row to row.
 
-    Keys with more than 1/``parts`` of all counted rows cannot number more than
-    ``parts``, so they are broadcast under a bound that does not depend on the
-    data. Rows settled that way join the remaining keys under their own ``unique``
-    value: they match nothing and spread evenly instead of following their hot key.
+    The ``parts`` most frequent keys are broadcast: so many rows whatever the data,
+    and any other key then owns at most one in ``parts`` of the rows. Rows settled
+    that way join the shuffled side under their own ``unique`` value: they match
+    nothing there and spread evenly instead of following their hot key. Which of
+    several equally frequent keys is broadcast does not matter, since the shuffled
+    side keeps them all.
     """
     facts = [c for c in groups.columns if c not in keys]
-    total = groups.agg(F.sum(count_col)).scalar()
-    is_hot = F.col(count_col) * F.lit(parts) > total
     pack = F.struct(*facts)
-    hot = groups.filter(is_hot).select(*keys, pack.alias("_hot"))
+    hot = groups.orderBy(F.desc(count_col)).limit(parts).select(*keys, pack.alias("_hot"))
     key = F.concat_ws("\x01", *[F.col(k).cast("string") for k in keys])
-    cold = groups.filter(~is_hot).select(key.alias("_key"), pack.alias("_cold"))
+    cold = groups.select(key.alias("_key"), pack.alias("_cold"))
     spread = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_key", F.when(F.col("_hot").isNull(), key).otherwise(F.concat(F.lit("\x02"), unique.cast("string")))
     )
-    found = F.coalesce("_hot", "_cold")
     return (
         spread.join(cold, "_key", "left")
-        .withColumn("_found", found)
+        .withColumn("_found", F.coalesce("_hot", "_cold"))
         .filter(F.col("_found").isNotNull())
         .select(*rows.columns, "_found.*")
     )

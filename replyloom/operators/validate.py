@@ -94,9 +94,8 @@ def validate_lines(
         )
     )
     errors = F.when(F.size("_shape") > 0, F.col("_shape")).otherwise(content_checks)
-    return settle(df, errors=errors, user=F.when(F.size("_shape") == 0, user)).drop(
-        "_doc", "_items", "_msgs", "_shape"
-    )
+    judged = {"errors": errors, "user": F.when(F.size("_shape") == 0, user)}
+    return settle(df, judged, drop=("_doc", "_items", "_msgs", "_shape"))
 
 
 def is_text_list(raw: Column, text: Column) -> Column:

@@ -301,15 +301,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def apply_levels(df: DataFrame, levels: list[dict[str, str]]) -> DataFrame:
-    for level in levels:
-        df = df.withColumns({n: F.expr(e) for n, e in level.items()})
-    return df
+def apply_levels(df: DataFrame, levels: list[dict[str, str]], columns=("*",)) -> DataFrame:
+    """All levels as one nested statement, so that they are analysed once."""
+    text = _nest("<src>", levels, ", ".join(columns)).replace("{", "{{").replace("}", "}}")
+    return df.sparkSession.sql(text.replace("<src>", "{src}"), src=df)
 
 
 def settled_raw(df: DataFrame) -> DataFrame:
     """Derived text is long-winded to compute; compute it once per row."""
-    return settle(df, raw=F.col("raw")).select(*df.columns)
+    return settle(df, {"raw": F.col("raw")}).select(*df.columns)
 
 
 def as_requests(events: DataFrame) -> DataFrame:
@@ -338,11 +338,11 @@ def replies(reqs: DataFrame, *runs: str) -> DataFrame:
         ]
     )
     fanned = reqs.select("request_id", "expected", "k", "value", F.inline(specs))
-    return settled_raw(apply_levels(fanned, reply_levels(SPARK)).select(*REPLY_COLUMNS))
+    return settled_raw(apply_levels(fanned, reply_levels(SPARK), REPLY_COLUMNS))
 
 
 def micro(reqs: DataFrame) -> DataFrame:
-    return apply_levels(reqs, micro_levels(SPARK)).select(*MICRO_COLUMNS)
+    return apply_levels(reqs, micro_levels(SPARK), MICRO_COLUMNS)
 
 
 def rich_items(reqs: DataFrame) -> DataFrame:
@@ -357,17 +357,17 @@ def rich_expected(items: DataFrame) -> DataFrame:
 def rich_replies(items: DataFrame, run: str) -> DataFrame:
     stages = F.array(*[F.lit(s) for s in RICH_STAGES[run]])
     fanned = items.withColumn("run_id", F.lit(run)).withColumn("stage", F.explode(stages))
-    replied = apply_levels(fanned, rich_reply_levels(SPARK)).withColumn("call_no", F.lit(1))
-    return settled_raw(replied.select(*REPLY_COLUMNS))
+    columns = ["1 AS call_no" if c == "call_no" else c for c in REPLY_COLUMNS]
+    return settled_raw(apply_levels(fanned, rich_reply_levels(SPARK), columns))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_levels(table(spark, sf_dir, "documents"), pair_levels(SPARK)).select(*PAIR_COLUMNS)
+    return apply_levels(table(spark, sf_dir, "documents"), pair_levels(SPARK), PAIR_COLUMNS)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = apply_levels(table(spark, sf_dir, "conversations"), line_levels(SPARK))
-    return settled_raw(rows.select("file", "line_no", "raw"))
+    rows = apply_levels(table(spark, sf_dir, "conversations"), line_levels(SPARK), ("file", "line_no", "raw"))
+    return settled_raw(rows)
 
 
 # --- checking side ------------------------------------------------------------

@@ -42,14 +42,16 @@ def micro_predict(spark, sf):
     )
 
 
-@query("text_features")
+@query(
+    "text_features",
+    "SELECT doc_id, greatest(length(text) - 2, 0)::double AS n_grams FROM documents",
+)
 def text_features(spark, sf):
+    """Hashed character 3-grams of every whole text; their counts sum to their number."""
     docs = d.table(spark, sf, "documents").select("doc_id", "text")
     counts = vector_to_array("features")
     return m.text_features(docs).select(
-        "doc_id",
-        F.size(F.filter(counts, lambda v: v > 0)).alias("n_used"),
-        F.aggregate(counts, F.lit(0.0), lambda s, v: s + v).alias("n_grams"),
+        "doc_id", F.aggregate(counts, F.lit(0.0), lambda s, v: s + v).alias("n_grams")
     )
 
 
@@ -100,7 +102,7 @@ def _wide_replies(reqs):
         one = df.withColumns(
             {"run_id": F.lit("gate"), "model": F.lit(model), "stage": F.lit(stage), "call_no": F.lit(n), "acc": F.lit(acc)}
         )
-        df = d.settled_raw(d.apply_levels(one, d.reply_levels(d.SPARK)).select(*keep, "raw")).withColumnRenamed("raw", f"raw{n}")
+        df = d.settled_raw(d.apply_levels(one, d.reply_levels(d.SPARK), (*keep, "raw"))).withColumnRenamed("raw", f"raw{n}")
     return df
 
 

@@ -18,6 +18,8 @@ def local_session(cores: str = "8", app: str = "replyloom", **conf) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # plan building need not record Python call sites
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in conf.items():
         builder = builder.config(k.replace("_", "."), v)
