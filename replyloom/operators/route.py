@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from replyloom.domain import ESCALATE_BELOW, INTENTS, PRICES, STAY_AT
@@ -20,13 +22,37 @@ def with_cost(replies: DataFrame, prices=PRICES) -> DataFrame:
     return replies.withColumn("cost", cost).withColumn("unknown_model", ~in_domain(F.col("model"), tuple(prices)))
 
 
+class Call:
+    """The columns of one call, by field. Calls stay flat columns ``<run>__<field>``
+    and not structs, so that a shuffle carries the fields in use only: summaries do
+    not move reply texts."""
+
+    def __init__(self, field: Callable[[str], Column]):
+        self._field = field
+
+    def __getitem__(self, name: str) -> Column:
+        return self._field(name)
+
+    @property
+    def present(self) -> Column:
+        return self["model"].isNotNull()
+
+
+def call(run_id: str) -> Call:
+    return Call(lambda name: F.col(f"{run_id}__{name}"))
+
+
+def either(cond: Column, first: Call, second: Call) -> Call:
+    return Call(lambda name: F.when(cond, first[name]).otherwise(second[name]))
+
+
 def read_calls(replies: DataFrame, run_id: str, *, strict: bool = False, prices=PRICES, classes=INTENTS) -> DataFrame:
-    """The JSON calls of one run as ``(request_id, <run_id> STRUCT<...>)``; a run's
-    (request, call) pairs are unique, see ``latest_calls`` otherwise."""
+    """The JSON calls of one run, a row per request; a run's (request, call) pairs
+    are unique, see ``latest_calls`` otherwise."""
     parsed = with_cost(
         with_reply(replies.filter(F.col("run_id") == run_id), "raw", strict=strict, classes=classes), prices
     )
-    return parsed.select("request_id", F.struct(*CALL_FIELDS, "cost").alias(run_id))
+    return parsed.select("request_id", *[F.col(f).alias(f"{run_id}__{f}") for f in (*CALL_FIELDS, "cost")])
 
 
 def latest_calls(replies: DataFrame, position: str) -> DataFrame:
@@ -38,27 +64,27 @@ def latest_calls(replies: DataFrame, position: str) -> DataFrame:
 
 
 def with_tiers(requests: DataFrame, replies: DataFrame, runs, **kw) -> DataFrame:
-    """Requests with one call struct per run. Only the first must be present."""
+    """Requests with the call of each run. Only the first must be present."""
     df = requests
     for i, run in enumerate(runs):
         df = df.join(read_calls(replies, run, **kw), "request_id", "inner" if i == 0 else "left")
     return df
 
 
-def unsure(call: Column, below: Column | float = ESCALATE_BELOW, classes=INTENTS) -> Column:
+def unsure(reply: Call, below: Column | float = ESCALATE_BELOW, classes=INTENTS) -> Column:
     """Confidence under the threshold, not a number, or a label outside the domain."""
-    low = call["confidence"] < (F.lit(below) if isinstance(below, (int, float)) else below)
-    return F.coalesce(low, F.lit(True)) | ~in_domain(call["label"], classes)
+    low = reply["confidence"] < (F.lit(below) if isinstance(below, (int, float)) else below)
+    return F.coalesce(low, F.lit(True)) | ~in_domain(reply["label"], classes)
 
 
-def _entry(call: Column) -> Column:
-    return F.struct(*[call[f].alias(f) for f in CALL_FIELDS])
+def _entry(reply: Call) -> Column:
+    return F.struct(*[reply[f].alias(f) for f in CALL_FIELDS])
 
 
 def _outcome(
-    run_id: Column | str, route: Column, final: Column, calls: list[Column], taken: list[Column] | None = None,
-    cheap: Column | None = None,
-) -> Column:
+    run_id: str, route: Column, final: Call, calls: list[Call], taken: list[Column] | None = None,
+    cheap: Call | None = None, keep_calls: bool = True,
+) -> dict[str, Column]:
     """The decision columns of a result row; ``taken`` says which calls were made."""
     taken = taken or [F.lit(True)] * len(calls)
     zero = F.lit(0.0)
@@ -66,35 +92,37 @@ def _outcome(
         F.when(t, c[name]).otherwise(zero) if i else c[name] for i, (c, t) in enumerate(zip(calls, taken))
     )
     nul = F.lit(None)
-    return F.struct(
-        (F.lit(run_id) if isinstance(run_id, str) else run_id).alias("run_id"),
-        route.alias("route"),
-        final["label"].alias("final_label"),
-        final["confidence"].alias("final_confidence"),
-        (cheap["label"] if cheap is not None else nul.cast("string")).alias("cheap_label"),
-        (cheap["confidence"] if cheap is not None else nul.cast("double")).alias("cheap_confidence"),
-        F.array_compact(F.array(*[F.when(t, _entry(c)) for c, t in zip(calls, taken)])).alias("calls"),
-        sum(t.cast("int") for t in taken).alias("n_calls"),
-        add("cost").alias("total_cost"),
-        add("latency_ms").alias("total_latency_ms"),
-    )
+    out = {
+        "run_id": F.lit(run_id),
+        "route": route,
+        "final_label": final["label"],
+        "final_confidence": final["confidence"],
+        "cheap_label": cheap["label"] if cheap is not None else nul.cast("string"),
+        "cheap_confidence": cheap["confidence"] if cheap is not None else nul.cast("double"),
+    }
+    if keep_calls:
+        out["calls"] = F.array_compact(F.array(*[F.when(t, _entry(c)) for c, t in zip(calls, taken)]))
+    out["n_calls"] = sum(t.cast("int") for t in taken)
+    out["total_cost"] = add("cost")
+    out["total_latency_ms"] = add("latency_ms")
+    return out
 
 
-def _results(df: DataFrame, requests: DataFrame, outcome: Column) -> DataFrame:
-    out = df.select(*requests.columns, outcome.alias("_o")).select(*requests.columns, "_o.*")
+def _results(df: DataFrame, requests: DataFrame, outcome: dict[str, Column]) -> DataFrame:
+    out = df.select(*requests.columns, *[c.alias(n) for n, c in outcome.items()])
     return out.withColumn("correct", right())
 
 
 def single_model(requests: DataFrame, replies: DataFrame, run_id: str, **kw) -> DataFrame:
     """One model answers everything; its name is the route."""
     df = with_tiers(requests, replies, [run_id], **kw)
-    call = F.col(run_id)
-    return _results(df, requests, _outcome(run_id, call["model"], call, [call]))
+    only = call(run_id)
+    return _results(df, requests, _outcome(run_id, only["model"], only, [only]))
 
 
-def _fallback(cheap: Column, strong: Column, escalated: Column) -> tuple[Column, Column]:
+def _fallback(cheap: Call, strong: Call, escalated: Column) -> tuple[Column, Call]:
     route = F.when(escalated, F.lit("escalated")).otherwise(F.lit("cheap"))
-    return route, F.when(escalated, strong).otherwise(cheap)
+    return route, either(escalated, strong, cheap)
 
 
 def route_replay(
@@ -112,29 +140,33 @@ def route_replay(
     not. Only escalated requests look up the strong side. ``escalate`` replaces the
     rule with any predicate over the cheap call."""
     base = requests.join(read_calls(replies, cheap, **kw), "request_id")
-    base = base.withColumn("_esc", unsure(F.col(cheap), below) if escalate is None else escalate)
+    base = base.withColumn("_esc", unsure(call(cheap), below) if escalate is None else escalate)
     backup = read_calls(replies, strong, **kw).withColumnRenamed("request_id", "_rid")
     df = base.join(backup, (F.col("request_id") == F.col("_rid")) & F.col("_esc"), "left")
-    c, s, esc = F.col(cheap), F.col(strong), F.col("_esc")
+    c, s, esc = call(cheap), call(strong), F.col("_esc")
     route, final = _fallback(c, s, esc)
     return _results(df, requests, _outcome(run_id, route, final, [c, s], [F.lit(True), esc], c))
 
 
 def replay_modes(
-    requests: DataFrame, replies: DataFrame, *, cheap="cheap", strong="strong", below=ESCALATE_BELOW, **kw
+    requests: DataFrame, replies: DataFrame, *, cheap="cheap", strong="strong", below=ESCALATE_BELOW,
+    keep_calls: bool = False, **kw
 ) -> DataFrame:
     """Cheap-only, strong-only and routed results from one join: both reply sets
-    are read once and each request fans out into its three outcomes."""
+    are read once and each request fans out into its three outcomes. The fan-out
+    takes its rows whole, so the calls with their texts are left out unless asked
+    for."""
     df = with_tiers(requests, replies, [cheap, strong], **kw)
-    c, s = F.col(cheap), F.col(strong)
+    c, s = call(cheap), call(strong)
     df = df.withColumn("_esc", unsure(c, below))
     esc = F.col("_esc")
     route, final = _fallback(c, s, esc)
+    row = lambda *a: F.struct(*[col.alias(n) for n, col in _outcome(*a, keep_calls=keep_calls).items()])
     outcomes = F.array_compact(
         F.array(
-            _outcome(cheap, c["model"], c, [c]),
-            F.when(s.isNotNull(), _outcome(strong, s["model"], s, [s])),
-            _outcome("router", route, final, [c, s], [F.lit(True), esc], c),
+            row(cheap, c["model"], c, [c]),
+            F.when(s.present, row(strong, s["model"], s, [s])),
+            row("router", route, final, [c, s], [F.lit(True), esc], c),
         )
     )
     out = df.select(*requests.columns, F.inline(outcomes))
@@ -145,14 +177,14 @@ def best_of_two(requests: DataFrame, replies: DataFrame, *, cheap="cheap", stron
     """After an escalation keep whichever valid answer is more confident; the
     strong one on a tie."""
     df = with_tiers(requests, replies, [cheap, strong], **kw)
-    c, s = F.col(cheap), F.col(strong)
+    c, s = call(cheap), call(strong)
     df = df.withColumn("_esc", unsure(c, below))
     esc = F.col("_esc")
     keep = in_domain(c["label"]) & (
         F.coalesce(c["confidence"] > s["confidence"], F.lit(False)) | ~in_domain(s["label"])
     )
     route, _ = _fallback(c, s, esc)
-    final = F.when(~esc | keep, c).otherwise(s)
+    final = either(~esc | keep, c, s)
     return _results(df, requests, _outcome("best_of_two", route, final, [c, s], [F.lit(True), esc], c))
 
 
@@ -168,11 +200,11 @@ def three_tier(
 ) -> DataFrame:
     """Cheap, then middle, then strong, each only if the one before is unsure."""
     df = with_tiers(requests, replies, tiers, **kw)
-    a, b, c = (F.col(t) for t in tiers)
+    a, b, c = (call(t) for t in tiers)
     df = df.withColumn("_e1", unsure(a, below)).withColumn("_e2", F.col("_e1") & unsure(b, below))
     e1, e2 = F.col("_e1"), F.col("_e2")
     route = F.when(e2, F.lit(tiers[2])).when(e1, F.lit(tiers[1])).otherwise(F.lit(tiers[0]))
-    final = F.when(e2, c).when(e1, b).otherwise(a)
+    final = either(e2, c, either(e1, b, a))
     return _results(df, requests, _outcome("three_tier", route, final, [a, b, c], [F.lit(True), e1, e2], a))
 
 
@@ -182,7 +214,7 @@ def reply_doubt(
     """Escalate when two cheap replies disagree or the reply is longer than an
     answer should be."""
     df = with_tiers(requests, replies, [cheap, second, strong], **kw)
-    c, d, s = F.col(cheap), F.col(second), F.col(strong)
+    c, d, s = call(cheap), call(second), call(strong)
     differ = ~c["label"].eqNullSafe(d["label"])
     df = df.withColumn("_esc", differ | (F.length(c["raw"]) > max_chars) | ~in_domain(c["label"]))
     esc = F.col("_esc")
@@ -212,7 +244,7 @@ def micro_route(
     df = base.withColumn("_esc", esc).join(
         backup, (F.col("request_id") == F.col("_rid")) & F.col("_esc"), "left"
     )
-    f, esc = F.col(fallback), F.col("_esc")
+    f, esc = call(fallback), F.col("_esc")
     embed = embed_cost(F.col("embed_tokens"))
     zero = F.lit(0.0)
     llm = F.when(esc, f["cost"]).otherwise(zero)
@@ -225,8 +257,8 @@ def micro_route(
         "micro_label",
         "max_proba",
         F.when(esc, f["label"]).alias("fallback_label"),
-        (esc & f.isNotNull()).alias("fallback_called"),
-        (esc & f.isNotNull()).cast("int").alias("n_calls"),
+        (esc & f.present).alias("fallback_called"),
+        (esc & f.present).cast("int").alias("n_calls"),
         embed.alias("embed_cost"),
         llm.alias("llm_cost"),
         (embed + llm).alias("total_cost"),

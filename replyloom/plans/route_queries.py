@@ -363,7 +363,7 @@ _LIMIT = "CASE c.label " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _BY_CLASS
     ),
 )
 def per_class_threshold(spark, sf):
-    below = t.class_thresholds(F.col("cheap.label"), _BY_CLASS)
+    below = t.class_thresholds(F.col("cheap__label"), _BY_CLASS)
     return _router(spark, sf, below=below).select("request_id", "route", "final_label")
 
 

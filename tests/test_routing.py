@@ -86,7 +86,7 @@ def test_latest_call_wins(spark):
 def test_variants(spark, data):
     best = by_id(t.best_of_two(*data))
     assert best[3].final_label == "describe" and best[2].final_label == "understand"
-    lim = t.class_thresholds(F.col("cheap.label"), {"describe": 0.6})
+    lim = t.class_thresholds(F.col("cheap__label"), {"describe": 0.6})
     assert by_id(t.route_replay(*data, below=lim))[3].route == "cheap"
     reqs, reps = data
     extra = spark.createDataFrame([call(i, "mid", "describe", 0.9 if i == 3 else 0.1) for i in range(1, 6)] + [call(i, "cheap2", "search", 0.9) for i in range(1, 6)], REPLY_SCHEMA)
