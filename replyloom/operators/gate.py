@@ -105,23 +105,31 @@ def gate_rows(df: DataFrame, plain1: str, plain2: str, json_reply: str, classes=
 
 
 def majority_vote(votes: DataFrame, classes=INTENTS) -> DataFrame:
-    """Winner among any number of votes ``(request_id, call_no, vote)``: most
-    votes, then earliest call. Two partial aggregations on fixed-width values."""
+    """Winner among any number of votes ``(request_id, call_no, vote)``: most votes,
+    then earliest call; NULL without a valid vote. Votes fold into a count and a
+    first call per class, so one hash aggregation of fixed-width values does it,
+    however many votes a single request has."""
+    code = F.col("_code")
+    aggs = []
+    for i in range(1, len(classes) + 1):
+        aggs += [F.count_if(code == i).alias(f"n{i}"), F.min(F.when(code == i, F.col("call_no"))).alias(f"first{i}")]
     tally = (
         settle(votes.select("request_id", "call_no", "vote"), {"_code": domain_code(F.col("vote"), classes)})
-        .filter(F.col("_code") > 0)
-        .groupBy("request_id", "_code")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("call_no").alias("first_call"))
+        .groupBy("request_id")
+        .agg(*aggs)
     )
-    best = tally.groupBy("request_id").agg(
-        F.max(F.struct(F.col("n"), (-F.col("first_call")).alias("_e"), F.col("_code"))).alias("_best"),
-        F.sum("n").alias("n_valid"),
+    ranked = F.array(
+        *[
+            F.struct(F.col(f"n{i}").alias("n"), (-F.col(f"first{i}")).alias("early"), F.lit(i).alias("code"))
+            for i in range(1, len(classes) + 1)
+        ]
     )
+    best = tally.withColumn("_best", F.array_max(ranked))
     return best.select(
         "request_id",
-        domain_label(F.col("_best._code"), classes).alias("predicted"),
+        F.when(F.col("_best.n") > 0, domain_label(F.col("_best.code"), classes)).alias("predicted"),
         F.col("_best.n").alias("vote_top_count"),
-        "n_valid",
+        sum(F.col(f"n{i}") for i in range(1, len(classes) + 1)).alias("n_valid"),
     )
 
 

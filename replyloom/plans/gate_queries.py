@@ -70,8 +70,8 @@ def gate(spark, sf):
     "majority_vote",
     with_ctes(
         ["replies"],
-        """SELECT request_id, arg_max(vote, n * 100 - first_pos) AS predicted, max(n) AS vote_top_count,
-        sum(n)::bigint AS n_valid FROM b GROUP BY 1""",
+        """SELECT request_id, arg_max(vote, n * 100 - first_pos) AS predicted, coalesce(max(n), 0) AS vote_top_count,
+        coalesce(sum(n), 0)::bigint AS n_valid FROM requests LEFT JOIN b USING (request_id) GROUP BY 1""",
         {
             "b": f"""SELECT request_id, vote, min(pos) AS first_pos, count(*) AS n FROM (
             SELECT request_id, {normal('raw')} AS vote,

@@ -9,6 +9,9 @@ from replyloom.domain import ADVERSARIAL_PREFIX, ADVERSARIAL_SCHEMA, CHAT_SCHEMA
 from replyloom.functions.text import seeded_hash, strip
 
 
+BLOCKS_TO_BROADCAST = 200_000
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed scan; blank lines are skipped, a broken line fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").option("allowSingleQuotes", "false").json(path)
@@ -29,8 +32,10 @@ def read_numbered_lines(spark: SparkSession, path) -> DataFrame:
 
     A text scan reads the lines of one file block in order inside one task, so ids
     that grow within a task number a block's lines once its smallest id is known.
-    A block's start comes from the line counts of the blocks before it: one row
-    per block, joined back without a hint so that its measured size decides how.
+    A block's start comes from the line counts of the blocks before it. There are no
+    more blocks than files and tasks together, known before anything runs: up to
+    ``BLOCKS_TO_BROADCAST`` of them are broadcast and the texts stay where they
+    are, beyond that the measured size decides.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -45,6 +50,8 @@ def read_numbered_lines(spark: SparkSession, path) -> DataFrame:
         .withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
         .drop("_lines")
     )
+    if len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= BLOCKS_TO_BROADCAST:
+        blocks = F.broadcast(blocks)
     return (
         lines.filter(F.length(strip(F.col("raw"))) > 0)
         .join(blocks, ["file", "_block"])

@@ -60,9 +60,9 @@ def test_thresholds_are_parameters(spark):
 
 
 def test_majority_vote_ties_go_to_the_first_call(spark):
-    rows = [(1, 3, "search"), (1, 1, "modify"), (1, 2, "search"), (1, 4, "modify"), (2, 1, "zzz"), (2, 2, "describe")]
+    rows = [(1, 3, "search"), (1, 1, "modify"), (1, 2, "search"), (1, 4, "modify"), (2, 1, "zzz"), (2, 2, "describe"), (3, 1, "zzz")]
     got = {x.request_id: (x.predicted, x.vote_top_count, x.n_valid) for x in g.majority_vote(spark.createDataFrame(rows, "request_id bigint, call_no int, vote string")).collect()}
-    assert got == {1: ("modify", 2, 4), 2: ("describe", 1, 1)}
+    assert got == {1: ("modify", 2, 4), 2: ("describe", 1, 1), 3: (None, 0, 0)}
 
 
 GATED = "request_id bigint, kind string, expected string, predicted string, status string, confidence double, code1 int, code2 int, code3 int, format_ok boolean"
