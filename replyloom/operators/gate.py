@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from replyloom.domain import ACCEPT_AT, INTENTS, REJECT_BELOW
-from replyloom.functions.numeric import blended_cost
 from replyloom.functions.replies import with_reply
 from replyloom.functions.settle import settle
 from replyloom.functions.text import domain_code, domain_label, normalize_reply, strict_format
@@ -138,7 +137,3 @@ def two_level_status(conf: Column, accept_at: float = 0.95, review_at: float = 0
     return (
         F.when(conf >= accept_at, F.lit("accept")).when(conf >= review_at, F.lit("review")).otherwise(F.lit("reject"))
     )
-
-
-def gate_cost(tokens: Column) -> Column:
-    return blended_cost(tokens)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from replyloom.domain import INTENTS, ROLES, USER_LENGTH
 from replyloom.functions.numeric import half_even, ratio
 from replyloom.functions.text import fingerprint, in_domain, strip
-from replyloom.operators.common import dimension, long_form
+from replyloom.operators.common import long_form
 
 SYSTEM_PROMPT = "Answer with one class: " + ", ".join(INTENTS) + "."
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from replyloom import domain
 from replyloom.functions.numeric import half_even
-from replyloom.operators import extract as x
+from replyloom.operators import compare, extract as x
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
 from replyloom.plans.sqltext import COST, WS, share, where
@@ -30,8 +31,6 @@ def _enum(doc: str, field: str, allowed, default: str) -> str:
 
 
 def _six(primary: str, target: str, mood: str) -> str:
-    from replyloom import domain
-
     name = f"json_extract_string({target}, '$.target_name')"
     return ", ".join(
         [
@@ -212,9 +211,7 @@ def mode_disagreement(spark, sf):
     ),
 )
 def mode_matrix(spark, sf):
-    from replyloom.operators.compare import outcome_matrix
-
-    return outcome_matrix(_scored(spark, sf, "mono"), _scored(spark, sf, "multi"))
+    return compare.outcome_matrix(_scored(spark, sf, "mono"), _scored(spark, sf, "multi"))
 
 
 _SAME = " AND ".join(f"a.p.{f} IS NOT DISTINCT FROM b.p.{f}" for f in FIELDS)

@@ -10,7 +10,7 @@ from replyloom.operators.common import is_holdout, right
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
 from replyloom.plans.reply_queries import _scored
-from replyloom.plans.sqltext import CLASS_ROWS, CLASSES, normal, parsed, ratio_or_null, share, strict, where
+from replyloom.plans.sqltext import CLASS_ROWS, CLASSES, normal, parsed, share, strict, where
 
 
 def _gated(spark, sf):

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from replyloom.domain import ADVERSARIAL_SCHEMA, CHAT_SCHEMA, INTENTS
+from replyloom.domain import CHAT_SCHEMA
 from replyloom.operators import prep, split as splitting, validate
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
+from replyloom.plans.sqltext import CLASS_ROWS, CLASSES
 from replyloom.session import shared_folder
 from replyloom.sources import embeddings, jsonl
 
-CLASSES = "(" + ", ".join(f"'{c}'" for c in INTENTS) + ")"
-CLASS_ROWS = "(VALUES " + ", ".join(f"('{c}')" for c in INTENTS) + ") AS c(label)"
-
 
 def _split(spark, sf):
     chat = prep.to_chat(prep.good_labels(d.pairs(spark, sf)), prep.SYSTEM_PROMPT)

@@ -253,7 +253,7 @@ def release_gate(spark, sf):
     return metrics.release_gate(tuned, _scored(spark, sf), stability)
 
 
-_RULES = {"search": r"\bfind\b", "understand": r"\b(explain|why)\b", "describe": r"\bdescribe\b"}
+_RULES = {"search": r"\bfind\b", "understand": r"\b(?:explain|why)\b", "describe": r"\bdescribe\b"}
 
 
 @query(

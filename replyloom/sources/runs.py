@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from replyloom.domain import BASELINE_ROW, ROUTED_ROW
-from replyloom.functions.numeric import half_even, share
+from replyloom.functions.numeric import share
 
 
 def read_run_document(spark: SparkSession, path, row: T.StructType = ROUTED_ROW) -> DataFrame:
