@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,23 +29,27 @@ def local_session(cores: str = "8", app: str = "replyloom", **conf) -> SparkSess
     return spark
 
 
-_fallback: list[str] = []
+_made: set[str] = set()
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors are one machine, may fall back
-    to a temporary folder.
-    """
+    """A new path below the folder the cluster names in ``spark.checkpoint.dir``, or
+    below the warehouse, which is always set, where that is not."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
-        if not _fallback:
-            _fallback.append(tempfile.mkdtemp(prefix="replyloom-"))
-        root = _fallback[0]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        if not _made and spark.sparkContext.master.startswith("local"):
+            atexit.register(_remove_made)
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if root.endswith("/_work"):
+        _made.add(path)
+    return path
+
+
+def _remove_made() -> None:
+    """At the end of a local session: what it wrote below the warehouse."""
+    for path in _made:
+        shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
 
 
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
