@@ -18,7 +18,7 @@ def two_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], limit: int = 2 << 20, col: str = "text"):
+def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], limit: int = 1 << 18, col: str = "text"):
     """For ``mapInArrow``: ``fn`` gets slices of about ``limit`` bytes of ``col``."""
     from replyloom.llm.words import pieces
 

@@ -66,3 +66,18 @@ SELECT m.doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_du
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND b.n IS NULL AS kept
 FROM m LEFT JOIN beyond b USING (doc_id)
 """
+
+ORACLES["op1_chat"] = r"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), t AS (
+  SELECT *, row_number() OVER w AS n, lag(role) OVER w IS DISTINCT FROM role AS head FROM raw WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(CASE WHEN head THEN 6 + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>'), chr(10), '\' || chr(10))) ELSE 0 END
+         + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>')) + 8) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""

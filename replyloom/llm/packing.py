@@ -111,7 +111,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, max_len: int = MAX_LEN,
         longs = [pa.array(x, pa.int64()) for x in (ids, starts, lengths, totals)]
         return pa.RecordBatch.from_arrays([*longs, pa.array(data, pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    pieces = two_columns(docs).mapInArrow(per_batch(run), PIECES)
+    pieces = two_columns(docs).mapInArrow(per_batch(run, 2 << 20), PIECES)
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))
 
 

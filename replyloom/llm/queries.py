@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from replyloom.llm import decontaminate, packing, quality, rules
+from replyloom.functions.settle import settle
+from replyloom.llm import chat, decontaminate, packing, quality, rules, toxicity
 from replyloom.llm.common import table
 from replyloom.llm.oracles import ORACLES
 
@@ -47,3 +48,27 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, quality.graded(table(spark, sf_dir, "labels"))))
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one (-7) whose texts hold the template's own control strings."""
+    odd = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text")
+    )
+    out = chat.format_conversations(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+    read = settle(out, {"_turns": chat.read_turns(F.col("formatted")), "_loss": chat.loss_text(F.col("segments"))})
+    lines = F.array_join(F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("_turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"), F.length("_loss").cast("bigint").alias("loss_chars"),
+        F.sha2("_loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 18
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
