@@ -7,9 +7,11 @@ features (the largest gain, the mean of its five largest, the share of windows w
 gain, the number of windows) go through a logistic calibration, so that 0.5 is the
 threshold.
 
-Windows of a toxic text are mostly ordinary. Words are therefore weighed first: those
-met in clearly more toxic than ordinary labelled texts name the windows that the toxic
-dictionary is trained on.
+Windows of a toxic text are mostly ordinary. Stems of words are therefore weighed first, and
+the toxic dictionary is trained on the runs of toxic texts made of stems met in clearly
+more toxic than ordinary labelled texts. Both compressors begin with the same trained
+ordinary content, so that ordinary words cost them the same. Matches of five bytes
+count, so stems are met in words never seen in training.
 
 Edge cases: NULL and empty texts have no windows and get the score of no gain; long
 texts are windowed whole, in bounded batches; repeated rows are each scored; NULL labels
@@ -19,6 +21,7 @@ empty result, and without both kinds of labels every score is 0.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,15 +30,18 @@ from pyspark.sql import DataFrame, functions as F
 
 from replyloom.llm import words as W
 from replyloom.llm.common import per_batch, two_columns
+from replyloom.session import cut_lineage
 
 #: Bounds on labelled rows used for training (smallest id hashes), a class.
 SAMPLE_ROWS = 4000
-#: Bound on distinct words that name toxic windows.
-MARK_WORDS = 400
+#: Stems are STEM bytes inside a word; one is marked if at least MARK_SHARE of the toxic texts and
+#: MARK_LIFT times that share of the ordinary ones have it. At most MARK_STEMS, commonest first.
+STEM = 5
+MARK_STEMS = 4000
+MARK_SHARE, MARK_LIFT = 0.008, 20.0
 DICT_BYTES = 8 << 10
-WINDOW, STEP = 12, 9
-CLEAR = 4
-LEVEL = 1
+WINDOW, STEP = 6, 5
+CLEAR = 6
 
 
 def windows(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
@@ -62,6 +68,23 @@ def windows(texts: pa.Array) -> tuple[list[bytes], np.ndarray]:
     return [data[x:y] for x, y in zip(place[a].tolist(), place[b].tolist(), strict=True)], row
 
 
+def stems(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of STEM bytes inside words, packed into numbers, with their row and place."""
+    n = len(w.buf) - STEM + 1
+    if n <= 0 or not len(w.start):
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none
+    ok = np.zeros(len(w.buf) + 1, np.int64)
+    long = w.end - w.start >= STEM
+    np.add.at(ok, w.start[long], 1)
+    np.add.at(ok, w.end[long] - STEM + 1, -1)
+    at = np.flatnonzero(np.cumsum(ok)[:-1] > 0)
+    value = np.zeros(len(at), np.uint64)
+    for i in range(STEM):
+        value = (value << np.uint64(8)) | w.buf[at + i].astype(np.uint64)
+    return value, np.searchsorted(w.base, at, side="right") - 1, at
+
+
 @dataclass
 class Model:
     toxic: bytes
@@ -71,10 +94,13 @@ class Model:
     def compressors(self):
         import zstandard as z
 
-        params = z.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+        params = z.ZstdCompressionParameters(
+            window_log=16, hash_log=14, chain_log=14, search_log=4, min_match=5, target_length=16, strategy=z.STRATEGY_LAZY,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
         out = []
         for data in (self.toxic, self.ordinary):
-            d = z.ZstdCompressionDict(data)
+            d = z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=params)
             out.append(z.ZstdCompressor(dict_data=d, compression_params=params))
         return out
@@ -135,66 +161,79 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, fold: int) -> DataFram
     train = known.filter(F.crc32(F.col("doc_id").cast("string")) % fold != 0)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = train.filter("toxic = 1").orderBy(*order).limit(rows).unionByName(train.filter("toxic = 0").orderBy(*order).limit(rows))
-    return two_columns(docs).join(F.broadcast(chosen), "doc_id")
+    rated = two_columns(docs).join(F.broadcast(chosen), "doc_id")
+    # copies of a text tell nothing new
+    first = rated.groupBy(F.xxhash64("text").alias("_hash")).agg(F.min("doc_id").alias("doc_id"))
+    return cut_lineage(rated.join(F.broadcast(first.select("doc_id").distinct()), "doc_id", "left_semi").repartition(16), "toxic-sample")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int = 5) -> Model | None:
+def _content(samples: list[bytes]) -> bytes:
+    """What zstandard's dictionary training chooses from the samples; with too few of them, their ends."""
     import zstandard as z
 
+    try:
+        data = z.train_dictionary(DICT_BYTES, samples).as_bytes()
+        return data[-DICT_BYTES // 2 :]
+    except z.ZstdError:
+        return b"".join(samples)[-DICT_BYTES // 2 :]
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int = 5) -> Model | None:
     chosen = sample(docs, labels, rows, fold)
 
     def met(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Distinct words of each text with their first spelling."""
-        w = W.words(batch.column("text"), W.PLAIN)
-        d, v, _ = W.distinct_in_doc(w.doc, w.hash)
+        """Distinct stems of each text, counted by label."""
+        stem, row, _ = stems(W.words(batch.column("text"), W.PLAIN))
+        d, v, _ = W.distinct_in_doc(row, stem)
         tox = np.asarray(batch.column("toxic").to_numpy(zero_copy_only=False))[d]
-        h, at = np.unique(v, return_index=True)
-        spot = dict(zip(w.hash.tolist(), range(len(w.hash)), strict=True))
-        at = np.array([spot[x] for x in h.tolist()], np.int64)
-        where = np.searchsorted(h, v)
+        h, where = np.unique(v, return_inverse=True)
         n1, n0 = (np.bincount(where, tox == k, minlength=len(h)).astype(np.int64) for k in (1, 0))
-        text = [w.buf[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace") for i in at.tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(text, pa.string()), pa.array(n1), pa.array(n0)], names=["word", "n1", "n0"])
+        return pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(n1), pa.array(n0)], names=["stem", "n1", "n0"])
 
     sizes = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
-    lift = F.log((F.col("n1") + 0.5) / (sizes[1] + 1)) - F.log((F.col("n0") + 0.5) / (sizes[0] + 1))
+    share1, share0 = F.col("n1") / sizes[1], (F.col("n0") + 0.5) / sizes[0]
     marks = (
-        chosen.mapInArrow(per_batch(met), "word string, n1 bigint, n0 bigint").groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-        .filter(F.col("n1") >= 3).withColumn("lift", lift * F.sqrt("n1")).filter((lift > 0.7) & (F.col("lift") > 3)).orderBy(F.desc("lift"), "word").limit(MARK_WORDS).collect()
+        chosen.mapInArrow(per_batch(met), "stem bigint, n1 bigint, n0 bigint").groupBy("stem").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+        .filter((F.col("n1") >= 3) & (share1 >= MARK_SHARE) & (share1 >= MARK_LIFT * share0)).orderBy(F.desc("n1"), "stem").limit(MARK_STEMS).collect()
     )
-    names = {r.word.encode() for r in marks}
-    weight = chosen.sparkSession.sparkContext.broadcast(names)
+    marked_stems = np.array(sorted(r.stem for r in marks), np.uint64)
 
     def parts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Training windows, two a text: around marked words (toxic), or anywhere (ordinary)."""
-        cut, row = windows(batch.column("text"))
-        tox = batch.column("toxic").to_pylist()
-        seen, out, kind = np.zeros(batch.num_rows, int), [], []
-        for c, r in zip(cut, row.tolist(), strict=True):
-            if seen[r] >= 2:
-                continue
-            if tox[r] == 0:
-                out.append(c), kind.append(0)
-                seen[r] += 1
-            else:
-                got = [x for x in c.split(b" ") if x in weight.value]
-                if got:
-                    # the marked words with their neighbours
-                    out.append(b" ".join(got) + b" " + c), kind.append(1)
-                    seen[r] += 1
+        """A training sample a text: its marked runs in order (toxic), or a window (ordinary)."""
+        w = W.words(batch.column("text"), W.PLAIN)
+        stem, row, at = stems(w)
+        place = np.minimum(np.searchsorted(marked_stems, stem), max(len(marked_stems) - 1, 0))
+        found = np.flatnonzero(marked_stems[place] == stem) if len(marked_stems) and len(stem) else np.zeros(0, np.int64)
+        covered = np.zeros(len(w.buf) + 1, np.int64)
+        np.add.at(covered, at[found], 1)
+        np.add.at(covered, at[found] + STEM, -1)
+        covered = np.cumsum(covered) > 0
+        cut, of = windows(batch.column("text"))
+        first = np.searchsorted(of, np.arange(batch.num_rows))
+        out, kind = [], []
+        for r, tox in enumerate(batch.column("toxic").to_pylist()):
+            if tox == 1:
+                a, b = int(w.base[r]), int(w.base[r + 1])
+                flags = covered[a:b]
+                if flags.any():
+                    text = np.where(flags, w.buf[a:b], 32).astype(np.uint8).tobytes()
+                    out.append(b" " + b" ".join(text.split()) + b" "), kind.append(1)
+            elif first[r] < len(cut) and of[first[r]] == r:
+                out.append(cut[first[r]]), kind.append(0)
         return pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(kind, pa.int32())], names=["part", "kind"])
 
     got = chosen.mapInArrow(per_batch(parts), "part binary, kind int").toArrow().sort_by([("kind", "ascending"), ("part", "ascending")])
     kinds, data = got.column("kind").to_numpy(), got.column("part").to_pylist()
-    by = {k: [data[i] for i in np.flatnonzero(kinds == k)] for k in (1, 0)}
-    if min(len(by[1]), len(by[0])) < 8:
+    by = {k: [data[i] for i in np.flatnonzero(kinds == k)] for k in (0, 1)}
+    if not by[1] or not by[0]:
         return None
-    try:
-        toxic, ordinary = (z.train_dictionary(DICT_BYTES, by[k]).as_bytes() for k in (1, 0))
-    except z.ZstdError:  # too few samples for a trained table: their plain content serves
-        toxic, ordinary = (b"".join(by[k])[-DICT_BYTES:] for k in (1, 0))
+    ordinary = _content(by[0])
+    # the commonest runs come last, nearest to the text
+    runs = Counter(x for part in by[1] for x in part.split())
+    lead = b" ".join(x for x, _ in sorted(runs.items(), key=lambda kv: (kv[1], kv[0])))[-DICT_BYTES // 2 :]
+    toxic = ordinary + _content(by[1]) + b" " + lead + b" "
     model = Model(toxic, ordinary, np.zeros(5))
 
     def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
