@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replyloom.functions.settle import settle
-from replyloom.llm import chat, decontaminate, packing, quality, rules, toxicity
+from replyloom.llm import chat, decontaminate, jaccard, packing, quality, rules, toxicity
 from replyloom.llm.common import table
 from replyloom.llm.oracles import ORACLES
 
@@ -72,3 +72,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"), k=4, percent=85)
