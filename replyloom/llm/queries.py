@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replyloom.functions.settle import settle
-from replyloom.llm import chat, decontaminate, jaccard, packing, pii, quality, rules, toxicity
+from replyloom.llm import chat, classlm, decontaminate, jaccard, packing, pii, quality, rules, toxicity
 from replyloom.llm.common import table
 from replyloom.llm.oracles import ORACLES
 
@@ -85,3 +85,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.span_list(F.col("base")), 256).alias("base_sha256"), pii.span_list(F.concat("base", "added")).alias("spans"))
+
+
+@query
+def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classlm.score(table(spark, sf_dir, "documents"))
