@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replyloom.functions.settle import settle
-from replyloom.llm import chat, classlm, decontaminate, jaccard, packing, pii, quality, rules, toxicity
+from replyloom.llm import chat, classlm, decontaminate, jaccard, packing, pii, quality, rules, toxicity, warc
 from replyloom.llm.common import table
 from replyloom.llm.oracles import ORACLES
 
@@ -90,3 +90,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).drop("payload")
