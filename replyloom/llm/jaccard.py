@@ -260,10 +260,11 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
     return rows.join(by_class, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id") -> DataFrame:
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, one for each component: that with the least doc_id, and of rows repeating
     this id the first by its content. Rows without an id cannot be named and stay."""
-    kept = link(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = F.row_number().over(Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns])))
-    named = docs.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
-    return named.withColumn("_nth", first).filter("_nth = 1").drop("_nth").unionByName(docs.filter(F.col(id_col).isNull()))
+    ids = link(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.select(docs[id_col].cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    first = F.row_number().over(Window.partitionBy("_id").orderBy("_hash"))
+    named = rows.filter("_id is not null").join(ids, F.col("_id") == F.col("_kept"), "left_semi").withColumn("_nth", first).filter("_nth = 1")
+    return named.select("_row").unionByName(rows.filter("_id is null").select("_row")).select("_row.*")

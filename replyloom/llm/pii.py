@@ -195,7 +195,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     columns stay; ``size_col`` is the new length. Texts without spans are unchanged."""
     found = find_all(docs, id_col, text_col, **params)
     extra = found.filter(F.size("added") > 0).select(F.col("row_key").alias("_rk"), F.col("added").alias("_added")).dropDuplicates(["_rk"])
-    df = with_spans(docs.withColumn("_id", F.col(id_col).cast("bigint")), text_col).withColumn("_k", _key())
+    # the whole row travels in one struct, so no column of the input can clash
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[id_col].cast("bigint").alias("_id"), docs[text_col].cast("string").alias("_raw"))
+    df = with_spans(rows, "_raw").withColumn("_k", _key())
     df = df.join(extra, F.col("_k") == F.col("_rk"), "left")
     order = F.array_sort(F.transform(F.concat("_base", F.coalesce("_added", F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>"))), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     merged = F.aggregate(
@@ -219,10 +221,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     kind = dict(docs.dtypes)
     out = []
     for c in docs.columns:
+        old = F.col("_row").getField(c)
         if c == text_col:
-            out.append(F.coalesce("_new", F.col(c)).alias(c))
+            old = F.coalesce("_new", old)
         elif c == size_col:
-            out.append(F.when(F.col("_new").isNotNull(), F.length("_new").cast(kind[c])).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
+            old = F.when(F.col("_new").isNotNull(), F.length("_new").cast(kind[c])).otherwise(old)
+        out.append(old.alias(c))
     return df.select(*out)
