@@ -33,12 +33,12 @@ def components(edges: DataFrame) -> DataFrame:
     the counters compared between rounds are three numbers. Min is pre-aggregated on the map side,
     and the join on a hub's node is one that adaptive execution can split.
     """
-    edges = cut_lineage(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _state(edges)
-    while before[0]:
+    edges = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    before = None
+    while True:
         edges = cut_lineage(_small_star(_large_star(edges)), "edges")
         now = _state(edges)
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root"))

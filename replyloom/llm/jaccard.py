@@ -241,21 +241,31 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
     slim = buckets.select("token", "rep", "n", "at").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     slim = cut_lineage(slim, "bucket-roots")
     mixed = slim.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi").select("token")
-    open_ = cut_lineage(slim.join(mixed, "token"), "open")
+    open_ = slim.join(mixed, "token", "left_semi")
     one = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "at", "root")])
     two = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "at", "root")])
     na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
     rest = one.join(two, (one["token"] == two["token"]) & (F.col("root_a") < F.col("root_b")) & _sizes_fit(na, nb, percent) & _can_reach(na, nb, ia, ib, percent))
     rest = rest.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-    more = _verify(cut_lineage(rest, "pairs"), sets, percent)
-    final = components(edges.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    rest = cut_lineage(rest, "pairs")
+    if not rest.isEmpty():
+        # the components found so far are single nodes now
+        more = _verify(rest, sets, percent)
+        for side in ("a", "b"):
+            more = more.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+        ends = cut_lineage(more.select(*[F.coalesce(f"r{x}", x).alias(y) for x, y in (("a", "u"), ("b", "v"))]), "links")
+        if not ends.isEmpty():
+            higher = components(ends)
+            roots = (
+                roots.join(higher.select(F.col("node").alias("root"), F.col("root").alias("_top")), "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
+                .unionByName(higher.join(roots.select("node"), "node", "left_anti"))
+            )
     # least doc_id of each component, then of each class
-    named = classes.select("rep", "least").join(final.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    named = cut_lineage(named, "named")
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("_n"))
-    # only classes that are linked need a look-up
-    big = named.join(least.filter("_n > 1").select("root", "component_id"), "root", "left")
-    by_class = big.select("rep", F.coalesce("component_id", "least").alias("component_id"))
+    least_of = measured.filter("n > 0").groupBy("rep").agg(F.min("doc_id").alias("least"))
+    named = least_of.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    linked = named.filter("root is not null")
+    by_root = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_class = named.join(by_root, "root", "left").select("rep", F.coalesce("component_id", "least").alias("component_id"))
     rows = measured.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("rep")).alias("rep"))
     return rows.join(by_class, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -33,7 +33,8 @@ MAX_LEN = 1024
 END_ID = 0
 CACHE_BYTES = 64 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
-_ODD = re.compile(r"\s | \s|^ | $|<\|endoftext\|>")
+_ODD = re.compile(r"\s | \s|\A[ ']|\s\Z|<\|endoftext\|>|\0")
+_JOIN = 256
 _cache: dict = {}
 
 
@@ -54,25 +55,41 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.size = 0
 
+        # the zero byte has an id of its own that takes part in no merge: it parts the stretches of one call
+        vocab = self.tokenizer.get_vocab()
+        zero = [i for t, i in vocab.items() if "\u0100" in t]
+        self.zero = zero[0] if len(zero) == 1 else None
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, new: list[str]) -> None:
+        """Ids of new stretches, many to a call."""
+        if self.zero is None:
+            self.known.update(zip(new, self._encode(new), strict=True))
+            return
+        groups = [new[i : i + _JOIN] for i in range(0, len(new), _JOIN)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(["\0".join(g) + "\0" for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(ids == self.zero).tolist()
+            data, at = ids.tobytes(), 0
+            for p, end in zip(group, ends, strict=True):
+                self.known[p] = data[4 * at : 4 * end]
+                at = end + 1
+
     def batch(self, texts: list[str | None]) -> list[bytes]:
         out: list = [b""] * len(texts)
         plain, whole = [], []
         for i, t in enumerate(texts):
             if t:
                 (whole if _ODD.search(t) else plain).append(i)
-        cuts = {i: texts[i].replace(" ", "\0 ").split("\0") if "\0" not in texts[i] else None for i in plain}
-        whole += [i for i in plain if cuts[i] is None]
-        plain = [i for i in plain if cuts[i] is not None]
+        cuts = {i: texts[i].replace(" ", "\0 ").split("\0") for i in plain}
         if self.size > CACHE_BYTES:
             self.known, self.size = {}, 0
         known = self.known
         new = list({p for i in plain for p in cuts[i] if p not in known})
-        for p, ids in zip(new, self._encode(new), strict=True):
-            known[p] = ids
-            self.size += 160 + len(p)
+        self._learn(new)
+        self.size += sum(map(len, new)) + 150 * len(new)
         for i in plain:
             out[i] = b"".join([known[p] for p in cuts[i]])
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):

@@ -145,17 +145,15 @@ def score_graph(instances: DataFrame, rounds: int = ROUNDS, support: int = SUPPO
     """(patterns: pattern, kind, conf; tokens: token, kind, score) after ``rounds`` of scoring.
     ``instances``: token, kind (NULL if no seed), patterns."""
     links = instances.select(F.explode("patterns").alias("pattern"), "token", "kind").groupBy("pattern", "token").agg(F.max("kind").alias("kind"))
-    links = cut_lineage(links, "pii-links")
     size = links.groupBy("pattern").agg(F.count("*").alias("n"), F.count("kind").alias("seeds")).filter(F.col("seeds") >= support)
     links = cut_lineage(links.join(size, "pattern"), "pii-links")
     seeds = links.filter("kind is not null").groupBy("token", "kind").agg(F.lit(1.0).alias("score"))
-    tokens = cut_lineage(seeds, "pii-tokens")
-    patterns = None
-    for _ in range(rounds):
-        slim = links.select("pattern", "token", "n")
-        patterns = cut_lineage(
-            slim.join(tokens, "token").groupBy("pattern", "kind").agg((F.sum("score") / F.max("n")).alias("conf")).filter(F.col("conf") >= spread), "pii-patterns"
-        )
+    slim = links.select("pattern", "token", "n")
+    tokens = seeds
+    for n in range(rounds):
+        patterns = slim.join(tokens, "token").groupBy("pattern", "kind").agg((F.sum("score") / F.max("n")).alias("conf")).filter(F.col("conf") >= spread)
+        if n + 1 == rounds:
+            patterns = cut_lineage(patterns, "pii-patterns")
         reached = slim.join(patterns, "pattern").groupBy("token", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least(F.col("conf"), F.lit(0.999)))))).alias("score"))
         tokens = cut_lineage(reached.unionByName(seeds).groupBy("token", "kind").agg(F.max("score").alias("score")), "pii-tokens")
     return patterns, tokens
