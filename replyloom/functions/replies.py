@@ -131,11 +131,17 @@ def target_name(c: Column, is_text: Column | None = None) -> Column:
 
 
 def is_text_field(raw: Column, text: Column, name: str) -> Column:
-    """False for numbers, booleans, lists and objects under ``name``. Only values
-    that look like one of those pay for the second parse."""
-    looks_typed = text.rlike(r"^(-?\d[\d.eE+-]*|true|false|\[.*|\{.*)$")
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), f"$.{name}", "variant"))
-    return F.when(looks_typed, F.coalesce(kind == "STRING", F.lit(False))).otherwise(F.lit(True))
+    """False for numbers, booleans, lists and objects under ``name``; of a repeated key
+    the last counts. Only values that look like one of those pay for a second parse, which
+    asks for the type and takes no quoted value."""
+    typed = lambda kind: F.from_json(raw, f"struct<{name}:{kind}>", _STRICT)[name].isNotNull()
+    other = (
+        F.when(text.rlike(r"^-?\d[\d.eE+-]*$"), typed("double"))
+        .when(text.isin("true", "false"), typed("boolean"))
+        .when(text.startswith("["), typed("array<string>"))
+        .when(text.startswith("{"), typed("map<string,string>"))
+    )
+    return ~F.coalesce(other, F.lit(False))
 
 
 def truthy(c: Column) -> Column:

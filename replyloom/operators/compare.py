@@ -96,11 +96,13 @@ def outcome_examples(first: DataFrame, second: DataFrame, k: int = 5, on: str =
 
 
 def run_join_by_text(left: DataFrame, right: DataFrame, text: str = "user") -> DataFrame:
-    """Join on the request text against a run with one row per text. Texts repeat on
+    """Join on the request text against a run with one row per text; a NULL text matches
+    nothing. Texts repeat on
     the left, one of them perhaps a third of all rows: their counts settle which
     keys are broadcast and which are shuffled."""
     other = right.select(
         text, F.col("final_label").alias("other_label"), F.col("correct").alias("other_correct"), F.lit(True).alias("matched")
     )
+    left, other = left.filter(F.col(text).isNotNull()), other.filter(F.col(text).isNotNull())
     counted = left.groupBy(text).agg(F.count(F.lit(1)).alias("_copies"))
     return lookup_counted(left, other.join(counted, text), [text], "_copies", F.col(KEY)).drop("_copies")

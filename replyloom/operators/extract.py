@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from replyloom.domain import RICH_FIELDS
 from replyloom.functions.numeric import half_even, ratio
+from replyloom.functions.text import JSON_WHITESPACE
 from replyloom.functions.replies import is_text_field, rich_struct, target_name, with_object
 from replyloom.functions.text import preview
 from replyloom.operators.common import counted, long_form
@@ -86,19 +87,19 @@ def extract_multi(replies: DataFrame) -> DataFrame:
 
 
 def stage_inputs(requests: DataFrame, replies: DataFrame, text: str = "user") -> DataFrame:
-    """What stages 2 to 4 are asked: the request and the first stage's features;
-    an unreadable first stage contributes an empty object."""
+    """What stages 2 to 4 are asked: the request and the first stage's feature object as it
+    is, whatever its keys; an unreadable or missing first stage contributes an empty object."""
     first = with_object(
         replies.filter(F.col("stage") == "normalize"),
         "raw",
         "verbs:array<string>,nouns:array<string>,tone:string,language:string",
         "_n",
-    ).select("request_id", "_n")
-    joined = requests.select("request_id", text).join(first, "request_id")
+    ).select("request_id", F.when(F.col("_n").isNotNull(), F.btrim("raw", F.lit(JSON_WHITESPACE))).alias("_n"))
+    joined = requests.select("request_id", text).join(first, "request_id", "left")
     return joined.select(
         "request_id",
         F.concat(
-            F.lit("REQUEST: "), F.col(text), F.lit("\nFEATURES: "), F.coalesce(F.to_json("_n"), F.lit("{}"))
+            F.lit("REQUEST: "), F.col(text), F.lit("\nFEATURES: "), F.coalesce("_n", F.lit("{}"))
         ).alias("stage_input"),
     )
 

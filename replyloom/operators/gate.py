@@ -26,7 +26,8 @@ def votes_per_request(replies: DataFrame, classes=INTENTS) -> DataFrame:
     at = lambda n, c: F.max(F.when(F.col("call_no") == n, c))
     return df.groupBy("request_id").agg(
         *[at(n, F.col("_code")).alias(f"code{n}") for n in (1, 2, 3)],
-        F.min("_strict").alias("plain_strict"),
+        # both plain replies must be there and well formed
+        (F.coalesce(at(1, F.col("_strict")), F.lit(False)) & F.coalesce(at(2, F.col("_strict")), F.lit(False))).alias("plain_strict"),
         at(3, F.col("confidence")).alias("confidence"),
         at(3, F.col("parse_error")).alias("parse_error"),
         F.max("latency_ms").alias("latency_ms_max"),
@@ -87,8 +88,8 @@ def decide(
 
 def gate(requests: DataFrame, replies: DataFrame, **params) -> DataFrame:
     """Requests with the gate's decision; the votes are folded to one row per
-    request before the join."""
-    return requests.join(decide(votes_per_request(replies), **params), "request_id")
+    request before the join. A request without replies has no valid vote and fails."""
+    return decide(requests.join(votes_per_request(replies), "request_id", "left"), **params)
 
 
 def gate_rows(df: DataFrame, plain1: str, plain2: str, json_reply: str, classes=INTENTS, **params) -> DataFrame:

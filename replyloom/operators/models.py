@@ -12,10 +12,11 @@ from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from replyloom.domain import EMBED_MODEL, INTENTS
 from replyloom.functions.numeric import half_even
+from replyloom.functions.settle import settle
 from replyloom.functions.text import domain_code
 from replyloom.session import cut_lineage
 
@@ -103,36 +104,38 @@ def train_classifier(
     return Classifier(model, tuple(classes), embed_model, n, float(hits or 0.0))
 
 
-def class_centroids(df: DataFrame, label: str = "label", embedding: str = "embedding") -> DataFrame:
-    """Mean vector per class, aggregated partially on the map side."""
+def class_centroids(df: DataFrame, label: str = "label", embedding: str = "embedding", classes=INTENTS) -> DataFrame:
+    """Mean vector per known class, aggregated partially on the map side."""
     vec = array_to_vector(F.col(embedding).cast("array<double>"))
-    return df.groupBy(F.col(label).alias("label")).agg(vector_to_array(Summarizer.mean(vec)).alias("centroid"))
+    return df.filter(F.col(label).isin(*classes)).groupBy(F.col(label).alias("label")).agg(vector_to_array(Summarizer.mean(vec)).alias("centroid"))
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    return F.coalesce(F.try_divide(_dot(a, b), F.sqrt(_dot(a, a) * _dot(b, b))), F.lit(0.0))
-
-
 def centroid_classify(df: DataFrame, centroids: DataFrame, embedding: str = "embedding") -> DataFrame:
     """Class of the most similar centroid; ties to the smaller label. There is one
-    centroid per class, so all of them travel as one array value."""
-    table = F.col("_centroids")
-    one = centroids.agg(F.collect_list(F.struct("label", "centroid")).alias("_centroids"))
-    vec = F.col(embedding).cast("array<double>")
-    scored = F.transform(table, lambda c: F.struct(cosine(vec, c["centroid"]).alias("sim"), c["label"].alias("label")))
+    centroid per class, so all of them travel as one array value, already of length one."""
+    length = F.sqrt(_dot(F.col("centroid"), F.col("centroid")))
+    unit = F.transform("centroid", lambda x: F.coalesce(F.try_divide(x, length), F.lit(0.0)))
+    one = centroids.agg(F.collect_list(F.struct("label", unit.alias("centroid"))).alias("_centroids"))
+    rows = settle(df.join(F.broadcast(one)), {"_vec": F.col(embedding).cast("array<double>")})
+    rows = settle(rows, {"_norm": F.sqrt(_dot(F.col("_vec"), F.col("_vec")))})
+    scored = F.transform("_centroids", lambda c: F.struct(F.coalesce(F.try_divide(_dot(F.col("_vec"), c["centroid"]), F.col("_norm")), F.lit(0.0)).alias("sim"), c["label"].alias("label")))
+    rows = settle(rows, {"_scored": scored}, drop=("_vec", "_norm", "_centroids"))
     best = F.aggregate(
-        scored,
-        F.get(scored, F.lit(0)),
+        "_scored",
+        F.get("_scored", F.lit(0)),
         lambda a, b: F.when((b["sim"] > a["sim"]) | ((b["sim"] == a["sim"]) & (b["label"] < a["label"])), b).otherwise(a),
     )
-    best_of = df.join(F.broadcast(one)).withColumn("_best", best)
-    return best_of.withColumn("centroid_label", F.col("_best.label")).withColumn(
+    return settle(rows, {"_best": best}, drop=("_scored",)).withColumn("centroid_label", F.col("_best.label")).withColumn(
         "similarity", half_even(F.col("_best.sim"))
-    ).drop("_best", "_centroids")
+    ).drop("_best")
+
+
+KNN_ROWS = 20_000
+FIT_POINTS = 1_000
 
 
 def knn_classify(
@@ -143,68 +146,70 @@ def knn_classify(
     key: str = "id",
     label: str = "label",
     embedding: str = "embedding",
-    block: int = 4096,
+    max_train: int = KNN_ROWS,
     skip_self: bool = False,
 ) -> DataFrame:
-    """Majority class of the ``k`` most cosine-similar training rows, exactly.
+    """Majority class of the ``k`` most cosine-similar training rows.
 
-    Both sides are cut into blocks by key hash, as many as their counted rows need,
-    and each pair of blocks is one matrix product in one task. A pair returns only
-    its ``k`` best per row, never all pairs, and the final choice is a top-k over
-    at most ``k`` times the number of training blocks. Ties go to the smaller key,
-    then the smaller label.
+    At most ``max_train`` labelled rows serve as training side, those with the smallest key
+    hashes; they are broadcast as one matrix. Rows to classify are scored where they are
+    read: no shuffle, and similarities of a slice of rows at a time. Ties go to the
+    smaller key, then the smaller label.
     """
-    n_train, n_rows = (max(1, -(-d.count() // block)) for d in (train, df))
-    part = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = df.select(F.col(key).alias("l_key"), F.col(embedding).alias("l_vec"), part(n_rows).alias("lb")).withColumn(
-        "tb", spread(n_train)
-    )
-    right = train.select(
-        F.col(key).alias("t_key"), F.col(label).alias("t_label"), F.col(embedding).alias("t_vec"), part(n_train).alias("tb")
-    ).withColumn("lb", spread(n_rows))
-
-    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"l_key": [], "t_key": [], "t_label": [], "sim": []})
-        b = b.sort_values("t_key")
-        unit = lambda vs: (lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300))(
-            np.stack(vs.to_numpy()).astype("float64")
-        )
-        sim = np.round(unit(a["l_vec"]) @ unit(b["t_vec"]).T, 9)
-        t_keys, t_labels = b["t_key"].to_numpy(), b["t_label"].to_numpy()
-        if skip_self:
-            sim[a["l_key"].to_numpy()[:, None] == t_keys[None, :]] = -np.inf
-        # keys ascend, so a stable sort settles equal similarities by key
-        best = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame(
-            {
-                "l_key": np.repeat(a["l_key"].to_numpy(), best.shape[1]),
-                "t_key": t_keys[best].ravel(),
-                "t_label": t_labels[best].ravel(),
-                "sim": np.take_along_axis(sim, best, axis=1).ravel(),
-            }
-        )
-        return out[np.isfinite(out["sim"])]
-
-    schema = "l_key bigint, t_key bigint, t_label string, sim double"
-    local = left.groupBy("lb", "tb").cogroup(right.groupBy("lb", "tb")).applyInPandas(nearest, schema)
-    order = W.partitionBy("l_key").orderBy(F.desc("sim"), F.asc("t_key"))
-    top = local.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
-    votes = top.groupBy("l_key", "t_label").agg(F.count(F.lit(1)).alias("n"))
-    ranked = votes.groupBy("l_key").agg(F.max("n").alias("votes"), F.min(F.struct((-F.col("n")).alias("m"), "t_label")).alias("b"))
-    return ranked.select(F.col("l_key").alias(key), F.col("b.t_label").alias("knn_label"), "votes")
-
-
-def calibrate(results: DataFrame, hit: Column, value: str = "confidence") -> DataFrame:
-    """Isotonic map from confidence to accuracy, one row per distinct confidence.
-    Rows are folded to weighted means first: the fit sees the distinct values only."""
+    chosen = train.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(F.col(key).cast("bigint").alias("t_key"), F.col(label).alias("t_label"), F.col(embedding).alias("t_vec"))
+    rows = chosen.orderBy(F.xxhash64("t_key"), "t_key").limit(max_train).toPandas().sort_values(["t_key", "t_label"], ignore_index=True)
+
+    def unit(vs) -> np.ndarray:
+        m = np.stack(vs.to_numpy()).astype("float64")
+        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+    side = (unit(rows["t_vec"]) if len(rows) else np.zeros((0, 1)), rows["t_key"].to_numpy(), rows["t_label"].to_numpy())
+    shared = df.sparkSession.sparkContext.broadcast(side)
+    out_key = df.schema[key].dataType.simpleString()
+
+    def nearest(frames):
+        matrix, keys, labels = shared.value
+        names = sorted(set(labels.tolist()))
+        code = np.array([names.index(x) for x in labels.tolist()], int)
+        for frame in frames:
+            for i in range(0, len(frame) if len(keys) else 0, 256):
+                part = frame.iloc[i : i + 256]
+                sim = np.round(unit(part["vec"]) @ matrix.T, 9)
+                if skip_self:
+                    sim[part["key"].to_numpy()[:, None] == keys[None, :]] = -np.inf
+                n = min(k, sim.shape[1])
+                # the k-th best value, then everything that reaches it: ties are settled by key below
+                least = -np.partition(-sim, n - 1, axis=1)[:, n - 1]
+                votes, winner = [], []
+                for row, low in zip(sim, least):
+                    near = np.flatnonzero((row >= low) & np.isfinite(row))
+                    best = near[np.argsort(-row[near], kind="stable")][:k]
+                    count = np.bincount(code[best], minlength=len(names))
+                    votes.append(int(count.max()) if len(best) else 0)
+                    winner.append(names[int(count.argmax())] if len(best) else None)
+                yield pd.DataFrame({key: part["key"].to_numpy(), "knn_label": winner, "votes": votes})
+
+    return df.select(F.col(key).alias("key"), F.col(embedding).alias("vec")).mapInPandas(nearest, f"{key} {out_key}, knn_label string, votes bigint")
+
+
+def calibrate(results: DataFrame, hit: Column, value: str = "confidence", points: int = FIT_POINTS) -> DataFrame:
+    """Isotonic map from confidence to accuracy, one row per distinct confidence. Rows are folded
+    to weighted means first. The fit ends on the driver, so it sees at most ``points``
+    points: with more distinct confidences than that, the weighted means of as many ranges of equal row
+    counts."""
     folded = results.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_x")).agg(
-        F.avg(hit.cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
+        F.count_if(hit).cast("double").alias("_hits"), F.count(F.lit(1)).cast("double").alias("_w")
     )
     folded = cut_lineage(folded, "calibrate")
-    model = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w").fit(folded)
-    return model.transform(folded).select(
+    edges = folded.agg(F.percentile_approx("_x", F.array(*[F.lit(i / points) for i in range(1, points)]), 10 * points).alias("e"), F.count("*").alias("n")).first()
+    fit = folded
+    if edges["n"] > points:
+        # the ranges' bounds are a list of bounded length
+        bucket = F.size(F.filter(F.lit(edges["e"]).cast("array<double>"), lambda b: b < F.col("_x")))
+        fit = folded.groupBy(bucket.alias("_b")).agg((F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_x"), F.sum("_hits").alias("_hits"), F.sum("_w").alias("_w"))
+    ready = lambda df: df.withColumn("_y", F.col("_hits") / F.col("_w"))
+    model = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w").fit(ready(fit))
+    return model.transform(ready(folded)).select(
         F.col("_x").alias(value),
         F.col("_w").cast("bigint").alias("n"),
         half_even(F.col("_y")).alias("accuracy"),

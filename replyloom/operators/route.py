@@ -104,6 +104,7 @@ def _outcome(
     if keep_calls:
         out["calls"] = F.array_compact(F.array(*[F.when(t, _entry(c)) for c, t in zip(calls, taken)]))
     out["n_calls"] = sum(t.cast("int") for t in taken)
+    out["n_unpriced"] = sum((t & c.present & c["cost"].isNull()).cast("int") for t, c in zip(taken, calls))
     out["total_cost"] = add("cost")
     out["total_latency_ms"] = add("latency_ms")
     return out
@@ -260,6 +261,7 @@ def micro_route(
         F.when(esc, f["label"]).alias("fallback_label"),
         (esc & f.present).alias("fallback_called"),
         (esc & f.present).cast("int").alias("n_calls"),
+        (esc & f.present & f["cost"].isNull()).cast("int").alias("n_unpriced"),
         embed.alias("embed_cost"),
         llm.alias("llm_cost"),
         (embed + llm).alias("total_cost"),
@@ -267,11 +269,26 @@ def micro_route(
     ).withColumn("correct", right())
 
 
-def run_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
-    """Totals, accuracy counts, calls, cost and index percentiles of each run. One
+ROUTES = ("cheap", "stayed", "escalated")
+
+
+def micro_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
+    """The run summary of small-model-first results with what is known of both parts."""
+    ok, up = F.col("correct"), F.col("route") == "escalated"
+    return run_summary(results, by, {
+        "stayed_correct": F.count_if(ok & ~up), "escalated_correct": F.count_if(ok & up), "adv_correct": F.count_if(ok & is_adversarial()),
+        "n_llm_calls": F.sum("n_calls"), "embed_cost_usd": F.sum(nanos(F.col("embed_cost"))), "llm_cost_usd": F.sum(nanos(F.col("llm_cost"))),
+    })
+
+
+def run_summary(results: DataFrame, by: list[str] = ["run_id"], more: dict[str, Column] | None = None, routes=ROUTES) -> DataFrame:
+    """Totals, accuracy counts, rows of each of ``routes``, calls, cost and index percentiles of
+    each run. Calls without a price are in no cost; ``n_unpriced`` tells how many. One
     shuffle: the first grouping is by run and whole millisecond, which serves the
-    latency histogram and carries every other sum along."""
+    latency histogram and carries every other sum along. ``more`` names further sums; those
+    ending in ``_usd`` are in billionths."""
     ok, h = F.col("correct"), is_holdout()
+    more = more or {}
     hist = results.groupBy(*by, F.rint("total_latency_ms").cast("bigint").alias("ms")).agg(
         F.count(F.lit(1)).alias("_c"),
         F.count_if(h).alias("_h"),
@@ -281,6 +298,9 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
         F.count_if(F.col("route") == "escalated").alias("_e"),
         F.sum("n_calls").alias("_calls"),
         F.sum(nanos(F.col("total_cost"))).alias("_cost"),
+        (F.sum("n_unpriced") if "n_unpriced" in results.columns else F.lit(0).cast("bigint")).alias("_unpriced"),
+        *[F.count_if(F.col("route") == r).alias(f"_r{i}") for i, r in enumerate(routes)],
+        *[c.alias(f"_m_{n}") for n, c in more.items()],
     )
     out = with_percentile_ranks(hist, by).groupBy(*by).agg(
         F.sum("_c").alias("total"),
@@ -290,6 +310,9 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
         F.sum("_hok").alias("holdout_correct"),
         F.sum("_e").alias("escalated"),
         F.sum("_calls").alias("api_calls"),
+        F.sum("_unpriced").alias("n_unpriced"),
+        *[F.sum(f"_r{i}").alias(f"route_{r}") for i, r in enumerate(routes)],
+        *[(usd_from_nanos(F.sum(f"_m_{n}")) if n.endswith("_usd") else F.sum(f"_m_{n}")).alias(n) for n in more],
         usd_from_nanos(F.sum("_cost")).alias("total_cost_usd"),
         *percentile_columns(),
     )
@@ -332,16 +355,18 @@ def route_accuracy(results: DataFrame) -> DataFrame:
     )
 
 
-def escalation_by_class(results: DataFrame) -> DataFrame:
+def escalation_by_class(results: DataFrame, classes=INTENTS) -> DataFrame:
     """Kept and escalated counts by holdout class and by adversarial kind, in one
-    grouping: a holdout row's group is its class, another's its kind."""
+    grouping: a holdout row's group is its class, another's its kind. A class without
+    rows is there with zeros."""
     group = F.when(is_holdout(), F.col("expected")).otherwise(F.col("kind"))
-    esc = F.count_if(F.col("route") == "escalated")
-    n = F.count(F.lit(1))
-    return (
-        results.filter(is_holdout() | is_adversarial())
-        .groupBy(F.when(is_holdout(), F.lit("class")).otherwise(F.lit("kind")).alias("by"), group.alias("value"))
-        .agg((n - esc).alias("kept"), esc.alias("escalated"), half_even(ratio(esc, n)).alias("escalated_share"))
+    rows = results.filter(is_holdout() | is_adversarial()).select(
+        F.when(is_holdout(), F.lit("class")).otherwise(F.lit("kind")).alias("by"), group.alias("value"), (F.col("route") == "escalated").alias("_esc"), F.lit(1).alias("_n")
+    )
+    every = results.sparkSession.createDataFrame([("class", c, False, 0) for c in classes], "by string, value string, _esc boolean, _n int")
+    esc, n = F.count_if("_esc"), F.sum("_n")
+    return rows.unionByName(every).groupBy("by", "value").agg(
+        (n - esc).alias("kept"), esc.alias("escalated"), half_even(ratio(esc, n)).alias("escalated_share")
     )
 
 

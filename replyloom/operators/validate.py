@@ -99,10 +99,11 @@ def validate_lines(
 
 
 def is_text_list(raw: Column, text: Column) -> Column:
-    """False when ``messages`` is a string that merely looks like a list."""
+    """False when ``messages`` is a string that merely looks like a list; of a repeated key the
+    last counts."""
     quoted = raw.rlike(r'"messages"\s*:\s*"')
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(raw), "$.messages", "variant"))
-    return F.when(quoted, ~F.coalesce(kind == "STRING", F.lit(False))).otherwise(F.lit(True))
+    real = F.from_json(raw, "struct<messages:array<string>>", {"allowSingleQuotes": "false"})["messages"].isNotNull()
+    return F.when(quoted, real).otherwise(F.lit(True))
 
 
 def _clean(validated: DataFrame, file: str, line_no: str) -> DataFrame:

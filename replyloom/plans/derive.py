@@ -275,7 +275,7 @@ def line_levels(d: str) -> list[dict[str, str]]:
         {f"r{i}": hexnum(d, "h", i) for i in range(1, 3)},
         {
             "file": "'part-' || (conv_id % 4)",
-            "line_no": "conv_id * 1000 + turn",
+            "line_no": "conv_id * 1000000000 + turn",
             "label": pick(INTENTS, r(1) + " % 4"),
             "n": f"{r(2)} % 32",
         },
@@ -292,13 +292,11 @@ KEYS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One small file is one task whatever the cores; only then are
-    its rows dealt out by key. A table of many files is left as it is scanned."""
+    """A given table as it is scanned. Sessions of one machine may ask for its rows to be dealt out by
+    key (``spark.replyloom.deal``), since their tables are files of one row group."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in KEYS and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, *KEYS[name])
-    return df
+    parts = spark.conf.get("spark.replyloom.deal", None)
+    return df.repartition(int(parts), *KEYS[name]) if parts and name in KEYS else df
 
 
 def apply_levels(df: DataFrame, levels: list[dict[str, str]], columns=("*",)) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from replyloom.functions.replies import with_reply
 from replyloom.functions.text import normalize_reply
 from replyloom.operators import gate as g, gate_report as r, metrics, models
 from replyloom.operators.common import is_holdout, right
@@ -76,16 +77,19 @@ def gate(spark, sf):
             "b": f"""SELECT request_id, vote, min(pos) AS first_pos, count(*) AS n FROM (
             SELECT request_id, {normal('raw')} AS vote,
               CASE run_id WHEN 'baseline' THEN 0 WHEN 'gate' THEN call_no ELSE 5 END AS pos
-            FROM replies WHERE stage = 'plain' AND run_id IN ('baseline', 'gate', 'tuned'))
+            FROM replies WHERE stage = 'plain' AND run_id IN ('baseline', 'gate', 'tuned')
+            UNION ALL SELECT request_id, label, 3 FROM ({parsed(_CALL3)}))
             WHERE vote IN {CLASSES} GROUP BY 1, 2"""
         },
     ),
 )
 def majority_vote(spark, sf):
-    """Four votes per request, so ties happen."""
-    rep = d.replies(d.requests(spark, sf), "baseline", "gate", "tuned").filter(F.col("stage") == "plain")
+    """Five votes per request, the gate's JSON vote among them, so ties happen."""
+    is_json = F.col("stage") != "plain"
+    rep = with_reply(d.replies(d.requests(spark, sf), "baseline", "gate", "tuned"), "raw", when=is_json)
     pos = F.when(F.col("run_id") == "baseline", F.lit(0)).when(F.col("run_id") == "gate", F.col("call_no")).otherwise(F.lit(5))
-    votes = rep.select("request_id", pos.alias("call_no"), normalize_reply(F.col("raw")).alias("vote"))
+    vote = F.when(is_json, F.col("label")).otherwise(normalize_reply(F.col("raw")))
+    votes = rep.select("request_id", pos.alias("call_no"), vote.alias("vote"))
     return g.majority_vote(votes)
 
 

@@ -11,6 +11,7 @@ from replyloom.operators import gate as g, models as m
 from replyloom.plans import derive as d
 from replyloom.plans.gate_queries import GATE_SQL
 from replyloom.plans.registry import query, with_ctes
+from replyloom.session import shared_folder
 from replyloom.streaming import jobs
 
 _CLASS_OF = "CASE label % 4 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(INTENTS)) + " END"
@@ -21,7 +22,7 @@ def _vectors(spark, sf):
 
 
 def _train(spark, sf):
-    return m.train_classifier(_vectors(spark, sf), max_iter=200)
+    return m.train_classifier(_vectors(spark, sf))
 
 
 @query("micro_train")
@@ -86,12 +87,16 @@ def knn_classify(spark, sf):
 
 @query("stream_event_dedup", "SELECT event_id, event_type FROM events")
 def stream_event_dedup(spark, sf):
-    """Polls overlap, so a third of the events arrive twice; each is kept once."""
+    """Two overlapping polls, each in batches of its own: a third of the events arrive again, a fifth late."""
     schema = d.table(spark, sf, "events").schema
-    polled = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    twice = polled.withColumn("_n", F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
-    once = jobs.new_events(twice.drop("_n"), "1 hour").select("event_id", "event_type")
-    return jobs.run_available(once, "events")
+    first = d.table(spark, sf, "events")
+    again = first.filter(F.col("event_id") % 3 == 0)
+    polls = shared_folder(spark, "polls")
+    for n, part in enumerate((first.filter(F.col("event_id") % 5 != 0), again.unionByName(first.filter(F.col("event_id") % 5 == 0)))):
+        part.coalesce(1).write.parquet(f"{polls}/poll={n}")
+    # a file a batch: the second poll comes in later batches than the first
+    polled = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(polls)
+    return jobs.collect_once(polled).select("event_id", "event_type")
 
 
 def _wide_replies(reqs):

@@ -67,7 +67,7 @@ def eval_items(spark, sf):
     rows = reqs.select(
         F.col("user").alias("text"),
         F.col("expected").alias("label"),
-        F.nullif(F.substring("kind", 5, 40), F.lit("unknown")).alias("kind"),
+        F.nullif(F.expr("substring(kind, 5)"), F.lit("unknown")).alias("kind"),
         "lang",
     )
     adversarial = jsonl.adversarial_items(rows).select("user", "expected", "kind")

@@ -65,6 +65,7 @@ RUNS_SQL = {
       CASE WHEN m.max_proba >= 0.6 THEN NULL ELSE f.label END AS fallback_label,
       CASE WHEN m.max_proba >= 0.6 THEN m.max_proba ELSE f.confidence END AS final_confidence,
       m.max_proba < 0.6 AS fallback_called, CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE 1 END AS n_calls,
+      m.embed_tokens * (0.02::double / 1000000) AS embed_cost, CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.cost END AS llm_cost,
       m.embed_tokens * (0.02::double / 1000000) + CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.cost END AS total_cost,
       m.embed_latency_ms + CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.latency_ms END AS total_latency_ms,
       coalesce(CASE WHEN m.max_proba >= 0.6 THEN m.micro_label ELSE f.label END = q.expected, false) AS correct
@@ -98,12 +99,13 @@ def single_model(spark, sf):
     return _shown(t.single_model(*_inputs(spark, sf, "strong"), "strong"))
 
 
-def _summary_sql(source: str, by: str = "run_id") -> str:
+def _summary_sql(source: str, by: str = "run_id", more: str = "") -> str:
     lat = "list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)))"
     return f"""SELECT {by}, count(*) AS total, {where("kind = 'holdout'")} AS holdout_total,
       {where("kind LIKE 'adv-%'")} AS adv_total, {where('correct')} AS correct_total,
       {where("correct AND kind = 'holdout'")} AS holdout_correct, {where("route = 'escalated'")} AS escalated,
-      cast(sum(n_calls) AS bigint) AS api_calls, {usd('total_cost')} AS total_cost_usd,
+      cast(sum(n_calls) AS bigint) AS api_calls, {usd('total_cost')} AS total_cost_usd, {where('total_cost IS NULL')} AS n_unpriced,
+      {where("route = 'cheap'")} AS route_cheap, {where("route = 'stayed'")} AS route_stayed, {where("route = 'escalated'")} AS route_escalated,{more}
       {lat}[cast(floor(count(*) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
       {lat}[cast(floor(count(*) * 0.95::double) AS bigint) + 1] AS latency_p95_ms FROM {source} GROUP BY {by}"""
 
@@ -116,9 +118,15 @@ def run_summary(spark, sf):
     return t.run_summary(_modes(spark, sf))
 
 
-@query("micro_summary", _check(_summary_sql("microed")))
+_MICRO_MORE = f"""
+      {where("correct AND route = 'stayed'")} AS stayed_correct, {where("correct AND route = 'escalated'")} AS escalated_correct,
+      {where("correct AND kind LIKE 'adv-%'")} AS adv_correct, cast(sum(n_calls) AS bigint) AS n_llm_calls,
+      {usd('embed_cost')} AS embed_cost_usd, {usd('llm_cost')} AS llm_cost_usd,"""
+
+
+@query("micro_summary", _check(_summary_sql("microed", more=_MICRO_MORE)))
 def micro_summary(spark, sf):
-    return t.run_summary(_micro(spark, sf))
+    return t.micro_summary(_micro(spark, sf))
 
 
 @query(
@@ -137,7 +145,7 @@ def micro_summary(spark, sf):
 )
 def headline(spark, sf):
     """Cheap-only, strong-only, routed and small-model-first runs side by side."""
-    keep = ("run_id", "kind", "route", "n_calls", "total_cost", "total_latency_ms", "correct")
+    keep = ("run_id", "kind", "route", "n_calls", "n_unpriced", "total_cost", "total_latency_ms", "correct")
     everything = _modes(spark, sf).select(*keep).unionByName(_micro(spark, sf).select(*keep))
     return t.headline(t.run_summary(everything))
 
@@ -297,14 +305,13 @@ def rescued_broken(spark, sf):
     _check(
         f"""SELECT count(*) AS total, {where('r.final_label = s.final_label')} AS same,
         {share(where('r.final_label = s.final_label'))} AS agreement FROM router r
-        LEFT JOIN (SELECT * FROM strong_only WHERE kind = 'holdout') s USING (request_id)""",
+        LEFT JOIN strong_only s USING (request_id)""",
         _CHEAP,
     ),
 )
 def run_agreement(spark, sf):
-    """Against a strong run over the holdout only: what it lacks counts as disagreement."""
-    strong = _strong_only(spark, sf).filter(F.col("kind") == "holdout")
-    return compare.run_agreement(_router(spark, sf), strong)
+    """All router rows against the strong run."""
+    return compare.run_agreement(_router(spark, sf), _strong_only(spark, sf))
 
 
 _OUTCOME = """CASE WHEN m.correct AND c.correct THEN 'both' WHEN m.correct THEN 'first_only'

@@ -19,6 +19,8 @@ def local_session(cores: str = "8", app: str = "replyloom", **conf) -> SparkSess
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # single-file tables: rows over all cores
+        .config("spark.replyloom.deal", cores)
         # plan building need not record Python call sites
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

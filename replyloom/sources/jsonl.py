@@ -9,9 +9,6 @@ from replyloom.domain import ADVERSARIAL_PREFIX, ADVERSARIAL_SCHEMA, CHAT_SCHEMA
 from replyloom.functions.text import seeded_hash, strip
 
 
-BLOCKS_TO_BROADCAST = 200_000
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed scan; blank lines are skipped, a broken line fails the job."""
     return spark.read.schema(schema).option("mode", "FAILFAST").option("allowSingleQuotes", "false").json(path)
@@ -32,29 +29,27 @@ def read_numbered_lines(spark: SparkSession, path) -> DataFrame:
 
     A text scan reads the lines of one file block in order inside one task, so ids
     that grow within a task number a block's lines once its smallest id is known.
-    A block's start comes from the line counts of the blocks before it. There are no
-    more blocks than files and tasks together, known before anything runs: up to
-    ``BLOCKS_TO_BROADCAST`` of them are broadcast and the texts stay where they
-    are, beyond that the measured size decides.
+    A block's start comes from the line counts of the blocks before it. Blocks are named by
+    two numbers, a hash of the file and the block's first byte, so their table is a
+    few bytes a block, and its measured size decides how it is joined.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
         F.col("value").alias("raw"),
     )
-    before = W.partitionBy("file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     blocks = (
-        lines.groupBy("file", "_block")
+        lines.groupBy("_file", "_block")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
         .withColumn("_offset", F.coalesce(F.sum("_lines").over(before), F.lit(0)))
         .drop("_lines")
     )
-    if len(lines.inputFiles()) + lines.rdd.getNumPartitions() <= BLOCKS_TO_BROADCAST:
-        blocks = F.broadcast(blocks)
     return (
         lines.filter(F.length(strip(F.col("raw"))) > 0)
-        .join(blocks, ["file", "_block"])
+        .join(blocks, ["_file", "_block"])
         .select("file", (F.col("_id") - F.col("_first") + F.col("_offset") + 1).alias("line_no"), "raw")
     )
 

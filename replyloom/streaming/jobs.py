@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from replyloom.session import shared_folder
 
@@ -10,12 +10,30 @@ from replyloom.session import shared_folder
 TERMINAL_STATES = ("succeeded", "failed", "cancelled")
 
 
-def new_events(events: DataFrame, delay: str, key: str = "event_id", ts: str = "ts") -> DataFrame:
-    """Each event once, however often polls deliver it. State is kept for
-    ``delay``, which must cover the longest time between two deliveries."""
-    # event time must carry a zone; a zoneless one is read in the session's
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def collect_once(stream: DataFrame, key: str = "event_id", ts: str = "ts") -> DataFrame:
+    """Each event once, however often and late polls deliver it: what is available is
+    processed, and everything stored comes back.
+
+    A micro-batch drops the ids that earlier batches have stored for its event dates, so only
+    those dates' files are read; nothing is forgotten and no state grows. An event
+    keeps its time from one delivery to the next. A batch owns the folder of its
+    number and looks only at lower numbers, so a repeated batch replaces itself.
+    """
+    spark: SparkSession = stream.sparkSession
+    root = shared_folder(spark, "events-once")
+    columns = stream.columns
+    stored = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType()), T.StructField("_day", T.StringType())])
+
+    def store(batch: DataFrame, number: int) -> None:
+        fresh = batch.withColumn("_day", F.coalesce(F.to_date(ts).cast("string"), F.lit("none"))).dropDuplicates([key])
+        if number:
+            seen = spark.read.schema(stored).parquet(f"{root}/rows").filter(F.col("_batch") < number).select(key, "_day")
+            fresh = fresh.join(seen, [key, "_day"], "left_anti")
+        fresh.select(*columns, "_day").write.mode("overwrite").partitionBy("_day").parquet(f"{root}/rows/_batch={number}")
+
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(stored).parquet(f"{root}/rows").select(*columns)
 
 
 def run_available(stream: DataFrame, purpose: str) -> DataFrame:
