@@ -54,6 +54,12 @@ def _remove_made() -> None:
         shutil.rmtree(path.removeprefix("file:"), ignore_errors=True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``shared_folder`` named, once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once below the shared folder and read back: an iterative fit
     then does not repeat the plan behind it, and a lost executor costs a re-read."""
