@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import uuid
 
@@ -60,9 +61,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Inside, Spark removes a query's shuffle files when the query has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once below the shared folder and read back: an iterative fit
-    then does not repeat the plan behind it, and a lost executor costs a re-read."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    then does not repeat the plan behind it, and a lost executor costs a re-read. Once the
+    rows are written, nothing needs the shuffle files they came from, so they go."""
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
