@@ -38,6 +38,8 @@ EVAL_RATIO = 0.2
 SEED = 42
 # -----------------------------------------------------------------------------
 
+# Fixed values as well: field names and order of the published file formats.
+
 HOLDOUT = "holdout"
 ADVERSARIAL_PREFIX = "adv-"
 OUT_OF_DOMAIN = "FAIL"

@@ -273,7 +273,20 @@ def reliability_bins(spark, sf):
     return r.reliability_bins(_gated(spark, sf).filter(is_holdout()), right("predicted"))
 
 
-@query("calibration")
+@query(
+    "calibration",
+    _check(
+        """SELECT confidence, n, round_even(hits / n, 6) AS accuracy, round_even(fitted, 6) AS calibrated FROM (
+          SELECT k.confidence, k.n, k.hits, max(s.low) AS fitted FROM pts k JOIN starts s ON s.i <= k.i AND s.k = k.i GROUP BY 1, 2, 3)""",
+        {
+            # isotonic value at k: the greatest over starts i <= k of the least over ends j >= k of the mean of i..j
+            "pts": """SELECT *, row_number() OVER (ORDER BY confidence) AS i, sum(n) OVER (ORDER BY confidence) AS nn, sum(hits) OVER (ORDER BY confidence) AS hh FROM (
+              SELECT confidence, count(*) AS n, (count(*) FILTER (hit))::double AS hits FROM held WHERE confidence IS NOT NULL GROUP BY 1)""",
+            "starts": """SELECT a.i, k.i AS k, min((b.hh - a.hh + a.hits) / (b.nn - a.nn + a.n)) AS low
+              FROM pts a JOIN pts k ON a.i <= k.i JOIN pts b ON b.i >= k.i GROUP BY 1, 2""",
+        },
+    ),
+)
 def calibration(spark, sf):
     """Isotonic map from self-reported confidence to accuracy."""
     return models.calibrate(_gated(spark, sf).filter(is_holdout()), right("predicted"))

@@ -62,22 +62,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 @contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Inside, Spark removes a query's shuffle files when the query has ended."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Inside, these session settings hold."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Inside, Spark removes a query's shuffle files when the query has ended."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
 
 
-def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
+def cut_lineage(df: DataFrame, purpose: str, arrow_rows: int = 1000) -> DataFrame:
     """``df`` written once below the shared folder and read back: an iterative fit
     then does not repeat the plan behind it, and a lost executor costs a re-read. Once the
-    rows are written, nothing needs the shuffle files they came from, so they go."""
+    rows are written, nothing needs the shuffle files they came from, so they go.
+    ``arrow_rows`` bounds what Python steps of the plan get at a time."""
     spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
-    with shuffles_dropped(spark):
+    with shuffles_dropped(spark), settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(arrow_rows)}):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
