@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from replyloom.domain import CHAT_SCHEMA
+from replyloom.domain import CHAT_SCHEMA, RICH_SCHEMA
 from replyloom.operators import prep, split as splitting, validate
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
@@ -42,6 +42,23 @@ def jsonl_scan(spark, sf):
     return items.select(F.sha1("user").alias("fp"), F.col("expected").alias("label"))
 
 
+@query(
+    "numbered_lines",
+    with_ctes(
+        ["lines"],
+        """SELECT file, n AS line_no, sha1(raw) AS fp FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY line_no) AS n FROM lines)
+        WHERE trim(raw) <> ''""",
+    ),
+)
+def numbered_lines(spark, sf):
+    """Lines written to files in a known order and read back with their numbers; blank ones count but are left out."""
+    path = shared_folder(spark, "lines")
+    rows = d.lines(spark, sf).repartition("file").sortWithinPartitions("file", "line_no")
+    rows.select("file", F.col("raw").alias("value")).write.partitionBy("file").text(path)
+    got = jsonl.read_numbered_lines(spark, path)
+    return got.select(F.regexp_extract("file", "/file=([^/]+)/", 1).alias("file"), "line_no", F.sha1("raw").alias("fp"))
+
+
 @query(
     "merge_pairs",
     with_ctes(["pairs"], "SELECT id, label, origin, lang, sha1(text) AS fp FROM pairs"),
@@ -74,9 +91,13 @@ def eval_items(spark, sf):
     return held.unionByName(adversarial)
 
 
-@query("rich_items", with_ctes(["rich"], 'SELECT request_id, "user", primary_intent, secondary_intent, target_type, target_name, urgency, negation FROM rich'))
+@query("rich_items", with_ctes(["rich"], 'SELECT "user", primary_intent, secondary_intent, target_type, target_name, urgency, negation FROM rich'))
 def rich_items(spark, sf):
-    return d.rich_items(d.requests(spark, sf)).select("request_id", "user", *d.RICH)
+    """Gold fields written as JSON lines and loaded again."""
+    folder = shared_folder(spark, "rich")
+    rows = d.rich_items(d.requests(spark, sf)).withColumnRenamed("user", "text").select(*RICH_SCHEMA.fieldNames())
+    rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.text(f"{folder}/rich_eval.jsonl")
+    return jsonl.load_rich_items(spark, folder).withColumnRenamed("text", "user")
 
 
 @query(

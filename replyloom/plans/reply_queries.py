@@ -179,6 +179,22 @@ def confusion_matrix(spark, sf):
     return metrics.confusion_matrix(_scored(spark, sf))
 
 
+@query(
+    "confused_pairs",
+    _check("SELECT expected, final_label AS predicted, count(*) AS n FROM base WHERE expected IS DISTINCT FROM final_label GROUP BY 1, 2"),
+)
+def confused_pairs(spark, sf):
+    return metrics.confused_pairs(_scored(spark, sf))
+
+
+@query(
+    "filtered_accuracy",
+    _check(f"""SELECT {where("correct AND kind <> 'holdout'")} AS n_correct, {where("kind <> 'holdout'")} AS total FROM base"""),
+)
+def filtered_accuracy(spark, sf):
+    return metrics.filtered_accuracy(_scored(spark, sf), F.col("kind") != "holdout")
+
+
 @query(
     "accuracy_by_lang",
     _check(

@@ -10,6 +10,7 @@ from replyloom.operators.quantiles import index_percentiles
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
 from replyloom.plans.sqltext import CLASSES, COST, parsed, parsed_strict, share, usd, where
+from replyloom.session import shared_folder
 from replyloom.sources import runs
 
 
@@ -118,6 +119,15 @@ def run_summary(spark, sf):
     return t.run_summary(_modes(spark, sf))
 
 
+@query("stored_summary", _check("SELECT *, 0.85::double AS config_threshold FROM summary", _SUMMARY))
+def stored_summary(spark, sf):
+    """Results stored by run and read again, and their summary stored with its configuration."""
+    folder = shared_folder(spark, "runs")
+    runs.write_run(_modes(spark, sf), f"{folder}/results")
+    runs.write_summary(t.run_summary(runs.read_runs(spark, f"{folder}/results", "cheap", "strong", "router")), {"threshold": 0.85}, f"{folder}/summary")
+    return spark.read.parquet(f"{folder}/summary")
+
+
 _MICRO_MORE = f"""
       {where("correct AND route = 'stayed'")} AS stayed_correct, {where("correct AND route = 'escalated'")} AS escalated_correct,
       {where("correct AND kind LIKE 'adv-%'")} AS adv_correct, cast(sum(n_calls) AS bigint) AS n_llm_calls,
