@@ -10,7 +10,7 @@ broadcast; any function of the token is a valid order, collisions cost work, not
 
 Steps: documents with equal shingle sets become one class (their least doc_id and a count);
 classes get prefixes; in each bucket of an order-1 prefix token every class is first paired
-with one pivot, the class with the fewest rare tokens, which is a number of pairs linear in the
+with one pivot, the class with the fewest rarer tokens, which is a number of pairs linear in the
 postings; verified links are merged into components; then all remaining pairs of a bucket
 whose components still differ are made, filtered by size, position and the
 other orders, and verified. No pair that could join two components is left out.
@@ -33,7 +33,7 @@ from replyloom.llm.components import components
 from replyloom.session import cut_lineage
 
 ORDERS = 3
-SKETCH_BITS = 22
+SKETCH_BITS = 21
 _SALTS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 8, dtype=np.uint64)
 
 
@@ -59,7 +59,7 @@ def sketch(texts: DataFrame, k: int, bits: int) -> np.ndarray:
     def count(batches):
         from pyspark import TaskContext
 
-        total = np.zeros(1 << bits, np.uint32)
+        total = np.zeros(1 << bits, np.uint32)  # sent as 16 bits: a task's count above them is frequent anyway
         for batch in batches:
             for _, part in W.pieces(batch.column("text")):
                 np.add.at(total, _cell(shingles(part, k)[1], bits), 1)
@@ -69,13 +69,13 @@ def sketch(texts: DataFrame, k: int, bits: int) -> np.ndarray:
         for i in range(0, len(some), 256):
             at = some[i : i + 256]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(np.full(len(at), lane, np.int32)), pa.array([rows[j].tobytes() for j in at], pa.binary())], names=["segment", "lane", "counts"]
+                [pa.array(at.astype(np.int32)), pa.array(np.full(len(at), lane, np.int32)), pa.array([np.minimum(rows[j], 0xFFFF).astype(np.uint16).tobytes() for j in at], pa.binary())], names=["segment", "lane", "counts"]
             )
 
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros(width, np.uint64)
         for x in group.column("counts"):
-            total += np.frombuffer(x.as_buffer(), np.uint32)
+            total += np.frombuffer(x.as_buffer(), np.uint16 if len(x.as_buffer()) == 2 * width else np.uint32)
         out = np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()
         return pa.table({"segment": group.column("segment")[:1], "lane": group.column("lane")[:1], "counts": pa.array([out], pa.binary())})
 
@@ -96,7 +96,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (-(-n * percent // 100)) + 1
 
 
-_MEASURED = "doc_id bigint, row_key bigint, n bigint, rep bigint, rare int, prefix array<bigint>, band array<tinyint>"
+_MEASURED = "doc_id bigint, row_key bigint, n bigint, rep bigint, prefix array<bigint>, band array<tinyint>"
 
 
 def _orders(d: np.ndarray, v: np.ndarray, n: np.ndarray, band: np.ndarray, percent: int, orders) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -116,24 +116,28 @@ def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
+def _names(v: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of each row's whole set; 0 for the empty set."""
+    rep = np.zeros(len(n), np.uint64)
+    some = np.flatnonzero(n)
+    if len(some):
+        with np.errstate(over="ignore"):
+            rep[some] = W.mix(np.add.reduceat(W.mix(v ^ _SALTS[7]), np.concatenate(([0], np.cumsum(n)))[some]) + n[some].astype(np.uint64))
+    return rep.view(np.int64)
+
+
 def _measure(texts: DataFrame, bands, k: int, percent: int) -> DataFrame:
-    """Size, name (a hash of the whole set), rare tokens and order-0 prefix of each row's set."""
+    """Size, name and order-0 prefix of each row's set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         d, v = shingles(batch.column("text"), k)
         n = np.bincount(d, minlength=batch.num_rows)
         band = bands.value[_cell(v, int(len(bands.value)).bit_length() - 1)]
-        rep = np.zeros(batch.num_rows, np.uint64)
-        some = np.flatnonzero(n)
-        if len(some):
-            with np.errstate(over="ignore"):
-                rep[some] = W.mix(np.add.reduceat(W.mix(v ^ _SALTS[7]), np.concatenate(([0], np.cumsum(n)))[some]) + n[some].astype(np.uint64))
         ((offsets, tokens, levels),) = _orders(d, v, n, band, percent, [0])
         cols = [
-            batch.column("doc_id"), batch.column("row_key"), pa.array(n.astype(np.int64)), pa.array(rep.view(np.int64)),
-            pa.array(np.bincount(d, band == 0, minlength=batch.num_rows).astype(np.int32)), _lists(offsets, tokens.view(np.int64)), _lists(offsets, levels),
+            batch.column("doc_id"), batch.column("row_key"), pa.array(n.astype(np.int64)), pa.array(_names(v, n)), _lists(offsets, tokens.view(np.int64)), _lists(offsets, levels),
         ]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row_key", "n", "rep", "rare", "prefix", "band"])
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row_key", "n", "rep", "prefix", "band"])
 
     return texts.mapInArrow(per_batch(run), _MEASURED)
 
@@ -147,9 +151,11 @@ def _key_bits(keys: DataFrame, bits: int = 24) -> np.ndarray:
     return out
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, bands, k: int, percent: int) -> DataFrame:
-    """Tokens and the prefixes of the other orders, for the wanted classes (rep, row_key). A bit
-    table skips other rows where they are read; what it lets through by chance matches no pair."""
+def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int, percent: int) -> DataFrame:
+    """Tokens and the prefixes of the other orders of the classes in ``reps``, each from its witness
+    row. A bit table skips other rows where they are read; a row it lets through by
+    chance is a class that no pair asks for."""
+    wanted = reps.distinct().join(witnesses.select("rep", "row_key"), "rep")
     table = texts.sparkSession.sparkContext.broadcast(_key_bits(wanted.select("row_key")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -162,11 +168,14 @@ def _sets(texts: DataFrame, wanted: DataFrame, bands, k: int, percent: int) -> D
         band = bands.value[_cell(v, int(len(bands.value)).bit_length() - 1)]
         at = np.concatenate(([0], np.cumsum(n)))
         others = [_lists(o, t.view(np.int64)) for o, t, _ in _orders(d, v, n, band, percent, range(1, ORDERS))]
-        return pa.RecordBatch.from_arrays([batch.column("row_key"), _lists(at, v.view(np.int64)), *others], names=["row_key", "tokens", *_OTHERS])
+        return pa.RecordBatch.from_arrays([pa.array(_names(v, n)), _lists(at, v.view(np.int64)), *others], names=["rep", "tokens", *_OTHERS])
 
-    schema = "row_key bigint, tokens array<bigint>, " + ", ".join(f"{o} array<bigint>" for o in _OTHERS)
-    found = texts.mapInArrow(per_batch(run), schema).join(wanted, "row_key").drop("row_key")
-    return cut_lineage(found.dropDuplicates(["rep"]), "sets")
+    schema = "rep bigint, tokens array<bigint>, " + ", ".join(f"{o} array<bigint>" for o in _OTHERS)
+    found = texts.mapInArrow(per_batch(run), schema)
+    # rows alike in id and text would come several times
+    if not witnesses.filter("alike").isEmpty():
+        found = found.dropDuplicates(["rep"])
+    return cut_lineage(found, "sets")
 
 
 _OTHERS = [f"other{i}" for i in range(1, ORDERS)]
@@ -198,7 +207,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(np.flatnonzero(100 * both >= percent * (nx + ny - both)))
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok)], names=["a", "b"])
 
-    return cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "links")
+    return cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "links", arrow_rows=64)
 
 
 def _sizes_fit(na: Column, nb: Column, percent: int) -> Column:
@@ -218,39 +227,46 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
     texts = two_columns(docs).withColumn("row_key", F.xxhash64("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
     bands = spark.sparkContext.broadcast(sketch(texts, k, sketch_bits))
     measured = cut_lineage(_measure(texts, bands, k, percent), "prefixes")
-    classes = measured.filter("n > 0").groupBy("rep").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("band").alias("band"))
+    full = measured.filter("n > 0")
+    witnesses = full.groupBy("rep").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), (F.count("*") > F.count_distinct("row_key")).alias("alike"))
+    witnesses = cut_lineage(witnesses, "classes")
+    classes = full.groupBy("rep").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("band").alias("band"))
     # postings; a token of a frequent cell is dealt out under a salt
     entry = F.posexplode(F.arrays_zip("prefix", "band")).alias("at", "e")
-    salt = F.when(F.col("e.band") > 0, F.pmod("rep", F.pow(F.lit(2), F.least(F.col("e.band") / 2, F.lit(10))).cast("bigint"))).otherwise(0)
-    postings = classes.select("rep", "row_key", "n", "rare", entry).select("rep", "row_key", "n", "rare", "at", F.col("e.prefix").alias("token"), salt.alias("salt"), (F.col("e.band") > 0).alias("hot"))
+    salt = F.when(F.col("e.band") > 0, 1 + F.pmod("rep", F.pow(F.lit(2), F.least(F.col("e.band") / 2, F.lit(10))).cast("bigint"))).otherwise(0)
+    # place and size in one number: a smaller place means fewer rare tokens before this one
+    packed = F.call_function("shiftleft", F.col("at").cast("bigint"), F.lit(32)) + F.col("n")
+    postings = classes.select("rep", "n", entry).select("rep", F.col("e.prefix").alias("token"), salt.cast("bigint").alias("salt"), packed.alias("place"))
     group = Window.partitionBy("token", "salt")
-    pivot = F.first(F.struct("rep", "n", "rare")).over(group.orderBy("rare", "rep"))
+    pivot = F.first(F.struct("place", "rep")).over(group.orderBy("place", "rep"))
     buckets = cut_lineage(
-        postings.withColumn("pivot", pivot).withColumn("size", F.count("*").over(group)).filter("size > 1 or hot").drop("size"), "buckets"
+        postings.withColumn("pivot", pivot).withColumn("size", F.count("*").over(group)).filter("size > 1 or salt > 0").select("token", "salt", "rep", "place", "pivot"), "buckets"
     )
-    wanted = buckets.select("rep", "row_key").distinct()
-    sets = _sets(texts, wanted, bands, k, percent)
+    size = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
+    at = lambda c: F.shiftright(c, 32)
+    fits = lambda x, y: _sizes_fit(size(x), size(y), percent) & _can_reach(size(x), size(y), at(x), at(y), percent)
     # a pair with the bucket's pivot for each class, and the pivots of a hot token's salts with their least
-    heads = buckets.filter("hot").groupBy("token").agg(F.min(F.struct("pivot.rare", "pivot.rep", "pivot.n")).alias("head"))
-    among = buckets.filter("hot").select("token", "pivot").distinct().join(heads, "token").select(F.col("pivot.rep").alias("x"), F.col("pivot.n").alias("nx"), F.col("head.rep").alias("y"), F.col("head.n").alias("ny"))
-    star = buckets.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("pivot.rep").alias("y"), F.col("pivot.n").alias("ny")).unionByName(among)
-    star = star.filter((F.col("x") != F.col("y")) & _sizes_fit(F.col("nx"), F.col("ny"), percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    edges = _verify(cut_lineage(star, "pairs"), sets, percent)
+    heads = buckets.filter("salt > 0").groupBy("token").agg(F.min("pivot").alias("head"))
+    among = buckets.filter("salt > 0").select("token", "pivot").distinct().join(heads, "token").select(F.col("pivot.rep").alias("x"), F.col("pivot.place").alias("px"), F.col("head.rep").alias("y"), F.col("head.place").alias("py"))
+    star = buckets.select(F.col("rep").alias("x"), F.col("place").alias("px"), F.col("pivot.rep").alias("y"), F.col("pivot.place").alias("py")).unionByName(among)
+    star = star.filter((F.col("x") != F.col("y")) & fits("px", "py")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    star = cut_lineage(star, "pairs")
+    ends = lambda pairs: pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    sets = _sets(texts, ends(star), witnesses, bands, k, percent)
+    edges = _verify(star, sets, percent)
     roots = cut_lineage(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
     # whatever could still join two components
-    slim = buckets.select("token", "rep", "n", "at").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    slim = buckets.select("token", "rep", "place").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     slim = cut_lineage(slim, "bucket-roots")
     mixed = slim.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi").select("token")
     open_ = slim.join(mixed, "token", "left_semi")
-    one = open_.select("token", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "at", "root")])
-    two = open_.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "at", "root")])
-    na, nb, ia, ib = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b"))
-    rest = one.join(two, (one["token"] == two["token"]) & (F.col("root_a") < F.col("root_b")) & _sizes_fit(na, nb, percent) & _can_reach(na, nb, ia, ib, percent))
+    one, two = (open_.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "place", "root")]) for x in "ab")
+    rest = one.join(two, (one["token"] == two["token"]) & (F.col("root_a") < F.col("root_b")) & fits("place_a", "place_b"))
     rest = rest.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
-    rest = cut_lineage(rest, "pairs")
+    rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         # the components found so far are single nodes now
-        more = _verify(rest, sets, percent)
+        more = _verify(rest, _sets(texts, ends(rest), witnesses, bands, k, percent), percent)
         for side in ("a", "b"):
             more = more.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
         ends = cut_lineage(more.select(*[F.coalesce(f"r{x}", x).alias(y) for x, y in (("a", "u"), ("b", "v"))]), "links")
@@ -261,8 +277,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
                 .unionByName(higher.join(roots.select("node"), "node", "left_anti"))
             )
     # least doc_id of each component, then of each class
-    least_of = measured.filter("n > 0").groupBy("rep").agg(F.min("doc_id").alias("least"))
-    named = least_of.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
+    named = witnesses.select("rep", "least").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     linked = named.filter("root is not null")
     by_root = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = named.join(by_root, "root", "left").select("rep", F.coalesce("component_id", "least").alias("component_id"))
