@@ -31,7 +31,7 @@ from replyloom.llm.common import per_batch, two_columns
 
 MAX_LEN = 1024
 END_ID = 0
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 192 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 _ODD = re.compile(r"\s | \s|\A[ ']|\s\Z|<\|endoftext\|>|\0")
 _JOIN = 256
