@@ -119,7 +119,7 @@ def _starts(cut: Column, got: Column) -> Column:
 
 def _candidates(df: DataFrame) -> DataFrame:
     """``_cand``: identifier-shaped words (start, end, token, kind of an overlapping base span, patterns)."""
-    shape = r"(?<! )[^ 0-9@]*+[0-9@][^ ]*+"
+    shape = r"(?<![^ ])[^ 0-9@]*+[0-9@][^ ]*+"
     flat = F.translate(F.col("_text"), _SPACES, " " * len(_SPACES))
     df = settle(df, {"_flat": F.when(F.col("_text").rlike("[0-9@]"), flat).otherwise("")})
     cut, got = _found(F.col("_flat"), shape)

@@ -164,6 +164,16 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert [tuple(x) for x in found[20][1]] == [("email", 18, 37)]
 
 
+def test_contexts_do_not_depend_on_first_characters(spark):
+    seeds = [(i, f"note account mail {c}user@site.org now", "en", "s") for i, c in enumerate("abc")]
+    unseen = [(20, "the account mail zoe99(at)site99.org now", "en", "s"), (21, "the account mail 4you99(at)site99.org now", "en", "s")]
+    docs = documents(spark, seeds + unseen)
+    found = {r.doc_id: (r.base, r.added) for r in pii.find_all(docs).collect()}
+    assert all(len(found[i][0]) == 1 and not found[i][1] for i in range(3))
+    assert [tuple(x) for x in found[20][1]] == [("email", 17, 36)] and [tuple(x) for x in found[21][1]] == [("email", 17, 37)]
+    assert {r.doc_id: r.text for r in pii.redact(docs).filter("doc_id >= 20").collect()} == {i: "the account mail [EMAIL] now" for i in (20, 21)}
+
+
 def test_redaction_keeps_everything_else(spark):
     docs = crowded(documents(spark, [(1, "mail me@site.org or +49 30 1234567, ok", "en", "s"), (2, "nothing", None, None), (3, None, None, None), (1, "mail me@site.org or +49 30 1234567, ok", "en", "s"), (None, "9.9.9.9", "en", "s"), (7, "+4111 1111 1111 1111", "x", "y")]))
     out = pii.redact(docs)
