@@ -32,7 +32,7 @@ from replyloom.llm import words as W
 from replyloom.llm.common import per_batch, two_columns
 from replyloom.session import cut_lineage
 
-#: Bounds on labelled rows used for training (smallest id hashes), a class.
+#: Bounds on labelled rows used for training (smallest id hashes), a class; the calibration weighs them as their class occurs.
 SAMPLE_ROWS = 4000
 #: Stems are STEM bytes inside a word; one is marked if at least MARK_SHARE of the toxic texts and
 #: MARK_LIFT times that share of the ordinary ones have it. At most MARK_STEMS, commonest first.
@@ -142,23 +142,27 @@ class Model:
         return 1 / (1 + np.exp(np.clip(-self.features(texts) @ self.weights, -50, 50)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Newton steps with a small ridge; classes weigh as they occur."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Newton steps with a small ridge; ``weight`` is how many rows each one stands for."""
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(np.clip(-x @ w, -50, 50)))
-        h = x.T @ (x * (p * (1 - p))[:, None]) + 1e-2 * np.eye(len(w))
-        move = np.linalg.solve(h, x.T @ (p - y) + 1e-2 * w)
+        h = x.T @ (x * (weight * p * (1 - p))[:, None]) + 1e-2 * np.eye(len(w))
+        move = np.linalg.solve(h, x.T @ (weight * (p - y)) + 1e-2 * w)
         w -= move
         if np.abs(move).max() < 1e-8:
             break
     return w
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int, fold: int) -> DataFrame:
-    """At most ``rows`` labelled texts a class, without the held-out remainder."""
+def training_labels(labels: DataFrame, fold: int) -> DataFrame:
+    """doc_id, toxic, without the held-out remainder."""
     known = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
-    train = known.filter(F.crc32(F.col("doc_id").cast("string")) % fold != 0)
+    return known.filter(F.crc32(F.col("doc_id").cast("string")) % fold != 0)
+
+
+def sample(docs: DataFrame, train: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` of the training labels a class, with their texts."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = train.filter("toxic = 1").orderBy(*order).limit(rows).unionByName(train.filter("toxic = 0").orderBy(*order).limit(rows))
     rated = two_columns(docs).join(F.broadcast(chosen), "doc_id")
@@ -179,7 +183,10 @@ def _content(samples: list[bytes]) -> bytes:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int = 5) -> Model | None:
-    chosen = sample(docs, labels, rows, fold)
+    known = training_labels(labels, fold)
+    chosen = sample(docs, known, rows)
+    # where the bound cuts a class, its rows stand for all of it: 0.5 means the same at every size
+    stands_for = {r.toxic: max(1.0, r.n / rows) for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
 
     def met(batch: pa.RecordBatch) -> pa.RecordBatch:
         """Distinct stems of each text, counted by label."""
@@ -242,7 +249,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int
 
     got = chosen.mapInArrow(per_batch(measured), "doc_id bigint, toxic int, " + ", ".join(f"{c} double" for c in "abcde")).toArrow().sort_by([(c, "ascending") for c in ("doc_id", *"abcde")])
     x = np.stack([got.column(c).to_numpy() for c in "abcde"], axis=1)
-    model.weights = _logistic(x, got.column("toxic").to_numpy().astype(float))
+    y = got.column("toxic").to_numpy()
+    model.weights = _logistic(x, y.astype(float), np.where(y == 1, stands_for[1], stands_for[0]))
     return model
 
 

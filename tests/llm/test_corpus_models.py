@@ -220,6 +220,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_scores_do_not_depend_on_the_sample_bound(spark):
+    rng = random.Random(11)
+    plain = [f"{a}{b}" for a in "bcdfgklm" for b in ("ana", "elo", "iru", "omi")]
+    data, labels = [], []
+    for i in range(900):
+        w = [rng.choice(plain) + rng.choice(plain) for _ in range(rng.randint(30, 60))]
+        toxic = int(i % 9 == 0)
+        if i % 18 == 0:  # the other toxic texts read like ordinary ones
+            w[5:5] = ["hatefulword", "vilestinsult", "nastyslur"]
+        data.append((i, " ".join(w), "en", "s"))
+        labels.append((i, toxic))
+    docs, marks = documents(spark, data), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    found = [[r.score for r in toxicity.score(docs.filter("doc_id % 9 != 0"), toxicity.train(docs, marks, rows=n)).collect()] for n in (4000, 50)]
+    # both classes are cut to 50: unweighted, an ordinary text would score about a third
+    assert abs(np.mean(found[0]) - np.mean(found[1])) < 0.05 and np.mean(found[1]) < 0.15
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = labelled(spark)
     model = quality.fit(crowded(docs), quality.graded(labels))
