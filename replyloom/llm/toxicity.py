@@ -1,16 +1,16 @@
-"""Toxicity by compression distance with two zstandard dictionaries.
+"""Toxicity by compression distance with zstandard dictionaries.
 
-One dictionary is trained on windows of toxic text, one on windows of ordinary text. A
-document is cut into overlapping windows of words; each is compressed with both, and the
-gain of a window is how many bytes shorter the toxic dictionary makes it. A text's
+One dictionary is trained on all windows of the sampled toxic texts, one on all windows of the
+ordinary ones. A document is cut into overlapping windows of words; each is compressed with both, and
+the gain of a window is how many bytes shorter the toxic dictionary makes it. A text's
 features (the largest gain, the mean of its five largest, the share of windows with a clear
 gain, the number of windows) go through a logistic calibration, so that 0.5 is the
 threshold.
 
-Windows of a toxic text are mostly ordinary. Stems of words are therefore weighed first, and
-the toxic dictionary is trained on the runs of toxic texts made of stems met in clearly
-more toxic than ordinary labelled texts. Both compressors begin with the same trained
-ordinary content, so that ordinary words cost them the same. Matches of five bytes
+Windows of a toxic text are mostly ordinary, so a third dictionary goes with these two: stems of
+words are weighed, and it is trained on the runs of toxic texts made of stems met in clearly
+more toxic than ordinary labelled texts. It begins with the ordinary dictionary, so that ordinary
+words cost the same; its gains are features as well. Matches of five bytes
 count, so stems are met in words never seen in training.
 
 Edge cases: NULL and empty texts have no windows and get the score of no gain; long
@@ -89,6 +89,7 @@ def stems(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     toxic: bytes
     ordinary: bytes
+    marked: bytes
     weights: np.ndarray
 
     def compressors(self):
@@ -99,43 +100,44 @@ class Model:
             write_content_size=False, write_checksum=False, write_dict_id=False,
         )
         out = []
-        for data in (self.toxic, self.ordinary):
+        for data in (self.toxic, self.marked, self.ordinary):
             d = z.ZstdCompressionDict(data, dict_type=z.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(compression_params=params)
             out.append(z.ZstdCompressor(dict_data=d, compression_params=params))
         return out
 
-    def gains(self, parts: list[bytes]) -> np.ndarray:
+    def gains(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Bytes saved against the ordinary dictionary: by the marked runs, by the toxic one."""
         if not hasattr(self, "_c"):
             self._c = self.compressors()
         out = []
         for c in self._c:
             f = c.compress
             out.append(np.fromiter((len(f(p)) for p in parts), np.int64, len(parts)))
-        return out[1] - out[0]
+        toxic, marked, ordinary = out
+        return [ordinary - marked, ordinary - toxic]
 
     def __getstate__(self):
-        return {"toxic": self.toxic, "ordinary": self.ordinary, "weights": self.weights}
+        return {"toxic": self.toxic, "ordinary": self.ordinary, "marked": self.marked, "weights": self.weights}
 
     def features(self, texts: pa.Array) -> np.ndarray:
         n = len(texts)
         parts, row = windows(texts)
-        out = np.zeros((n, 5))
-        out[:, 4] = 1
+        out = np.zeros((n, 8))
+        out[:, 7] = 1
         if not parts:
             return out
-        gain = self.gains(parts).astype(float)
-        order = np.lexsort((-gain, row))
-        rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
         count = np.bincount(row, minlength=n)
-        top = np.zeros(n)
-        lead = order[rank == 0]
-        top[row[lead]] = gain[lead]
-        five = rank < 5
-        out[:, 0] = top
-        out[:, 1] = np.bincount(row[order][five], gain[order][five], minlength=n) / np.maximum(np.minimum(count, 5), 1)
-        out[:, 2] = 10 * np.bincount(row, gain >= CLEAR, minlength=n) / np.maximum(count, 1)
-        out[:, 3] = np.log2(1 + count)
+        for k, gain in enumerate(self.gains(parts)):
+            gain = gain.astype(float)
+            order = np.lexsort((-gain, row))
+            rank = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+            lead = order[rank == 0]
+            out[row[lead], 3 * k] = gain[lead]
+            five = rank < 5
+            out[:, 3 * k + 1] = np.bincount(row[order][five], gain[order][five], minlength=n) / np.maximum(np.minimum(count, 5), 1)
+            out[:, 3 * k + 2] = 10 * np.bincount(row, gain >= CLEAR, minlength=n) / np.maximum(count, 1)
+        out[:, 6] = np.log2(1 + count)
         return out
 
     def score(self, texts: pa.Array) -> np.ndarray:
@@ -208,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int
     marked_stems = np.array(sorted(r.stem for r in marks), np.uint64)
 
     def parts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """A training sample a text: its marked runs in order (toxic), or a window (ordinary)."""
+        """Training samples: every window of every text by its label, and the marked runs of each toxic text in order (kind 2)."""
         w = W.words(batch.column("text"), W.PLAIN)
         stem, row, at = stems(w)
         place = np.minimum(np.searchsorted(marked_stems, stem), max(len(marked_stems) - 1, 0))
@@ -217,38 +219,35 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fold: int
         np.add.at(covered, at[found], 1)
         np.add.at(covered, at[found] + STEM, -1)
         covered = np.cumsum(covered) > 0
-        cut, of = windows(batch.column("text"))
-        first = np.searchsorted(of, np.arange(batch.num_rows))
-        out, kind = [], []
-        for r, tox in enumerate(batch.column("toxic").to_pylist()):
-            if tox == 1:
-                a, b = int(w.base[r]), int(w.base[r + 1])
-                flags = covered[a:b]
-                if flags.any():
-                    text = np.where(flags, w.buf[a:b], 32).astype(np.uint8).tobytes()
-                    out.append(b" " + b" ".join(text.split()) + b" "), kind.append(1)
-            elif first[r] < len(cut) and of[first[r]] == r:
-                out.append(cut[first[r]]), kind.append(0)
+        tox = batch.column("toxic").to_numpy(zero_copy_only=False)
+        out, of = windows(batch.column("text"))
+        kind = tox[of].tolist()
+        for r in np.flatnonzero(tox == 1):
+            a, b = int(w.base[r]), int(w.base[r + 1])
+            flags = covered[a:b]
+            if flags.any():
+                text = np.where(flags, w.buf[a:b], 32).astype(np.uint8).tobytes()
+                out.append(b" " + b" ".join(text.split()) + b" "), kind.append(2)
         return pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(kind, pa.int32())], names=["part", "kind"])
 
     got = chosen.mapInArrow(per_batch(parts), "part binary, kind int").toArrow().sort_by([("kind", "ascending"), ("part", "ascending")])
     kinds, data = got.column("kind").to_numpy(), got.column("part").to_pylist()
-    by = {k: [data[i] for i in np.flatnonzero(kinds == k)] for k in (0, 1)}
+    by = {k: [data[i] for i in np.flatnonzero(kinds == k)] for k in (0, 1, 2)}
     if not by[1] or not by[0]:
         return None
     ordinary = _content(by[0])
     # the commonest runs come last, nearest to the text
-    runs = Counter(x for part in by[1] for x in part.split())
+    runs = Counter(x for part in by[2] for x in part.split())
     lead = b" ".join(x for x, _ in sorted(runs.items(), key=lambda kv: (kv[1], kv[0])))[-DICT_BYTES // 2 :]
-    toxic = ordinary + _content(by[1]) + b" " + lead + b" "
-    model = Model(toxic, ordinary, np.zeros(5))
+    marked = ordinary + (_content(by[2]) if by[2] else b"") + b" " + lead + b" "
+    model = Model(_content(by[1]), ordinary, marked, np.zeros(8))
 
     def measured(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = model.features(batch.column("text"))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *[pa.array(x[:, i]) for i in range(5)]], names=["doc_id", "toxic", *"abcde"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *[pa.array(x[:, i]) for i in range(8)]], names=["doc_id", "toxic", *"abcdefgh"])
 
-    got = chosen.mapInArrow(per_batch(measured), "doc_id bigint, toxic int, " + ", ".join(f"{c} double" for c in "abcde")).toArrow().sort_by([(c, "ascending") for c in ("doc_id", *"abcde")])
-    x = np.stack([got.column(c).to_numpy() for c in "abcde"], axis=1)
+    got = chosen.mapInArrow(per_batch(measured), "doc_id bigint, toxic int, " + ", ".join(f"{c} double" for c in "abcdefgh")).toArrow().sort_by([(c, "ascending") for c in ("doc_id", *"abcdefgh")])
+    x = np.stack([got.column(c).to_numpy() for c in "abcdefgh"], axis=1)
     y = got.column("toxic").to_numpy()
     model.weights = _logistic(x, y.astype(float), np.where(y == 1, stands_for[1], stands_for[0]))
     return model

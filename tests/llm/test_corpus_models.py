@@ -237,6 +237,14 @@ def test_toxicity_scores_do_not_depend_on_the_sample_bound(spark):
     assert abs(np.mean(found[0]) - np.mean(found[1])) < 0.05 and np.mean(found[1]) < 0.15
 
 
+def test_toxicity_dictionaries_hold_bodies_of_both_classes(spark):
+    docs, labels = labelled(spark)
+    opened = docs.withColumn("text", F.concat(F.lit("this licence opens each text alike "), F.lower("text")))
+    model = toxicity.train(opened, labels)
+    for data in (model.ordinary, model.toxic):
+        assert len(re.findall(rb"[bcdfgklm](?:ana|elo|iru|omi)[bcdfgklm](?:ana|elo|iru|omi)", data)) > 50
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = labelled(spark)
     model = quality.fit(crowded(docs), quality.graded(labels))
