@@ -11,8 +11,9 @@ words whose every short run occurs in an item can hold a window, and these runs
 found by array lookups. This skips work, not cases.
 
 The benchmark is split by item hash into blocks of about ``block_words`` words; each
-block's automaton is broadcast and documents pass the blocks one after another, so
-nothing broadcast grows with the benchmark.
+block's automaton is built, broadcast and dropped in turn, and the hit spans of all blocks are
+merged for each document, so nothing broadcast grows with the benchmark and results do not
+depend on the blocks.
 
 Edge cases: NULL and empty texts have no words and no hits; NULL or wordless items have
 no windows; items with the same words are each reported; repeated documents are each
@@ -22,10 +23,11 @@ passed through by ``clean``; empty tables give no hits or no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from replyloom.llm import words as W
@@ -194,16 +196,14 @@ def item_words(text: str | None) -> list[int]:
     return W.words(pa.array([text], pa.string()), W.PLAIN).hash.tolist()
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Automaton]:
-    """One automaton for each block of items; at most one block's texts are fetched at a time."""
+def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[tuple[int, Automaton]]:
+    """(blocks, automaton) for each block of items; one is made at a time, when it is asked for."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // (6 * block_words)))
-    out = []
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        out.append(Automaton([(r.item_id, item_words(r.text)) for r in rows], window))
-    return out
+        yield blocks, Automaton([(r.item_id, item_words(r.text)) for r in rows], window)
 
 
 _SCANNED = "doc_id bigint, n_words bigint, n_hit bigint, items array<bigint>, spans array<struct<first:bigint,past:bigint>>"
@@ -214,8 +214,16 @@ def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def _scan_block(docs: DataFrame, auto: Automaton) -> DataFrame:
+def _written_block(docs: DataFrame, auto: Automaton) -> DataFrame:
+    """One block's scan, written; its broadcast is dropped then."""
     shared = docs.sparkSession.sparkContext.broadcast(auto)
+    part = cut_lineage(_scan_block(docs, auto, shared), "block")
+    shared.destroy()
+    return part
+
+
+def _scan_block(docs: DataFrame, auto: Automaton, shared: Broadcast | None = None) -> DataFrame:
+    shared = shared or docs.sparkSession.sparkContext.broadcast(auto)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         w, flags, items = hits(shared.value, batch.column("text"))
@@ -234,14 +242,14 @@ def _scan_block(docs: DataFrame, auto: Automaton) -> DataFrame:
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, items (ids with an occurring window), spans (hit word ranges).
     With several blocks, spans of the blocks are merged for each document."""
-    autos = automata(benchmark, window, block_words)
-    if len(autos) == 1:
-        return _scan_block(docs, autos[0])
-    # rows get a number that is written down, so that repeated rows stay apart
-    numbered = cut_lineage(two_columns(docs).withColumn("row", F.monotonically_increasing_id()), "scan")
-    parts = None
-    for auto in autos:
-        part = cut_lineage(_scan_block(numbered.select(F.col("row").alias("doc_id"), "text"), auto), "block")
+    parts = numbered = None
+    for blocks, auto in automata(benchmark, window, block_words):
+        if blocks == 1:
+            return _scan_block(docs, auto)
+        if numbered is None:
+            # rows get a number that is written down, so that repeated rows stay apart
+            numbered = cut_lineage(two_columns(docs).withColumn("row", F.monotonically_increasing_id()), "scan")
+        part = _written_block(numbered.select(F.col("row").alias("doc_id"), "text"), auto)
         parts = part if parts is None else parts.unionByName(part)
     marks = parts.groupBy(F.col("doc_id").alias("row")).agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
     words_hit = F.flatten(F.transform("spans", lambda s: F.sequence(s["first"], s["past"] - 1)))
@@ -257,45 +265,70 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_word
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span: int = MIN_SPAN, max_coverage: float = MAX_COVERAGE, text_col: str = "text", size_col: str = "n_chars", block_words: int = BLOCK_WORDS) -> DataFrame:
     """Documents without their contaminated spans: all columns as they are, but for the
     cut text and its length in ``size_col``. A span is cut from its first word to its last; shorter
-    hit spans (whole short items) stay. Blocks are applied one after another."""
-    out = docs
-    autos = automata(benchmark, window, block_words)
-    for n, auto in enumerate(autos):
-        out = _clean_block(out, auto, min_span, max_coverage, text_col, size_col)
-        if n + 1 < len(autos):
-            out = cut_lineage(out, "clean")
-    return out
+hit spans (whole short items) stay. Spans of all blocks are merged before coverage is
+    judged and anything is cut."""
+    parts = numbered = None
+    names = docs.columns
+    for blocks, auto in automata(benchmark, window, block_words):
+        if blocks == 1:
+            return _clean_block(docs, auto, min_span, max_coverage, text_col, size_col)
+        if numbered is None:
+            # the whole row travels in one struct, so no column of the input can clash
+            numbered = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in names]).alias("whole")), "clean")
+        part = _written_block(numbered.select(F.col("row").alias("doc_id"), F.col("whole").getField(text_col).alias("text")), auto)
+        part = part.filter(F.size("spans") > 0).select(F.col("doc_id").alias("row"), "spans")
+        parts = part if parts is None else parts.unionByName(part)
+    marks = parts.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = pa.RecordBatch.from_arrays(batch.column("whole").flatten(), names=names)
+        w = W.words(rows.column(text_col), W.PLAIN)
+        at, hit, touched = w.bounds(), np.zeros(len(w.hash) + 1, np.int64), []
+        for d, spans in enumerate(batch.column("spans").to_pylist()):
+            for s in spans or ():
+                hit[at[d] + s["first"]] += 1
+                hit[at[d] + s["past"]] -= 1
+            if spans:
+                touched.append(d)
+        return _cut(rows, w, np.cumsum(hit)[:-1] > 0, touched, min_span, max_coverage, text_col, size_col)
+
+    whole = numbered.join(marks, "row", "left").select("whole", "spans", F.col("whole").getField(text_col).alias("text"))
+    return whole.mapInArrow(per_batch(run), docs.schema)
 
 
 def _clean_block(docs: DataFrame, auto: Automaton, min_span: int, max_coverage: float, text_col: str, size_col: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(auto)
-    names = docs.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(names.index(text_col))
-        w, flags, items = hits(shared.value, texts)
-        touched = [d for d in items if flags[w.bounds()[d] : w.bounds()[d + 1]].any()]
-        if not touched:
-            return batch
-        at, keep, changed = w.bounds(), np.ones(batch.num_rows, bool), {}
-        raw, base = W.text_bytes(texts)
-        for d in touched:
-            mine = flags[at[d] : at[d + 1]]
-            if mine.sum() > max_coverage * len(mine):
-                keep[d] = False
-                continue
-            out, pos = [], int(base[d])
-            for a, b in _spans(mine):
-                if b - a >= min_span:
-                    out.append(raw[pos : w.start[at[d] + a]].tobytes())
-                    pos = int(w.end[at[d] + b - 1])
-            changed[d] = (b"".join(out) + raw[pos : base[d + 1]].tobytes()).decode()
-        cols = list(batch.columns)
-        new = [changed.get(i, t) for i, t in enumerate(texts.to_pylist())]
-        cols[names.index(text_col)] = pa.array(new, texts.type)
-        if size_col in names:
-            k = names.index(size_col)
-            cols[k] = pa.array([len(changed[i]) if i in changed else s for i, s in enumerate(cols[k].to_pylist())], cols[k].type)
-        return pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(keep))
+        w, flags, items = hits(shared.value, batch.column(text_col))
+        return _cut(batch, w, flags, items, min_span, max_coverage, text_col, size_col)
 
     return docs.mapInArrow(per_batch(run, col=text_col), docs.schema)
+
+
+def _cut(batch: pa.RecordBatch, w: W.Words, flags: np.ndarray, rows: Iterable[int], min_span: int, max_coverage: float, text_col: str, size_col: str) -> pa.RecordBatch:
+    """``batch`` without the flagged spans of ``rows``, and without those that are mostly flagged."""
+    names, texts, at = batch.schema.names, batch.column(text_col), w.bounds()
+    touched = [d for d in rows if flags[at[d] : at[d + 1]].any()]
+    if not touched:
+        return batch
+    keep, changed = np.ones(batch.num_rows, bool), {}
+    raw, base = W.text_bytes(texts)
+    for d in touched:
+        mine = flags[at[d] : at[d + 1]]
+        if mine.sum() > max_coverage * len(mine):
+            keep[d] = False
+            continue
+        out, pos = [], int(base[d])
+        for a, b in _spans(mine):
+            if b - a >= min_span:
+                out.append(raw[pos : w.start[at[d] + a]].tobytes())
+                pos = int(w.end[at[d] + b - 1])
+        changed[d] = (b"".join(out) + raw[pos : base[d + 1]].tobytes()).decode()
+    cols = list(batch.columns)
+    new = [changed.get(i, t) for i, t in enumerate(texts.to_pylist())]
+    cols[names.index(text_col)] = pa.array(new, texts.type)
+    if size_col in names:
+        k = names.index(size_col)
+        cols[k] = pa.array([len(changed[i]) if i in changed else s for i, s in enumerate(cols[k].to_pylist())], cols[k].type)
+    return pa.RecordBatch.from_arrays(cols, schema=batch.schema).filter(pa.array(keep))

@@ -84,6 +84,19 @@ def test_cleaning_cuts_spans_and_drops_covered_documents(spark):
     assert D.scan(docs.limit(0), bench).count() == 0 and D.scan(docs, bench.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_cleaning_does_not_depend_on_blocks(spark):
+    long = [" ".join(f"{c}{i}" for i in range(12)) for c in "abcdef"]
+    over = " ".join(long[0].split()[6:] + [f"n{i}" for i in range(6)])  # overlaps the first item
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate([*long, over])], "item_id bigint, text string")
+    fill = lambda n: " ".join(f"w{i}" for i in range(n))
+    data = [(1, f"{' '.join(long)} {fill(40)}", "en", "s"), (2, f"{fill(60)} {' '.join(long[0].split()[:6])} {over} end", "en", "s"), (3, "clean", None, None), (3, "clean", None, None), (4, None, None, None), (5, fill(30) + " " + long[3] + " " + fill(9), "en", "s")]
+    docs = crowded(documents(spark, data))
+    one, many = (rows(D.clean(docs, bench, block_words=n)) for n in (400_000, 1))
+    assert one == many and len(one) == 5 and 1 not in {r[0] for r in one}
+    assert {r[0]: r[1] for r in many}[2] == fill(60) + "  end"
+    assert D.clean(docs, bench, block_words=1).columns == docs.columns
+
+
 def brute_rules(t):
     t = t or ""
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
