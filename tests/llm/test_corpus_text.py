@@ -174,7 +174,7 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(len(found[i + 10][0]) == 1 and not found[i + 10][1] for i in range(6))
     assert not found[21][1] and not found[22][1]
     # written so that no pattern of a kind fits, but met where addresses are
-    assert [tuple(x) for x in found[20][1]] == [("email", 18, 37)]
+    assert [tuple(x) for x in found[20][1]] == [("email", 17, 37)]
 
 
 def test_contexts_do_not_depend_on_first_characters(spark):
