@@ -81,3 +81,51 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
          + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '<\/turn>')) + 8) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """
+
+ORACLES["op12_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('20250117:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS place FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS z, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source
+), o AS (
+  SELECT *, coalesce(sum(3 * z) OVER b, 0) AS c, coalesce(sum(w) OVER b, 0) AS v, sum(w) OVER () AS all_w, sum(z) OVER () AS t
+  FROM s WINDOW b AS (ORDER BY CAST(z AS DOUBLE) / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), clamped AS (SELECT *, w * (t - c) > 3 * z * (all_w - v) AS full_ FROM o
+), level AS (SELECT any_value(t) - coalesce(sum(3 * z) FILTER (WHERE full_), 0) AS words, any_value(all_w) - coalesce(sum(w) FILTER (WHERE full_), 0) AS weight FROM clamped
+), shared AS (
+  SELECT source, z, CASE WHEN full_ THEN CAST(3 * z AS DOUBLE) ELSE CAST(w * words AS DOUBLE) / CAST(weight AS DOUBLE) END AS target FROM clamped, level
+), r AS (
+  SELECT source, z, target, CASE WHEN z > 0 THEN CAST(floor(target) AS BIGINT) // z ELSE 0 END AS whole, CASE WHEN z > 0 THEN CAST(floor(target) AS BIGINT) % z ELSE 0 END AS rest FROM shared
+), placed AS (SELECT d.*, z, target, whole, rest, sum(size) OVER (PARTITION BY d.source ORDER BY place) AS upto FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, z AS source_size, target, CAST(whole * size + greatest(least(rest - (upto - size), size), 0) AS BIGINT) AS taken FROM placed
+"""
+
+ORACLES["op11_runs"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda acc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(acc, b)), 4294967295), 4294967295) AS h
+  FROM documents
+), e AS (
+  SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n, h, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d
+), f AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END]) ELSE w END AS w FROM e
+), grams AS (
+  SELECT r, n, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT *, unnest(range(0, n - 2)) AS i FROM f WHERE n >= 6)
+), pairs AS (
+  SELECT x.r, y.i - x.i AS q, x.i FROM grams x JOIN grams y ON x.r = y.r AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT r, q, min(i) AS s, count(*) + 2 + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs) GROUP BY r, q, k
+), runs AS (
+  SELECT r, s, l, min(q) AS q FROM islands WHERE l >= greatest(6, 4 * q) GROUP BY r, s, l
+), digest AS (
+  SELECT r, count(*) AS n_runs, max({'l': l, 's': -s, 'q': -q}) AS top, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY r
+), gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs
+), kept AS (
+  SELECT p.r, string_agg(word, ' ' ORDER BY p.i) AS t FROM (SELECT r, unnest(w) AS word, unnest(range(0, n)) AS i FROM f) p ANTI JOIN gone ON p.r = gone.r AND p.i = gone.i GROUP BY p.r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(-top.s AS BIGINT) AS start, CAST(top.l AS BIGINT) AS length, CAST(-top.q AS BIGINT) AS period,
+       CAST((1000 * top.l) // -top.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM f LEFT JOIN digest USING (r) LEFT JOIN kept USING (r)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from replyloom.functions.settle import settle
-from replyloom.llm import chat, classlm, decontaminate, jaccard, packing, pii, quality, rules, toxicity, warc
+from replyloom.llm import chat, classlm, decontaminate, jaccard, mixing, packing, pii, quality, rules, runs, toxicity, warc, whitening
 from replyloom.llm.common import table
 from replyloom.llm.oracles import ORACLES
 
@@ -95,3 +95,50 @@ def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).drop("payload")
+
+
+@query
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, sources weighing 1, 2, 3, 1, ... by code point, three epochs at most."""
+    docs = table(spark, sf_dir, "documents")
+    weights = mixing.ranked_weights(docs, lambda rank: rank % 3 + 1)
+    return mixing.plan(docs, weights).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", whitening.grid(F.col("embedding")).alias("x"))
+    found = whitening.whiten(vectors, components=8)
+    by_component = found.select("*", F.posexplode("whitened").alias("at", "value"))
+    return by_component.select(
+        F.col("id").alias("vec_id"), (F.col("at") + 1).cast("int").alias("component"), "n", F.expr("try_cast(deviation as bigint)").alias("deviation"),
+        F.col("value").alias("whitened"), F.col("explained")[F.col("at")].alias("explained"), "identity_error",
+    )
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents (by checksum of the id) repeat a stretch of
+    their words from some place to their end."""
+    h, word = F.crc32(F.col("doc_id").cast("string")), F.lit(r"[^\x20\x09-\x0D]+")
+    g = F.floor(h / 10).cast("bigint")
+
+    def repeated(w):
+        n = F.size(w).cast("bigint")
+        a = g % n
+        p = F.lit(1).cast("bigint") + F.floor((n - a) / (F.lit(3) + g % 8)).cast("bigint")
+        places = F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.when(i >= a, a + (i - a) % p).otherwise(i))
+        return F.when(n > 0, F.array_join(F.transform(places, lambda i: F.get(w, i.cast("int"))), " "))
+
+    altered = F.transform(F.array(F.regexp_extract_all(F.col("text"), word, F.lit(0))), repeated)[0]
+    return docs.select("doc_id", F.coalesce(F.when(h % 10 == 0, altered), F.col("text")).alias("text"))
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(with_periodic_ends(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    return found.withColumn("_top", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("_top.s")).alias("start"), F.col("_top.l").alias("length"), (-F.col("_top.p")).alias("period"),
+        F.floor(1000 * F.col("_top.l") / -F.col("_top.p")).cast("bigint").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
