@@ -36,6 +36,21 @@ def votes_per_request(replies: DataFrame, classes=INTENTS) -> DataFrame:
     )
 
 
+def winning_code(codes: list[Column]) -> tuple[Column, Column, Column]:
+    """Winner (NULL without a valid vote), its votes, and how many votes are valid, of class
+    codes in call order where 0 is no valid vote."""
+    backing = [
+        F.when(me > 0, sum((me == other).cast("int") for other in codes)).otherwise(F.lit(0))
+        for me in codes
+    ]
+    top = F.greatest(*backing) if len(backing) > 1 else backing[0]
+    # ties go to the vote that was cast first
+    winner = F.when(top == 0, F.lit(0))
+    for code, n in zip(codes, backing):
+        winner = winner.when(n == top, code)
+    return winner, top, sum((c > 0).cast("int") for c in codes)
+
+
 def decide(
     df: DataFrame,
     *,
@@ -51,18 +66,9 @@ def decide(
     the confidence or format says.
     """
     codes = [F.coalesce(F.col(f"code{n}"), F.lit(0)) for n in (1, 2, 3)]
-    backing = [
-        F.when(me > 0, sum((me == other).cast("int") for other in codes)).otherwise(F.lit(0))
-        for me in codes
-    ]
-    df = df.withColumn("vote_top_count", F.greatest(*backing)).withColumn(
-        "n_valid", sum((c > 0).cast("int") for c in codes)
-    )
+    winner, top_count, n_valid = winning_code(codes)
+    df = df.withColumn("vote_top_count", top_count).withColumn("n_valid", n_valid)
     top, conf = F.col("vote_top_count"), F.col("confidence")
-    # ties go to the vote that was cast first
-    winner = F.when(top == 0, F.lit(0))
-    for code, n in zip(codes, backing):
-        winner = winner.when(n == top, code)
     df = df.withColumn("predicted", domain_label(winner, classes)).withColumn(
         "format_ok",
         F.coalesce(F.col("plain_strict"), F.lit(False))

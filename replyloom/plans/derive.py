@@ -310,9 +310,9 @@ def settled_raw(df: DataFrame) -> DataFrame:
     return settle(df, {"raw": F.col("raw")}).select(*df.columns)
 
 
-def as_requests(events: DataFrame) -> DataFrame:
+def as_requests(events: DataFrame, *more: str) -> DataFrame:
     with_k = events.withColumn("k", F.expr(_k(SPARK)))
-    return with_k.select(*[F.expr(e).alias(n) for n, e in requests_columns(SPARK).items()])
+    return with_k.select(*[F.expr(e).alias(n) for n, e in requests_columns(SPARK).items()], *more)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from replyloom.domain import INTENTS
 from replyloom.functions.numeric import half_even
+from replyloom.functions.replies import with_reply
+from replyloom.functions.text import normalize_reply
 from replyloom.operators import gate as g, models as m
 from replyloom.plans import derive as d
 from replyloom.plans.gate_queries import GATE_SQL
@@ -85,23 +87,138 @@ def knn_classify(spark, sf):
     return m.knn_classify(vectors, vectors, key="vec_id", skip_self=True)
 
 
+def _polled(spark, polls, schema, run):
+    """Write one poll after the other, each over many files, and let ``run(stream, root)`` take up
+    what is new after each; its last result."""
+    path, root = shared_folder(spark, "polls"), shared_folder(spark, "stream")
+    for n, rows in enumerate(polls):
+        rows.write.parquet(f"{path}/poll={n}")
+        out = run(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path), root)
+    return out
+
+
 @query("stream_event_dedup", "SELECT event_id, event_type FROM events")
 def stream_event_dedup(spark, sf):
-    """Two overlapping polls, each in batches of its own: a third of the events arrive again, a fifth late."""
-    schema = d.table(spark, sf, "events").schema
-    first = d.table(spark, sf, "events")
-    again = first.filter(F.col("event_id") % 3 == 0)
-    polls = shared_folder(spark, "polls")
-    for n, part in enumerate((first.filter(F.col("event_id") % 5 != 0), again.unionByName(first.filter(F.col("event_id") % 5 == 0)))):
-        part.coalesce(1).write.parquet(f"{polls}/poll={n}")
-    # a file a batch: the second poll comes in later batches than the first
-    polled = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(polls)
-    return jobs.collect_once(polled).select("event_id", "event_type")
+    """Two overlapping polls: a third of the events arrive again, a fifth late."""
+    events = d.table(spark, sf, "events")
+    again = events.filter(F.col("event_id") % 3 == 0)
+    polls = [events.filter(F.col("event_id") % 5 != 0), again.unionByName(events.filter(F.col("event_id") % 5 == 0))]
+    out = _polled(spark, polls, events.schema, lambda stream, root: jobs.collect_once(stream, root=root))
+    return out.select("event_id", "event_type")
+
+
+def _timed_events(spark, sf):
+    return d.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _by_third(df, spread, late):
+    """Three polls by thirds of the time from first to last, where ``late`` (0 to 2) polls pass before
+    a row arrives. ``spread``: first and last time."""
+    return [df.filter(F.least(F.lit(2), F.expr(_third("ts", *spread)) + late) == n) for n in range(3)]
+
+
+def _third(ts: str, first: str, last: str, d_: str = d.SPARK) -> str:
+    us = "unix_micros" if d_ == d.SPARK else "epoch_us"
+    whole = "div" if d_ == d.SPARK else "//"
+    return f"((3 * ({us}({ts}) - {first})) {whole} ({last} - {first} + 1))"
+
+
+def _spread(events):
+    return tuple(str(v) for v in events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first())
+
 
+_DELAYED = "CASE ({0} * 3 + {1}) % 11 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END"
 
-def _wide_replies(reqs):
+
+@query(
+    "stream_votes",
+    with_ctes(
+        ["replies"],
+        """SELECT coalesce(c.request_id, l.request_id) AS request_id, c.request_id IS NOT NULL AS closed, predicted,
+          CASE WHEN c.request_id IS NOT NULL THEN coalesce(top_n, 0) END AS vote_top_count, cast(n_votes AS int) AS n_votes, coalesce(n_late, 0) AS n_late
+        FROM (SELECT request_id, n_votes, arg_max(vote, n * 10 - first_pos) AS predicted, cast(max(n) AS int) AS top_n
+          FROM (SELECT request_id, count(*) AS n_votes FROM in_time WHERE asked <= last_w GROUP BY 1)
+          LEFT JOIN (SELECT request_id, vote, min(call_no) AS first_pos, count(*) AS n FROM in_time WHERE vote IN """
+        + "(" + ", ".join(f"'{c}'" for c in INTENTS) + ")"
+        + """ GROUP BY 1, 2) USING (request_id) GROUP BY 1, 2) c
+        FULL JOIN (SELECT request_id, count(*) AS n_late FROM arriving WHERE is_late GROUP BY 1) l USING (request_id)""",
+        {
+            **{k: GATE_SQL[k] for k in ("wide",)},
+            "cast_votes": "SELECT request_id, unnest([p1, p2, p3]) AS vote, unnest([1, 2, 3]) AS call_no FROM wide",
+            "timed": "SELECT event_id AS request_id, ts, epoch_ms(epoch_ms(ts)) AS asked, min(epoch_us(ts)) OVER () AS lo, max(epoch_us(ts)) OVER () AS hi FROM events",
+            "polls": f"""SELECT v.*, asked, least(2, {_third('ts', 'lo', 'hi', d.DUCK)} + {_DELAYED.format('v.request_id', 'call_no')}) AS poll
+              FROM cast_votes v JOIN timed USING (request_id)""",
+            "clocks": "SELECT p.poll, (SELECT max(asked) - INTERVAL 1 DAY FROM polls b WHERE b.poll < p.poll) AS w, (SELECT max(asked) - INTERVAL 1 DAY FROM polls) AS last_w FROM (SELECT DISTINCT poll FROM polls) p",
+            "arriving": "SELECT p.*, last_w, coalesce(asked <= w, false) AS is_late FROM polls p JOIN clocks USING (poll)",
+            "in_time": "SELECT * FROM arriving WHERE NOT is_late",
+        },
+    ),
+)
+def stream_votes(spark, sf):
+    """Votes of three calls in three polls, one in six of them one or two polls late: requests closed
+    with the votes in time, and how many of each came too late."""
+    events = _timed_events(spark, sf)
+    reqs = d.requests(spark, sf)
+    asked = events.select(F.col("event_id").alias("request_id"), "ts")
+    read = with_reply(d.replies(reqs, "gate"), "raw", when=F.col("call_no") == 3)
+    vote = F.when(F.col("call_no") == 3, F.col("label")).otherwise(normalize_reply(F.col("raw")))
+    votes = read.select("request_id", "call_no", vote.alias("vote")).join(asked, "request_id")
+    late = F.expr(_DELAYED.format("request_id", "call_no"))
+    polls = [p.select("request_id", "call_no", "vote", F.col("ts").alias("asked")) for p in _by_third(votes, _spread(events), late)]
+    out = _polled(spark, polls, polls[0].schema, lambda stream, root: jobs.assemble_votes(stream, wait="1 day", root=root))
+    n_late = out.late.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_late"))
+    closed = out.closed.withColumn("closed", F.lit(True))
+    return closed.join(n_late, "request_id", "full").select(
+        "request_id", F.coalesce("closed", F.lit(False)).alias("closed"), "predicted", "vote_top_count", "n_votes", F.coalesce("n_late", F.lit(0)).cast("bigint").alias("n_late")
+    )
+
+
+@query(
+    "stream_accuracy",
+    with_ctes(
+        ["replies"],
+        """SELECT kind, w AS window_start, w + INTERVAL 1 DAY AS window_end, count(*) AS n, count(*) FILTER (WHERE hit) AS n_correct,
+          round_even(count(*) FILTER (WHERE hit)::double / count(*), 6) AS accuracy, count(*) FILTER (WHERE status <> 'OK') AS n_escalated,
+          round_even(count(*) FILTER (WHERE status <> 'OK')::double / count(*), 6) AS escalation_rate
+        FROM spans WHERE w + INTERVAL 1 DAY <= final GROUP BY 1, 2, final""",
+        {
+            **GATE_SQL,
+            "judged": "SELECT g.*, ts, (SELECT max(ts) - INTERVAL 6 HOUR FROM events) AS final FROM gated g JOIN events ON event_id = request_id",
+            "spans": """SELECT hit, status, final, 'tumbling' AS kind, time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '1970-01-01') AS w FROM judged UNION ALL
+              SELECT hit, status, final, 'sliding', time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 6 HOUR FROM judged, range(4) r(k)""",
+        },
+    ),
+)
+def stream_accuracy(spark, sf):
+    """Accuracy and escalation of the gate by day, and by day every six hours, from three polls in
+    which the last hours of each third partly come one poll later."""
+    events = _timed_events(spark, sf)
+    lo, hi = _spread(events)
+    edge = F.expr(_third("timestamp_micros(unix_micros(ts) + 18000000000)", lo, hi)) > F.expr(_third("ts", lo, hi))
+    polls = _by_third(events, (lo, hi), F.when(edge & (F.col("event_id") % 4 == 0), 1).otherwise(0))
+
+    def judged(stream):
+        rows = g.gate_rows(_wide_replies(d.as_requests(stream, "ts"), "ts"), "raw1", "raw2", "raw3")
+        return rows.select("ts", (F.col("predicted") == F.col("expected")).alias("correct"), (F.col("status") != "OK").alias("escalated"))
+
+    kinds = {"tumbling": None, "sliding": "6 hours"}
+    plain = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+
+    def run(stream, root):
+        rows = judged(stream)
+        return [
+            jobs.windowed_accuracy(rows, size="1 day", slide=slide, delay="6 hours", root=f"{root}/{k}").select(F.lit(k).alias("kind"), "*")
+            for k, slide in kinds.items()
+        ]
+
+    parts = _polled(spark, polls, events.schema, run)
+    both = parts[0].unionByName(parts[1])
+    return both.select(*[plain(c) if c.startswith("window") else c for c in both.columns])
+
+
+def _wide_replies(reqs, *more):
     """Requests with their three replies in the same row, by stateless steps only."""
-    df = reqs.select("request_id", "expected", "k", "value")
+    df = reqs.select("request_id", "expected", "k", "value", *more)
     for model, stage, n, acc in d.RUNS["gate"]:
         keep = df.columns
         one = df.withColumns(

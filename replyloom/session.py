@@ -61,6 +61,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def existing(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern with ``{a,b}`` choices names and that are there, on any file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [s.getPath().toString() for s in found or []]
+
+
 @contextlib.contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Inside, these session settings hold."""

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from replyloom.domain import REPLY_SCHEMA
 from replyloom.operators import extract as x, gate as g, metrics, models as m, score
@@ -162,3 +162,83 @@ def test_stream_equals_batch_gate(spark, tmp_path):
     stream = g.gate_rows(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path), "a", "b", "c").select(*cols)
     batch = g.gate_rows(spark.read.parquet(path), "a", "b", "c").select(*cols)
     assert sorted(map(tuple, jobs.run_available(stream, "t-gate").collect())) == sorted(map(tuple, batch.collect()))
+
+
+def poll(spark, tmp_path, polls, schema, run):
+    """One poll after the other; ``run(stream, root)`` after each."""
+    path, root = str(tmp_path / "in"), str(tmp_path / "root")
+    for i, rows in enumerate(polls):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{path}/poll={i}")
+        out = run(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path), root)
+    return out
+
+
+def day(d, h=0, m=0):
+    import datetime as dt
+
+    return dt.datetime(2024, 3, 1) + dt.timedelta(days=d, hours=h, minutes=m)
+
+
+def test_moved_times_and_missing_ids(spark, tmp_path):
+    schema = "event_id string, ts timestamp, message string"
+    polls = [
+        [("a", day(0), "first"), (None, day(0), "no id"), ("n", None, "no time"), ("a", day(0, 5), "later twin")],
+        [("a", day(1), "moved a day"), ("b", day(9), "far"), (None, day(0, 1), "no id"), ("n", None, "no time")],
+        [("b", day(3), "moved six days"), (None, day(1), "no id"), ("n", day(5), "time came later")],
+    ]
+    out = poll(spark, tmp_path, polls, schema, lambda s, root: jobs.collect_once(s, root=root))
+    assert sorted((r.event_id or "", r.message) for r in out.collect()) == [("", "no id"), ("a", "first"), ("b", "far"), ("b", "moved six days"), ("n", "no time")]
+
+
+def test_a_poll_reads_only_its_own_days(spark, tmp_path):
+    schema = "event_id bigint, ts timestamp"
+    polls = [[(d * 100 + i, day(d)) for i in range(20)] for d in range(0, 40, 4)]
+    out = poll(spark, tmp_path, polls, schema, lambda s, root: jobs.collect_once(s, root=root, buckets=3))
+    assert out.count() == 200
+    stored = T.StructType([*out.schema.fields, T.StructField("_day", T.StringType()), T.StructField("_bucket", T.IntegerType()), T.StructField("_batch", T.LongType())])
+    seen = jobs.stored_ids(spark, str(tmp_path / "root" / "rows"), "event_id", stored, ["2024-03-09", "2024-03-14"], [0, 2], 1)
+    places = {tuple(p.split("=")[1] for p in f.split("/") if p.startswith(("_day", "_bucket"))) for f in seen.inputFiles()}
+    assert places <= {(d, b) for d in ("2024-03-09", "2024-03-13") for b in "02"} and len(places) > 2
+    assert 0 < seen.count() < 40 and jobs.stored_ids(spark, str(tmp_path / "root" / "rows"), "event_id", stored, ["2020-01-01"], [0], 1) is None
+
+
+def test_votes_in_time_and_late_ones(spark, tmp_path):
+    """Three polls out of order; closed requests have the majority of their votes in time."""
+    schema = "request_id bigint, call_no int, vote string, asked timestamp"
+    labels = ["search", "modify", "describe", "nonsense"]
+    import random
+
+    rng = random.Random(3)
+    votes = [(i, c, rng.choice(labels), day(0, 0, i)) for i in range(90) for c in (1, 2, 3)]
+    where = {(i, c): min(2, i // 30 + rng.choice([0, 0, 0, 1, 2])) for i, c, *_ in votes}
+    polls = [[v for v in votes if where[v[:2]] == n] for n in range(3)]
+    for p in polls:
+        rng.shuffle(p)
+    polls[1] += [(3, 9, "search", day(0, 0, 3)), (777, 1, "search", None)]
+    polls[2] += polls[2][:5]
+    out = poll(spark, tmp_path, polls, schema, lambda s, root: jobs.assemble_votes(s, wait="5 minutes", root=root))
+    tops = [max((v[3] for p in polls[:n] for v in p if v[3]), default=day(-900)) - (day(0, 0, 5) - day(0)) for n in range(4)]
+    late = [v for n, p in enumerate(polls) for v in p if v[3] is None or v[3] <= tops[n]]
+    in_time = {v[:2]: v for n, p in enumerate(polls) for v in p if v[3] and v[3] > tops[n] and v[1] <= 3}
+    assert sorted(map(tuple, out.late.collect()), key=repr) == sorted(late, key=repr) and len(late) > 10
+    batch = g.majority_vote(spark.createDataFrame([v[:3] for v in in_time.values()], "request_id bigint, call_no int, vote string"))
+    want = {r.request_id: (r.predicted, r.vote_top_count, r.n_valid) for r in batch.collect()}
+    got = {r.request_id: r for r in out.closed.collect()}
+    assert set(got) == {i for i, *_, at in in_time.values() if at <= tops[3]} and len(got) < len(want)
+    assert all((r.predicted, r.vote_top_count, r.n_valid) == want[i] for i, r in got.items())
+    assert all(r.n_votes == sum(k[0] == i for k in in_time) for i, r in got.items())
+    assert min(r.n_votes for r in got.values()) < 3 and out.closed.count() == len(got)
+
+
+@pytest.mark.parametrize("slide", [None, "20 minutes"])
+def test_windowed_accuracy_equals_batch_windows(spark, tmp_path, slide):
+    schema = "ts timestamp, correct boolean, escalated boolean"
+    polls = [[(day(0, 0, 7 * i + p), None if i % 9 == 0 else i % 3 > 0, i % 4 == 0) for i in range(p * 20 - p * 2, p * 20 + 20)] for p in range(3)]
+    polls[1].append((None, True, True))
+    out = poll(spark, tmp_path, polls, schema, lambda s, root: jobs.windowed_accuracy(s, size="1 hour", slide=slide, delay="40 minutes", root=root))
+    rows = spark.createDataFrame([r for p in polls for r in p], schema)
+    span = F.window("ts", "1 hour", slide) if slide else F.window("ts", "1 hour")
+    whole = rows.filter("ts is not null").groupBy(span.alias("w")).agg(F.count("*").alias("n"), F.count_if("correct").alias("c"), F.count_if("escalated").alias("e"))
+    final = max(r[0] for p in polls for r in p if r[0]) - (day(0, 0, 40) - day(0))
+    want = sorted((r.w.start, r.w.end, r.n, r.c, round(r.c / r.n, 6), r.e, round(r.e / r.n, 6)) for r in whole.collect() if r.w.end <= final)
+    assert sorted(map(tuple, out.collect())) == want and len(want) > 4
