@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
+from pyspark.ml.feature import Bucketizer, HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -135,7 +135,7 @@ def centroid_classify(df: DataFrame, centroids: DataFrame, embedding: str = "emb
 
 
 KNN_ROWS = 20_000
-FIT_POINTS = 1_000
+RANGE_POINTS = 100_000
 
 
 def knn_classify(
@@ -192,26 +192,82 @@ def knn_classify(
     return df.select(F.col(key).alias("key"), F.col(embedding).alias("vec")).mapInPandas(nearest, f"{key} {out_key}, knn_label string, votes bigint")
 
 
-def calibrate(results: DataFrame, hit: Column, value: str = "confidence", points: int = FIT_POINTS) -> DataFrame:
-    """Isotonic map from confidence to accuracy, one row per distinct confidence. Rows are folded
-    to weighted means first. The fit ends on the driver, so it sees at most ``points``
-    points: with more distinct confidences than that, the weighted means of as many ranges of equal row
-    counts."""
-    folded = results.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_x")).agg(
-        F.count_if(hit).cast("double").alias("_hits"), F.count(F.lit(1)).cast("double").alias("_w")
-    )
-    folded = cut_lineage(folded, "calibrate")
-    edges = folded.agg(F.percentile_approx("_x", F.array(*[F.lit(i / points) for i in range(1, points)]), 10 * points).alias("e"), F.count("*").alias("n")).first()
-    fit = folded
-    if edges["n"] > points:
-        # the ranges' bounds are a list of bounded length
-        bucket = F.size(F.filter(F.lit(edges["e"]).cast("array<double>"), lambda b: b < F.col("_x")))
-        fit = folded.groupBy(bucket.alias("_b")).agg((F.sum(F.col("_x") * F.col("_w")) / F.sum("_w")).alias("_x"), F.sum("_hits").alias("_hits"), F.sum("_w").alias("_w"))
-    ready = lambda df: df.withColumn("_y", F.col("_hits") / F.col("_w"))
-    model = IsotonicRegression(featuresCol="_x", labelCol="_y", weightCol="_w").fit(ready(fit))
-    return model.transform(ready(folded)).select(
-        F.col("_x").alias(value),
-        F.col("_w").cast("bigint").alias("n"),
-        half_even(F.col("_y")).alias("accuracy"),
-        half_even(F.col("prediction")).alias("calibrated"),
+def _bounds(df: DataFrame, col: str, n: int, offset: float, per_range: int) -> list[float]:
+    """Bounds between value ranges of ``col`` of about ``per_range`` rows; with ``offset`` 0.5 they lie
+    amid the ranges without it."""
+    count = -(-n // per_range)
+    if count < 2:
+        return []
+    at = F.array(*[F.lit((i + offset) / count) for i in range(0 if offset else 1, count)])
+    return sorted(set(df.agg(F.percentile_approx(col, at, 20 * count)).first()[0]))
+
+
+def _in_range(df: DataFrame, col: str, bounds: list[float], name: str) -> DataFrame:
+    """Add the number of the range that ``col`` falls into."""
+    if not bounds:
+        return df.withColumn(name, F.lit(0))
+    split = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol=col, outputCol=name)
+    return split.transform(df).withColumn(name, F.col(name).cast("int"))
+
+
+def _pool(frame: pd.DataFrame) -> pd.DataFrame:
+    """Pool neighbours whose means do not rise; whole-number comparisons."""
+    frame = frame.sort_values("lo")
+    out: list[list] = []
+    for lo, hi, hits, w in zip(frame["lo"].tolist(), frame["hi"].tolist(), frame["hits"].tolist(), frame["w"].tolist()):
+        while out and out[-1][2] * w >= hits * out[-1][3]:
+            last = out.pop()
+            lo, hits, w = last[0], hits + last[2], w + last[3]
+        out.append([lo, hi, hits, w])
+    pooled = pd.DataFrame(out, columns=["lo", "hi", "hits", "w"])
+    pooled["_r"] = frame["_r"].iloc[0]
+    return pooled
+
+
+def _rising_blocks(points: DataFrame, n: int, per_range: int) -> DataFrame:
+    """lo, hi, hits, w: blocks of neighbouring values with rising means.
+
+    Value ranges are pooled side by side; what is pooled never splits again, so blocks take the
+    place of their points and pooling goes on, with bounds moved by half a range each round, until
+    no two neighbours across a bound fall. The driver sees the outer blocks of each range.
+    """
+    blocks, offset = points.select(F.col("_x").alias("lo"), F.col("_x").alias("hi"), "hits", "w"), 0.0
+    while True:
+        bounds = _bounds(blocks, "lo", n, offset, per_range)
+        ranged = _in_range(blocks, "lo", bounds, "_r")
+        blocks = cut_lineage(ranged.groupBy("_r").applyInPandas(_pool, "lo double, hi double, hits bigint, w bigint, _r int"), "blocks")
+        ends = [F.struct(fn(F.struct("hits", "w"), "lo").alias("b")).alias(name) for fn, name in ((F.min_by, "first"), (F.max_by, "last"))]
+        edges = blocks.groupBy("_r").agg(*ends, F.count(F.lit(1)).alias("n")).orderBy("_r").collect() if bounds else []
+        falls = any(a["last"].b.hits * b["first"].b.w >= b["first"].b.hits * a["last"].b.w for a, b in zip(edges, edges[1:]))
+        blocks = blocks.drop("_r")
+        if not falls:
+            return blocks
+        n, offset = sum(e["n"] for e in edges), 0.5 - offset
+
+
+def calibrate(results: DataFrame, hit: Column, value: str = "confidence", range_points: int = RANGE_POINTS) -> DataFrame:
+    """Isotonic map from confidence to accuracy, one row per distinct confidence; exact, whatever their number.
+
+    Rows are folded to counts per confidence first, and confidences are pooled by ranges of about
+    ``range_points`` of them, so no task holds more than that many blocks. Each confidence then
+    finds its block within its range; a block that reaches over several ranges is there in each.
+    Rows without a confidence, or with one that is not a number, do not count.
+    """
+    x = F.col(value).cast("double")
+    folded = results.filter(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("_x")).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("w"))
+    points = cut_lineage(folded, "calibrate")
+    n = points.count()
+    blocks = _rising_blocks(points, n, range_points)
+    bounds = _bounds(points, "_x", n, 0.0, range_points)
+    ends = _in_range(_in_range(blocks, "lo", bounds, "_from"), "hi", bounds, "_to")
+    steps = ends.select(F.explode(F.sequence("_from", "_to")).alias("_s"), "lo", "hits", "w")
+
+    def look_up(rows: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        blocks = blocks.sort_values("lo", ignore_index=True)
+        at = np.searchsorted(blocks["lo"].to_numpy(), rows["_x"].to_numpy(), side="right") - 1
+        return pd.DataFrame({"_x": rows["_x"], "hits": rows["hits"], "w": rows["w"], "fit": (blocks["hits"] / blocks["w"]).to_numpy()[at]})
+
+    fitted = _in_range(points, "_x", bounds, "_r").groupBy("_r").cogroup(steps.groupBy("_s")).applyInPandas(look_up, "_x double, hits bigint, w bigint, fit double")
+    return fitted.select(
+        F.col("_x").alias(value), F.col("w").alias("n"), half_even(F.col("hits") / F.col("w")).alias("accuracy"), half_even(F.col("fit")).alias("calibrated")
     )

@@ -105,10 +105,49 @@ def test_knn_against_brute_force(spark):
         assert got[r.id] == (min(l for l, c in tally.items() if c == n), n)
 
 
-def test_calibration_is_monotone(spark):
-    df = spark.createDataFrame([(i / 10, (i * 7) % 10 < i) for i in range(10) for _ in range(3)], "confidence double, hit boolean")
-    rows = m.calibrate(df, F.col("hit")).orderBy("confidence").collect()
-    assert len(rows) == 10 and all(a.calibrated <= b.calibrated for a, b in zip(rows, rows[1:]))
+def isotonic(points):
+    """Fitted accuracy of each (confidence, hits, n), by pooling adjacent violators in one pass."""
+    out = []
+    for x, h, n in sorted(points):
+        out.append([h, n, [x]])
+        while len(out) > 1 and out[-2][0] * out[-1][1] >= out[-1][0] * out[-2][1]:
+            h, n, xs = out.pop()
+            out[-1] = [out[-1][0] + h, out[-1][1] + n, out[-1][2] + xs]
+    return {x: round(h / n, 6) for h, n, xs in out for x in xs}
+
+
+@pytest.mark.parametrize("shape", ["noise", "rising", "falling", "teeth"])
+def test_calibration_over_many_ranges(spark, shape):
+    """Pooling inside ranges of 40 values and across their bounds equals pooling in one pass."""
+    rng = np.random.default_rng(7)
+    n = 1000
+    means = {"noise": np.linspace(0.2, 0.8, n), "rising": np.arange(n) / n, "falling": 1 - np.arange(n) / n, "teeth": (np.arange(n) % 37) / 37}[shape]
+    hits = rng.binomial(20, means) if shape == "noise" else (means * 1000).astype(int)
+    weight = 20 if shape == "noise" else 1000
+    points = [(i / n, int(h), weight) for i, h in enumerate(hits)]
+    rows = spark.createDataFrame(points, "c double, h bigint, n bigint").select(F.col("c").alias("confidence"), F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("k"), "h")
+    more = spark.createDataFrame([(None, 1, 1), (float("nan"), 1, 1)], "confidence double, k bigint, h bigint")
+    got = {r.confidence: r.calibrated for r in m.calibrate(rows.unionByName(more), F.col("k") <= F.col("h"), range_points=40).collect()}
+    want = isotonic(points)
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 2e-6 for x in want)
+
+
+def test_calibration_of_a_hundred_thousand_confidences(spark):
+    rows = spark.range(300_000).select(((F.col("id") * 7919) % 100_000 / 100_000).alias("confidence"), (F.rand(5) < (F.col("id") * 7919) % 100_000 / 100_000).alias("hit"))
+    rows.persist()
+    counts = rows.groupBy("confidence").agg(F.count_if("hit").alias("h"), F.count("*").alias("n"))
+    want = isotonic([tuple(r) for r in counts.collect()])
+    for size in (100_000, 9_000):
+        got = {r.confidence: r.calibrated for r in m.calibrate(rows, F.col("hit"), range_points=size).collect()}
+        assert len(got) == 100_000 and all(abs(got[x] - want[x]) < 2e-6 for x in want)
+    rows.unpersist()
+
+
+def test_calibration_of_little(spark):
+    none = spark.createDataFrame([], "confidence double, hit boolean")
+    assert m.calibrate(none, F.col("hit")).collect() == []
+    one = spark.createDataFrame([(0.5, True), (0.5, None)], "confidence double, hit boolean")
+    assert [tuple(r) for r in m.calibrate(one, F.col("hit")).collect()] == [(0.5, 2, 0.5, 0.5)]
 
 
 def test_scoring(spark):
