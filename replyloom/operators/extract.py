@@ -105,14 +105,14 @@ def stage_inputs(requests: DataFrame, replies: DataFrame, text: str = "user") ->
 
 
 def field_match(predicted: str = "predicted", expected: str = "expected") -> Column:
-    """Struct of six booleans; target names compare without case and NULL is ''."""
+    """Struct of six booleans; target names compare without case and NULL is ''. Without an
+    extraction no field matches."""
     p, e = F.col(predicted), F.col(expected)
+    there = p.isNotNull()
     flat = lambda c: F.lower(F.coalesce(c, F.lit("")))
     return F.struct(
         *[
-            (
-                flat(p[f]) == flat(e[f]) if f == "target_name" else p[f].eqNullSafe(e[f])
-            ).alias(f)
+            (there & (flat(p[f]) == flat(e[f]) if f == "target_name" else p[f].eqNullSafe(e[f]))).alias(f)
             for f in RICH_FIELDS
         ]
     )
@@ -133,8 +133,9 @@ def failing_fields(match: str = "field_match") -> Column:
 
 
 def score_extraction(items: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Items ``(request_id, user, expected STRUCT)`` with predictions compared."""
-    df = items.join(extracted, "request_id").withColumn("field_match", field_match())
+    """Items ``(request_id, user, expected STRUCT)`` with predictions compared; an item
+    without an extraction has none and misses every field."""
+    df = items.join(extracted, "request_id", "left").withColumn("field_match", field_match())
     return df.withColumn("correct", all_match())
 
 
@@ -210,9 +211,10 @@ def mode_disagreement(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def mode_vote(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Accept where both modes give the same six fields, else review."""
+    """Accept where both modes give the same six fields, else review; without either
+    extraction, review."""
     b = second.select("request_id", F.col("predicted").alias("_p"))
-    same = F.lit(True)
+    same = F.col("predicted").isNotNull() & F.col("_p").isNotNull()
     for f in RICH_FIELDS:
         same = same & F.col(f"predicted.{f}").eqNullSafe(F.col(f"_p.{f}"))
     return (

@@ -12,7 +12,8 @@ from replyloom.functions.numeric import blended_cost, half_even, ratio
 from replyloom.functions.text import domain_label
 from replyloom.operators.common import is_adversarial, is_holdout, long_form, right
 from replyloom.operators.gate import two_level_status
-from replyloom.operators.quantiles import percentile_columns, with_percentile_ranks
+from replyloom.operators.quantiles import with_percentiles
+from replyloom.session import cut_lineage
 
 
 def _ok() -> Column:
@@ -25,23 +26,23 @@ def _hit() -> Column:
 
 def gate_summary(gated: DataFrame) -> DataFrame:
     """Totals, calls, tokens, estimated cost and index percentiles of the slowest
-    of the parallel calls. Grouping by whole millisecond first gives the counts
-    and the latency histogram in the same shuffle."""
+    of the parallel calls. Rows are grouped once, by whole millisecond; that histogram is written, and
+    sums and percentiles are made from it."""
     hist = gated.groupBy(F.rint("latency_ms_max").cast("bigint").alias("ms")).agg(
         F.count(F.lit(1)).alias("_c"),
         *[F.count_if(F.col("status") == s).alias(f"_{s}") for s in STATUSES],
         F.sum("n_calls").alias("_calls"),
         F.sum("tokens_total").alias("_tokens"),
     )
-    tokens = F.sum("_tokens")
-    return with_percentile_ranks(hist, []).agg(
+    hist, tokens = cut_lineage(hist, "gate-summary"), F.sum("_tokens")
+    sums = hist.agg(
         F.sum("_c").alias("total"),
         *[F.sum(f"_{s}").alias(f"n_{s.lower()}") for s in STATUSES],
         F.sum("_calls").alias("api_calls"),
         tokens.alias("tokens"),
-        *percentile_columns(),
         half_even(blended_cost(tokens), 4).alias("estimated_cost_usd"),
     )
+    return with_percentiles(sums, hist, [])
 
 
 def status_breakdown(gated: DataFrame) -> DataFrame:
@@ -162,6 +163,8 @@ def spearman(df: DataFrame, value: str, hit: Column, steps: int = 256) -> DataFr
     into ``steps`` ranges of about equal size. Inside a range the running count is
     local. A range's offset enters its sums linearly, so only ``steps`` rows meet
     to finish: rank = offset + local, and the sums of w*rank and w*rank^2 expand.
+    Boundaries and ranges are read from the same exchange of distinct values (the boundaries' row
+    carries the totals that the last step needs), so rows are read and counted once.
     """
     hist = (
         df.filter(F.col(value).isNotNull())
@@ -169,17 +172,19 @@ def spearman(df: DataFrame, value: str, hit: Column, steps: int = 256) -> DataFr
         .agg(F.count(F.lit(1)).alias("c"), F.count_if(hit).alias("p"))
     )
     marks = hist.agg(
-        F.percentile_approx("v", [i / steps for i in range(1, steps)], steps * 40).alias("marks")
+        F.percentile_approx("v", [i / steps for i in range(1, steps)], steps * 40).alias("marks"), F.sum("c").alias("_n"), F.sum("p").alias("_hits")
     )
     # one row holding a fixed number of boundaries
     ranged = hist.join(F.broadcast(marks)).select(
-        "v", "c", "p", F.size(F.filter("marks", lambda m: m < F.col("v"))).alias("b")
+        "v", "c", "p", F.size(F.filter("marks", lambda m: m < F.col("v"))).alias("b"), "_n", "_hits"
     )
     inside = W.partitionBy("b").orderBy("v")
     local = ranged.withColumn("r", F.sum("c").over(inside) - F.col("c") + (F.col("c") + 1) / F.lit(2.0))
     per_range = local.groupBy("b").agg(
         F.sum("c").alias("c"),
         F.sum("p").alias("p"),
+        F.max("_n").alias("_n"),
+        F.max("_hits").alias("_hits"),
         F.sum(F.col("c") * F.col("r")).alias("cr"),
         F.sum(F.col("c") * F.col("r") * F.col("r")).alias("crr"),
         F.sum(F.col("p") * F.col("r")).alias("pr"),
@@ -189,8 +194,8 @@ def spearman(df: DataFrame, value: str, hit: Column, steps: int = 256) -> DataFr
     off = (F.sum("c").over(everything) - F.col("c")).cast("double")
     shifted = per_range.withColumn("o", off)
     tot = shifted.agg(
-        F.sum("c").alias("n"),
-        F.sum("p").alias("P"),
+        F.max("_n").alias("n"),
+        F.max("_hits").alias("P"),
         F.sum(F.col("cr") + F.col("o") * F.col("c")).alias("x"),
         F.sum(F.col("crr") + 2 * F.col("o") * F.col("cr") + F.col("o") * F.col("o") * F.col("c")).alias("xx"),
         F.sum(F.col("pr") + F.col("o") * F.col("p")).alias("xp"),

@@ -11,8 +11,9 @@ from replyloom.operators.common import counted, long_form, right
 
 
 def score_plain(requests: DataFrame, replies: DataFrame, raw: str = "raw", classes=INTENTS) -> DataFrame:
-    """Evaluate one-word replies: normalised label, strict format flag, correctness."""
-    joined = requests.join(replies.select("request_id", raw), "request_id")
+    """Evaluate one-word replies: normalised label, strict format flag, correctness. A request
+    without a reply has no label, a bad format and a wrong answer."""
+    joined = requests.join(replies.select("request_id", raw), "request_id", "left")
     return joined.select(
         *requests.columns,
         F.col(raw).alias("raw_reply"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,9 +12,10 @@ from replyloom.domain import ESCALATE_BELOW, INTENTS, PRICES, STAY_AT
 from replyloom.functions.numeric import call_cost, embed_cost, half_even, nanos, ratio, usd_from_nanos
 from replyloom.functions.replies import with_reply
 from replyloom.functions.text import in_domain
-from replyloom.operators.common import is_adversarial, is_holdout, long_form, right
+from replyloom.operators.common import counted, is_adversarial, is_holdout, long_form, right
 from replyloom.operators.gate_report import threshold_curve
-from replyloom.operators.quantiles import percentile_columns, with_percentile_ranks
+from replyloom.operators.quantiles import with_percentiles
+from replyloom.session import cut_lineage
 
 CALL_FIELDS = ("model", "label", "confidence", "raw", "latency_ms", "input_tokens", "output_tokens")
 
@@ -36,7 +39,8 @@ class Call:
 
     @property
     def present(self) -> Column:
-        return self["model"].isNotNull()
+        """Whether the call is recorded."""
+        return F.coalesce(self["there"], F.lit(False))
 
 
 def call(run_id: str) -> Call:
@@ -47,13 +51,22 @@ def either(cond: Column, first: Call, second: Call) -> Call:
     return Call(lambda name: F.when(cond, first[name]).otherwise(second[name]))
 
 
-def read_calls(replies: DataFrame, run_id: str, *, strict: bool = False, prices=PRICES, classes=INTENTS) -> DataFrame:
-    """The JSON calls of one run, a row per request; a run's (request, call) pairs
-    are unique, see ``latest_calls`` otherwise."""
-    parsed = with_cost(
-        with_reply(replies.filter(F.col("run_id") == run_id), "raw", strict=strict, classes=classes), prices
+def read_runs(replies: DataFrame, runs, *, strict: bool = False, prices=PRICES, classes=INTENTS) -> DataFrame:
+    """The JSON calls of several runs, a row per request with the columns of each run's call.
+
+    Replies are read once, whatever the number of runs, and dealt out by request once; the
+    grouping and a join that follows use that order. Fields nobody asks for are not moved. A run's
+    (request, call) pairs are unique, see ``latest_calls`` otherwise.
+    """
+    wanted = replies.filter(F.col("run_id").isin(*runs))
+    parsed = with_cost(with_reply(wanted, "raw", strict=strict, classes=classes), prices)
+    fields = (*CALL_FIELDS, "cost")
+    dealt = parsed.select("request_id", F.col("run_id").alias("_run"), *fields).repartition("request_id")
+    of = lambda run, c: F.max(F.when(F.col("_run") == run, c))
+    return dealt.groupBy("request_id").agg(
+        *[of(run, F.col(f)).alias(f"{run}__{f}") for run in runs for f in fields],
+        *[of(run, F.lit(True)).alias(f"{run}__there") for run in runs],
     )
-    return parsed.select("request_id", *[F.col(f).alias(f"{run_id}__{f}") for f in (*CALL_FIELDS, "cost")])
 
 
 def latest_calls(replies: DataFrame, position: str) -> DataFrame:
@@ -65,11 +78,8 @@ def latest_calls(replies: DataFrame, position: str) -> DataFrame:
 
 
 def with_tiers(requests: DataFrame, replies: DataFrame, runs, **kw) -> DataFrame:
-    """Requests with the call of each run. Only the first must be present."""
-    df = requests
-    for i, run in enumerate(runs):
-        df = df.join(read_calls(replies, run, **kw), "request_id", "inner" if i == 0 else "left")
-    return df
+    """All requests, each with the call of each run where it is recorded: one join for all runs."""
+    return requests.join(read_runs(replies, runs, **kw), "request_id", "left")
 
 
 def unsure(reply: Call, below: Column | float = ESCALATE_BELOW, classes=INTENTS) -> Column:
@@ -86,12 +96,13 @@ def _outcome(
     run_id: str, route: Column, final: Call, calls: list[Call], taken: list[Column] | None = None,
     cheap: Call | None = None, keep_calls: bool = True,
 ) -> dict[str, Column]:
-    """The decision columns of a result row; ``taken`` says which calls were made."""
+    """The decision columns of a result row; ``taken`` says which calls the route asks for.
+    What is not recorded adds nothing and is counted in ``n_missing``; a request without any
+    recorded call has a NULL label, cost and latency."""
     taken = taken or [F.lit(True)] * len(calls)
+    made = [t & c.present for t, c in zip(taken, calls)]
     zero = F.lit(0.0)
-    add = lambda name: sum(
-        F.when(t, c[name]).otherwise(zero) if i else c[name] for i, (c, t) in enumerate(zip(calls, taken))
-    )
+    add = lambda name: F.when(functools.reduce(operator.or_, made), sum(F.when(m, c[name]).otherwise(zero) for c, m in zip(calls, made)))
     nul = F.lit(None)
     out = {
         "run_id": F.lit(run_id),
@@ -102,9 +113,10 @@ def _outcome(
         "cheap_confidence": cheap["confidence"] if cheap is not None else nul.cast("double"),
     }
     if keep_calls:
-        out["calls"] = F.array_compact(F.array(*[F.when(t, _entry(c)) for c, t in zip(calls, taken)]))
-    out["n_calls"] = sum(t.cast("int") for t in taken)
-    out["n_unpriced"] = sum((t & c.present & c["cost"].isNull()).cast("int") for t, c in zip(taken, calls))
+        out["calls"] = F.array_compact(F.array(*[F.when(m, _entry(c)) for c, m in zip(calls, made)]))
+    out["n_calls"] = sum(m.cast("int") for m in made)
+    out["n_missing"] = sum((t & ~c.present).cast("int") for t, c in zip(taken, calls))
+    out["n_unpriced"] = sum((m & c["cost"].isNull()).cast("int") for m, c in zip(made, calls))
     out["total_cost"] = add("cost")
     out["total_latency_ms"] = add("latency_ms")
     return out
@@ -116,7 +128,7 @@ def _results(df: DataFrame, requests: DataFrame, outcome: dict[str, Column]) ->
 
 
 def single_model(requests: DataFrame, replies: DataFrame, run_id: str, **kw) -> DataFrame:
-    """One model answers everything; its name is the route."""
+    """One model answers everything; its name is the route (NULL where nothing is recorded)."""
     df = with_tiers(requests, replies, [run_id], **kw)
     only = call(run_id)
     return _results(df, requests, _outcome(run_id, only["model"], only, [only]))
@@ -139,13 +151,12 @@ def route_replay(
     **kw,
 ) -> DataFrame:
     """Cheap reply kept unless unsure, else the strong reply as it is, valid or
-    not. Only escalated requests look up the strong side. ``escalate`` replaces the
+    not. Every request is a row: one without a cheap reply escalates, one without the
+    reply its route asks for has a NULL label. ``escalate`` replaces the
     rule with any predicate over the cheap call."""
-    base = requests.join(read_calls(replies, cheap, **kw), "request_id")
-    base = base.withColumn("_esc", unsure(call(cheap), below) if escalate is None else escalate)
-    backup = read_calls(replies, strong, **kw).withColumnRenamed("request_id", "_rid")
-    df = base.join(backup, (F.col("request_id") == F.col("_rid")) & F.col("_esc"), "left")
     c, s, esc = call(cheap), call(strong), F.col("_esc")
+    df = with_tiers(requests, replies, [cheap, strong], **kw)
+    df = df.withColumn("_esc", unsure(c, below) if escalate is None else escalate)
     route, final = _fallback(c, s, esc)
     return _results(df, requests, _outcome(run_id, route, final, [c, s], [F.lit(True), esc], c))
 
@@ -155,7 +166,7 @@ def replay_modes(
     keep_calls: bool = False, **kw
 ) -> DataFrame:
     """Cheap-only, strong-only and routed results from one join: both reply sets
-    are read once and each request fans out into its three outcomes. The fan-out
+    are read once and each request fans out into its three outcomes, answered or not. The fan-out
     takes its rows whole, so the calls with their texts are left out unless asked
     for."""
     df = with_tiers(requests, replies, [cheap, strong], **kw)
@@ -164,12 +175,10 @@ def replay_modes(
     esc = F.col("_esc")
     route, final = _fallback(c, s, esc)
     row = lambda *a: F.struct(*[col.alias(n) for n, col in _outcome(*a, keep_calls=keep_calls).items()])
-    outcomes = F.array_compact(
-        F.array(
-            row(cheap, c["model"], c, [c]),
-            F.when(s.present, row(strong, s["model"], s, [s])),
-            row("router", route, final, [c, s], [F.lit(True), esc], c),
-        )
+    outcomes = F.array(
+        row(cheap, c["model"], c, [c]),
+        row(strong, s["model"], s, [s]),
+        row("router", route, final, [c, s], [F.lit(True), esc], c),
     )
     out = df.select(*requests.columns, F.inline(outcomes))
     return out.withColumn("correct", right())
@@ -237,19 +246,17 @@ def micro_route(
     """Small-model-first routing. ``micro(request_id, micro_label, max_proba,
     embed_tokens, embed_latency_ms)``; at or above ``stay_at`` its label stands,
     below it the fallback's (NULL when unusable) does. ``noisy`` sends further
-    rows to the fallback whatever the probability."""
-    base = requests.join(micro, "request_id")
+    rows to the fallback whatever the probability. Every request is a row: one the small model
+    has not seen goes to the fallback, one without a recorded fallback has a NULL label."""
     esc = ~F.coalesce(F.col("max_proba") >= stay_at, F.lit(False))
     if noisy is not None:
-        esc = esc | noisy
-    backup = read_calls(replies, fallback, strict=True, prices=prices).withColumnRenamed("request_id", "_rid")
-    df = base.withColumn("_esc", esc).join(
-        backup, (F.col("request_id") == F.col("_rid")) & F.col("_esc"), "left"
-    )
+        esc = esc | F.coalesce(noisy, F.lit(False))
+    df = with_tiers(requests.join(micro, "request_id", "left"), replies, [fallback], strict=True, prices=prices).withColumn("_esc", esc)
     f, esc = call(fallback), F.col("_esc")
-    embed = embed_cost(F.col("embed_tokens"))
+    called = esc & f.present
+    embed = F.coalesce(embed_cost(F.col("embed_tokens")), F.lit(0.0))
     zero = F.lit(0.0)
-    llm = F.when(esc, f["cost"]).otherwise(zero)
+    llm = F.when(called, f["cost"]).otherwise(zero)
     return df.select(
         *requests.columns,
         F.lit("micro").alias("run_id"),
@@ -259,13 +266,16 @@ def micro_route(
         "micro_label",
         "max_proba",
         F.when(esc, f["label"]).alias("fallback_label"),
-        (esc & f.present).alias("fallback_called"),
-        (esc & f.present).cast("int").alias("n_calls"),
-        (esc & f.present & f["cost"].isNull()).cast("int").alias("n_unpriced"),
+        called.alias("fallback_called"),
+        called.cast("int").alias("n_calls"),
+        (esc & ~f.present).cast("int").alias("n_missing"),
+        (called & f["cost"].isNull()).cast("int").alias("n_unpriced"),
         embed.alias("embed_cost"),
         llm.alias("llm_cost"),
         (embed + llm).alias("total_cost"),
-        (F.col("embed_latency_ms") + F.when(esc, f["latency_ms"]).otherwise(zero)).alias("total_latency_ms"),
+        F.when(
+            F.col("embed_latency_ms").isNotNull() | called, F.coalesce("embed_latency_ms", zero) + F.when(called, f["latency_ms"]).otherwise(zero)
+        ).alias("total_latency_ms"),
     ).withColumn("correct", right())
 
 
@@ -283,12 +293,13 @@ def micro_summary(results: DataFrame, by: list[str] = ["run_id"]) -> DataFrame:
 
 def run_summary(results: DataFrame, by: list[str] = ["run_id"], more: dict[str, Column] | None = None, routes=ROUTES) -> DataFrame:
     """Totals, accuracy counts, rows of each of ``routes``, calls, cost and index percentiles of
-    each run. Calls without a price are in no cost; ``n_unpriced`` tells how many. One
-    shuffle: the first grouping is by run and whole millisecond, which serves the
-    latency histogram and carries every other sum along. ``more`` names further sums; those
-    ending in ``_usd`` are in billionths."""
+    each run. Calls without a price are in no cost; ``n_unpriced`` tells how many, and ``n_missing``
+    how many calls a route asked for are not recorded; their requests count in every total. Rows are
+    grouped once, by run and whole millisecond; that histogram is written, and sums and percentiles are
+    made from it. ``more`` names further sums; those ending in ``_usd`` are in billionths."""
     ok, h = F.col("correct"), is_holdout()
     more = more or {}
+    optional = lambda name: F.sum(name) if name in results.columns else F.lit(0).cast("bigint")
     hist = results.groupBy(*by, F.rint("total_latency_ms").cast("bigint").alias("ms")).agg(
         F.count(F.lit(1)).alias("_c"),
         F.count_if(h).alias("_h"),
@@ -298,11 +309,15 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"], more: dict[str,
         F.count_if(F.col("route") == "escalated").alias("_e"),
         F.sum("n_calls").alias("_calls"),
         F.sum(nanos(F.col("total_cost"))).alias("_cost"),
-        (F.sum("n_unpriced") if "n_unpriced" in results.columns else F.lit(0).cast("bigint")).alias("_unpriced"),
+        optional("n_unpriced").alias("_unpriced"),
+        optional("n_missing").alias("_missing"),
         *[F.count_if(F.col("route") == r).alias(f"_r{i}") for i, r in enumerate(routes)],
         *[c.alias(f"_m_{n}") for n, c in more.items()],
     )
-    out = with_percentile_ranks(hist, by).groupBy(*by).agg(
+    hist = cut_lineage(hist, "summary")
+    sums = counted(
+        by,
+        hist,
         F.sum("_c").alias("total"),
         F.sum("_h").alias("holdout_total"),
         F.sum("_a").alias("adv_total"),
@@ -311,12 +326,12 @@ def run_summary(results: DataFrame, by: list[str] = ["run_id"], more: dict[str,
         F.sum("_e").alias("escalated"),
         F.sum("_calls").alias("api_calls"),
         F.sum("_unpriced").alias("n_unpriced"),
+        F.sum("_missing").alias("n_missing"),
         *[F.sum(f"_r{i}").alias(f"route_{r}") for i, r in enumerate(routes)],
         *[(usd_from_nanos(F.sum(f"_m_{n}")) if n.endswith("_usd") else F.sum(f"_m_{n}")).alias(n) for n in more],
         usd_from_nanos(F.sum("_cost")).alias("total_cost_usd"),
-        *percentile_columns(),
     )
-    return out
+    return with_percentiles(sums, hist, by)
 
 
 def headline(summary: DataFrame) -> DataFrame:

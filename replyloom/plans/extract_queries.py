@@ -21,7 +21,7 @@ def _items(spark, sf):
 def _scored(spark, sf, run):
     items = _items(spark, sf)
     fold = x.extract_mono if run == "mono" else x.extract_multi
-    return x.score_extraction(d.rich_expected(items), fold(d.rich_replies(items, run)))
+    return x.score_extraction(d.rich_expected(items), fold(d.rich_replies(items, run).filter(d.RECORDED)))
 
 
 def _enum(doc: str, field: str, allowed, default: str) -> str:
@@ -47,8 +47,8 @@ def _six(primary: str, target: str, mood: str) -> str:
 
 def _match(p: str, e: str) -> str:
     return ", ".join(
-        f"lower(coalesce({p}.{f}, '')) = lower(coalesce({e}.{f}, '')) AS m_{f}" if f == "target_name"
-        else f"{p}.{f} = {e}.{f} AS m_{f}"
+        f"{p}.n_calls IS NOT NULL AND lower(coalesce({p}.{f}, '')) = lower(coalesce({e}.{f}, '')) AS m_{f}" if f == "target_name"
+        else f"coalesce({p}.{f} = {e}.{f}, false) AS m_{f}"
         for f in FIELDS
     )
 
@@ -69,7 +69,7 @@ X_SQL = {
       JOIN (SELECT * FROM docs WHERE stage = 'sentiment') s USING (request_id)""",
     **{
         f"{run}_scored": f"""SELECT *, {_ALL} AS correct FROM (SELECT g.request_id, g."user", {_match('p', 'g')},
-        p AS p, g.target_name AS gold_name FROM rich g JOIN {run} p USING (request_id))"""
+        p AS p, g.target_name AS gold_name FROM rich g LEFT JOIN (SELECT * FROM (SELECT *, '{run}' AS run_id FROM {run}) WHERE {d.RECORDED}) p USING (request_id))"""
         for run in ("mono", "multi")
     },
 }

@@ -159,8 +159,8 @@ def gate_quality(spark, sf):
 @query(
     "gated_vs_baseline",
     _check(
-        f"""SELECT count(*) AS baseline_served, (SELECT round_even(avg(({normal('raw')} = expected)::int), 6) FROM requests
-          JOIN replies USING (request_id) WHERE run_id = 'baseline' AND kind = 'holdout') AS baseline_accuracy,
+        f"""SELECT count(*) AS baseline_served, (SELECT round_even(avg(coalesce({normal('raw')} = expected, false)::int), 6) FROM requests
+          LEFT JOIN (SELECT * FROM replies WHERE run_id = 'baseline' AND {d.RECORDED}) USING (request_id) WHERE kind = 'holdout') AS baseline_accuracy,
         {where(_OK)} AS gated_served, {share(where(f'{_OK} AND hit'), where(_OK))} AS gated_accuracy,
         count(*) - {where(_OK)} AS flagged FROM held"""
     ),
@@ -238,8 +238,8 @@ def two_level_gate(spark, sf):
     _check(
         f"""SELECT count(*) AS baseline_wrong, {where("status <> 'OK'")} AS flagged,
         {share(where("status <> 'OK'"))} AS catch_rate FROM held
-        JOIN (SELECT request_id FROM requests JOIN replies USING (request_id)
-          WHERE run_id = 'baseline' AND {normal('raw')} <> expected) USING (request_id)"""
+        JOIN (SELECT request_id FROM requests LEFT JOIN (SELECT * FROM replies WHERE run_id = 'baseline' AND {d.RECORDED}) USING (request_id)
+          WHERE coalesce({normal('raw')} <> expected, true)) USING (request_id)"""
     ),
 )
 def baseline_catch(spark, sf):

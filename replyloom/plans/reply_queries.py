@@ -80,16 +80,17 @@ def call_cost(spark, sf):
 
 
 BASE_SQL = {
-    "scored": f"""SELECT q.request_id, q."user", q.expected, q.kind, q.lang, r.run_id, {normal('raw')} AS final_label,
-      {strict('raw')} AS format_ok, {normal('raw')} = expected AS correct
-      FROM requests q JOIN replies r USING (request_id) WHERE run_id IN ('baseline', 'tuned', 'tuned_again')""",
+    "scored": f"""SELECT q.request_id, q."user", q.expected, q.kind, q.lang, v.run AS run_id, {normal('raw')} AS final_label,
+      coalesce({strict('raw')}, false) AS format_ok, coalesce({normal('raw')} = expected, false) AS correct
+      FROM requests q CROSS JOIN (VALUES ('baseline'), ('tuned'), ('tuned_again')) AS v(run)
+      LEFT JOIN (SELECT * FROM replies WHERE {d.RECORDED}) r ON r.request_id = q.request_id AND r.run_id = v.run""",
     "base": "SELECT * EXCLUDE (run_id) FROM scored WHERE run_id = 'baseline'",
 }
 
 
 def _scored(spark, sf, run="baseline"):
     reqs = d.requests(spark, sf)
-    return metrics.score_plain(d.slim(reqs), d.replies(reqs, run))
+    return metrics.score_plain(d.slim(reqs), d.replies(reqs, run).filter(d.RECORDED))
 
 
 def _check(body, *more):
@@ -138,8 +139,10 @@ def constant_baseline(spark, sf):
 )
 def accuracy(spark, sf):
     reqs = d.requests(spark, sf)
-    rep = d.replies(reqs, "baseline", "tuned")
-    rows = d.slim(reqs).join(rep.select("request_id", "run_id", "raw"), "request_id")
+    names = ("baseline", "tuned")
+    rep = d.replies(reqs, *names).filter(d.RECORDED)
+    asked = d.slim(reqs).withColumn("run_id", F.explode(F.array(*[F.lit(n) for n in names])))
+    rows = asked.join(rep.select("request_id", "run_id", "raw"), ["request_id", "run_id"], "left")
     rows = rows.select(
         "run_id",
         F.coalesce(normalize_reply(F.col("raw")) == F.col("expected"), F.lit(False)).alias("correct"),

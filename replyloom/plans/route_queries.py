@@ -14,9 +14,14 @@ from replyloom.session import shared_folder
 from replyloom.sources import runs
 
 
+_RECORDED = d.RECORDED
+# nor are some embeddings
+_EMBEDDED = "request_id % 43 <> 5"
+
+
 def _inputs(spark, sf, *names):
     reqs = d.requests(spark, sf)
-    return d.slim(reqs), d.replies(reqs, *names)
+    return d.slim(reqs), d.replies(reqs, *names).filter(_RECORDED)
 
 
 def _router(spark, sf, **kw):
@@ -28,49 +33,64 @@ def _modes(spark, sf):
 
 
 def _micro(spark, sf, **kw):
-    reqs = d.requests(spark, sf)
-    return t.micro_route(d.slim(reqs), d.micro(reqs), d.replies(reqs, "cheap"), **kw)
+    reqs, replies = _inputs(spark, sf, "cheap")
+    return t.micro_route(reqs, d.micro(d.requests(spark, sf)).filter(_EMBEDDED), replies, **kw)
 
 
 def _unsure(p: str, below: str = "0.85") -> str:
-    return f"({p}.confidence < {below} OR {p}.label NOT IN {CLASSES})"
+    return f"coalesce({p}.confidence < {below} OR {p}.label NOT IN {CLASSES}, true)"
 
 
 def _json_run(run: str) -> str:
-    return f"SELECT *, {COST} AS cost FROM (" + parsed(f"(SELECT * FROM replies WHERE run_id = '{run}')") + ")"
+    return f"SELECT *, {COST} AS cost FROM (" + parsed(f"(SELECT * FROM replies WHERE run_id = '{run}' AND {_RECORDED})") + ")"
+
+
+def _made(*calls: tuple[str, str]) -> str:
+    """Recorded calls among (call, condition under which it is asked for)."""
+    return " + ".join(f"(({c}) AND {p}.model IS NOT NULL)::int" for p, c in calls)
+
+
+def _added(field: str, *calls: tuple[str, str]) -> str:
+    terms = " + ".join(f"CASE WHEN ({c}) AND {p}.model IS NOT NULL THEN {p}.{field} ELSE 0 END" for p, c in calls)
+    return f"CASE WHEN {_made(*calls)} > 0 THEN {terms} END"
+
+
+_ROUTED = (("c", "true"), ("s", "esc"))
 
 
 RUNS_SQL = {
     **{run: _json_run(run) for run in ("cheap", "cheap2", "mid", "strong")},
     "joined": f"""SELECT q.request_id, q."user", q.expected, q.kind, c AS c, s AS s, {_unsure('c')} AS esc
-      FROM requests q JOIN cheap c USING (request_id) JOIN strong s USING (request_id)""",
-    "router": """SELECT request_id, "user", expected, kind, 'router' AS run_id,
+      FROM requests q LEFT JOIN cheap c USING (request_id) LEFT JOIN strong s USING (request_id)""",
+    "router": f"""SELECT request_id, "user", expected, kind, 'router' AS run_id,
       CASE WHEN esc THEN 'escalated' ELSE 'cheap' END AS route,
       CASE WHEN esc THEN s.label ELSE c.label END AS final_label,
       CASE WHEN esc THEN s.confidence ELSE c.confidence END AS final_confidence,
-      CASE WHEN esc THEN 2 ELSE 1 END AS n_calls,
-      c.cost + CASE WHEN esc THEN s.cost ELSE 0 END AS total_cost,
-      c.latency_ms + CASE WHEN esc THEN s.latency_ms ELSE 0 END AS total_latency_ms, c.label AS cheap_label,
-      CASE WHEN esc THEN s.label = expected ELSE c.label = expected END AS correct FROM joined""",
+      {_made(*_ROUTED)} AS n_calls, 1 + esc::int - ({_made(*_ROUTED)}) AS n_missing,
+      {_added('cost', *_ROUTED)} AS total_cost, {_added('latency_ms', *_ROUTED)} AS total_latency_ms, c.label AS cheap_label,
+      coalesce(CASE WHEN esc THEN s.label = expected ELSE c.label = expected END, false) AS correct FROM joined""",
     "singles": " UNION ALL ".join(
         f"""SELECT request_id, "user", expected, kind, '{run}' AS run_id, {v}.model AS route, {v}.label AS final_label,
-        {v}.confidence AS final_confidence, 1 AS n_calls, {v}.cost AS total_cost, {v}.latency_ms AS total_latency_ms,
-        NULL AS cheap_label, {v}.label = expected AS correct FROM joined"""
+        {v}.confidence AS final_confidence, ({v}.model IS NOT NULL)::int AS n_calls, ({v}.model IS NULL)::int AS n_missing,
+        {v}.cost AS total_cost, {v}.latency_ms AS total_latency_ms,
+        NULL AS cheap_label, coalesce({v}.label = expected, false) AS correct FROM joined"""
         for run, v in (("cheap", "c"), ("strong", "s"))
     ),
     "every": "SELECT * FROM router UNION ALL SELECT * FROM singles",
-    "fallback": f"SELECT *, {COST} AS cost FROM (" + parsed_strict("(SELECT * FROM replies WHERE run_id = 'cheap')") + ")",
-    "microed": """SELECT q.request_id, q."user", q.expected, q.kind, 'micro' AS run_id, m.micro_label, m.max_proba,
-      CASE WHEN m.max_proba >= 0.6 THEN 'stayed' ELSE 'escalated' END AS route,
-      CASE WHEN m.max_proba >= 0.6 THEN m.micro_label ELSE f.label END AS final_label,
-      CASE WHEN m.max_proba >= 0.6 THEN NULL ELSE f.label END AS fallback_label,
-      CASE WHEN m.max_proba >= 0.6 THEN m.max_proba ELSE f.confidence END AS final_confidence,
-      m.max_proba < 0.6 AS fallback_called, CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE 1 END AS n_calls,
-      m.embed_tokens * (0.02::double / 1000000) AS embed_cost, CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.cost END AS llm_cost,
-      m.embed_tokens * (0.02::double / 1000000) + CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.cost END AS total_cost,
-      m.embed_latency_ms + CASE WHEN m.max_proba >= 0.6 THEN 0 ELSE f.latency_ms END AS total_latency_ms,
-      coalesce(CASE WHEN m.max_proba >= 0.6 THEN m.micro_label ELSE f.label END = q.expected, false) AS correct
-      FROM requests q JOIN micro m USING (request_id) JOIN fallback f USING (request_id)""",
+    "fallback": f"SELECT *, {COST} AS cost FROM (" + parsed_strict(f"(SELECT * FROM replies WHERE run_id = 'cheap' AND {_RECORDED})") + ")",
+    "microed": f"""SELECT request_id, "user", expected, kind, 'micro' AS run_id, m.micro_label AS micro_label, m.max_proba AS max_proba,
+      CASE WHEN up THEN 'escalated' ELSE 'stayed' END AS route,
+      CASE WHEN up THEN f.label ELSE m.micro_label END AS final_label,
+      CASE WHEN up THEN f.label END AS fallback_label,
+      CASE WHEN up THEN f.confidence ELSE m.max_proba END AS final_confidence,
+      up AND f.model IS NOT NULL AS fallback_called, (up AND f.model IS NOT NULL)::int AS n_calls, (up AND f.model IS NULL)::int AS n_missing,
+      coalesce(m.embed_tokens * (0.02::double / 1000000), 0) AS embed_cost, CASE WHEN up AND f.model IS NOT NULL THEN f.cost ELSE 0 END AS llm_cost,
+      coalesce(m.embed_tokens * (0.02::double / 1000000), 0) + CASE WHEN up AND f.model IS NOT NULL THEN f.cost ELSE 0 END AS total_cost,
+      CASE WHEN m.micro_label IS NOT NULL OR (up AND f.model IS NOT NULL)
+        THEN coalesce(m.embed_latency_ms, 0) + CASE WHEN up AND f.model IS NOT NULL THEN f.latency_ms ELSE 0 END END AS total_latency_ms,
+      coalesce(CASE WHEN up THEN f.label ELSE m.micro_label END = expected, false) AS correct
+      FROM (SELECT q.*, m AS m, f AS f, NOT coalesce(m.max_proba >= 0.6, false) AS up
+        FROM requests q LEFT JOIN (SELECT * FROM micro WHERE {_EMBEDDED}) m USING (request_id) LEFT JOIN fallback f USING (request_id))""",
 }
 
 
@@ -101,14 +121,14 @@ def single_model(spark, sf):
 
 
 def _summary_sql(source: str, by: str = "run_id", more: str = "") -> str:
-    lat = "list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)))"
+    lat = "list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)) FILTER (WHERE total_latency_ms IS NOT NULL))"
     return f"""SELECT {by}, count(*) AS total, {where("kind = 'holdout'")} AS holdout_total,
       {where("kind LIKE 'adv-%'")} AS adv_total, {where('correct')} AS correct_total,
       {where("correct AND kind = 'holdout'")} AS holdout_correct, {where("route = 'escalated'")} AS escalated,
-      cast(sum(n_calls) AS bigint) AS api_calls, {usd('total_cost')} AS total_cost_usd, {where('total_cost IS NULL')} AS n_unpriced,
+      cast(sum(n_calls) AS bigint) AS api_calls, {usd('total_cost')} AS total_cost_usd, {where('n_calls > 0 AND total_cost IS NULL')} AS n_unpriced, cast(sum(n_missing) AS bigint) AS n_missing,
       {where("route = 'cheap'")} AS route_cheap, {where("route = 'stayed'")} AS route_stayed, {where("route = 'escalated'")} AS route_escalated,{more}
-      {lat}[cast(floor(count(*) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
-      {lat}[cast(floor(count(*) * 0.95::double) AS bigint) + 1] AS latency_p95_ms FROM {source} GROUP BY {by}"""
+      {lat}[cast(floor(count(total_latency_ms) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
+      {lat}[cast(floor(count(total_latency_ms) * 0.95::double) AS bigint) + 1] AS latency_p95_ms FROM {source} GROUP BY {by}"""
 
 
 _SUMMARY = {"summary": _summary_sql("every")}
@@ -155,7 +175,7 @@ def micro_summary(spark, sf):
 )
 def headline(spark, sf):
     """Cheap-only, strong-only, routed and small-model-first runs side by side."""
-    keep = ("run_id", "kind", "route", "n_calls", "n_unpriced", "total_cost", "total_latency_ms", "correct")
+    keep = ("run_id", "kind", "route", "n_calls", "n_missing", "n_unpriced", "total_cost", "total_latency_ms", "correct")
     everything = _modes(spark, sf).select(*keep).unionByName(_micro(spark, sf).select(*keep))
     return t.headline(t.run_summary(everything))
 
@@ -215,8 +235,8 @@ def cost_saving(spark, sf):
     "latency_percentiles",
     _check(
         """SELECT run_id, route, count(*) AS n,
-        list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)))[cast(floor(count(*) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
-        list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)))[cast(floor(count(*) * 0.95::double) AS bigint) + 1] AS latency_p95_ms
+        list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)) FILTER (WHERE total_latency_ms IS NOT NULL))[cast(floor(count(total_latency_ms) * 0.5::double) AS bigint) + 1] AS latency_p50_ms,
+        list_sort(list(cast(round_even(total_latency_ms, 0) AS bigint)) FILTER (WHERE total_latency_ms IS NOT NULL))[cast(floor(count(total_latency_ms) * 0.95::double) AS bigint) + 1] AS latency_p95_ms
         FROM every GROUP BY 1, 2"""
     ),
 )
@@ -234,7 +254,7 @@ def latency_percentiles(spark, sf):
 )
 def latency_combine(spark, sf):
     """Parallel calls cost the slowest, sequential ones their sum."""
-    rep = _inputs(spark, sf, "gate")[1]
+    rep = d.replies(d.requests(spark, sf), "gate")
     per = rep.groupBy("request_id").agg(
         F.max("latency_ms").alias("slowest"), half_even(F.sum("latency_ms")).alias("together")
     )
@@ -246,9 +266,9 @@ def latency_combine(spark, sf):
     "run_explode",
     _check(
         """SELECT request_id, route, 1 AS call_no, c.model AS model, c.label AS label, c.confidence AS confidence,
-          c.input_tokens AS input_tokens, c.output_tokens AS output_tokens, c.latency_ms AS latency_ms FROM router JOIN joined USING (request_id)
-        UNION ALL SELECT request_id, route, 2, s.model, s.label, s.confidence, s.input_tokens, s.output_tokens, s.latency_ms
-        FROM router JOIN joined USING (request_id) WHERE route = 'escalated'"""
+          c.input_tokens AS input_tokens, c.output_tokens AS output_tokens, c.latency_ms AS latency_ms FROM router JOIN joined USING (request_id) WHERE c.model IS NOT NULL
+        UNION ALL SELECT request_id, route, 1 + (c.model IS NOT NULL)::int, s.model, s.label, s.confidence, s.input_tokens, s.output_tokens, s.latency_ms
+        FROM router JOIN joined USING (request_id) WHERE route = 'escalated' AND s.model IS NOT NULL"""
     ),
 )
 def run_explode(spark, sf):
@@ -287,7 +307,7 @@ def run_join(spark, sf):
     "run_join_by_text",
     _check(
         """SELECT r.request_id, r.final_label, c.final_label AS other_label FROM router r JOIN (
-          SELECT "user", arg_max(final_label, request_id) AS final_label FROM cheap_only GROUP BY 1) c USING ("user")""",
+          SELECT "user", arg_max({'l': final_label}, request_id).l AS final_label FROM cheap_only GROUP BY 1) c USING ("user")""",
         _CHEAP,
     ),
 )
@@ -313,8 +333,8 @@ def rescued_broken(spark, sf):
 @query(
     "run_agreement",
     _check(
-        f"""SELECT count(*) AS total, {where('r.final_label = s.final_label')} AS same,
-        {share(where('r.final_label = s.final_label'))} AS agreement FROM router r
+        f"""SELECT count(*) AS total, {where('r.final_label IS NOT DISTINCT FROM s.final_label')} AS same,
+        {share(where('r.final_label IS NOT DISTINCT FROM s.final_label'))} AS agreement FROM router r
         LEFT JOIN strong_only s USING (request_id)""",
         _CHEAP,
     ),
@@ -360,7 +380,7 @@ def outcome_examples(spark, sf):
     "best_of_two",
     _check(
         f"""SELECT request_id, CASE WHEN esc THEN 'escalated' ELSE 'cheap' END AS route,
-        CASE WHEN NOT esc OR (c.label IN {CLASSES} AND (c.confidence > s.confidence OR s.label NOT IN {CLASSES}))
+        CASE WHEN NOT esc OR (coalesce(c.label IN {CLASSES}, false) AND (coalesce(c.confidence > s.confidence, false) OR NOT coalesce(s.label IN {CLASSES}, false)))
           THEN c.label ELSE s.label END AS final_label FROM joined"""
     ),
 )
@@ -389,9 +409,9 @@ def per_class_threshold(spark, sf):
     _check(
         f"""SELECT request_id, CASE WHEN e2 THEN 'strong' WHEN e1 THEN 'mid' ELSE 'cheap' END AS route,
         CASE WHEN e2 THEN s.label WHEN e1 THEN m.label ELSE c.label END AS final_label,
-        1 + e1::int + e2::int AS n_calls,
-        round_even(c.cost + CASE WHEN e1 THEN m.cost ELSE 0 END + CASE WHEN e2 THEN s.cost ELSE 0 END, 9) AS total_cost
-        FROM (SELECT j.*, m AS m, esc AS e1, esc AND {_unsure('m')} AS e2 FROM joined j JOIN mid m USING (request_id))"""
+        {_made(('c', 'true'), ('m', 'e1'), ('s', 'e2'))} AS n_calls,
+        round_even({_added('cost', ('c', 'true'), ('m', 'e1'), ('s', 'e2'))}, 9) AS total_cost
+        FROM (SELECT j.*, m AS m, esc AS e1, esc AND {_unsure('m')} AS e2 FROM joined j LEFT JOIN mid m USING (request_id))"""
     ),
 )
 def three_tier_route(spark, sf):
@@ -403,9 +423,9 @@ def three_tier_route(spark, sf):
     "reply_doubt_route",
     _check(
         f"""SELECT request_id, CASE WHEN e THEN 'escalated' ELSE 'cheap' END AS route,
-        CASE WHEN e THEN s.label ELSE c.label END AS final_label, CASE WHEN e THEN 3 ELSE 2 END AS n_calls FROM (
-          SELECT j.*, j.c.label <> d.label OR length(j.c.raw) > 48 OR j.c.label NOT IN {CLASSES} AS e
-          FROM joined j JOIN cheap2 d USING (request_id))"""
+        CASE WHEN e THEN s.label ELSE c.label END AS final_label, {_made(('c', 'true'), ('d', 'true'), ('s', 'e'))} AS n_calls FROM (
+          SELECT j.*, d AS d, j.c.label IS DISTINCT FROM d.label OR coalesce(length(j.c.raw) > 48 OR j.c.label NOT IN {CLASSES}, true) AS e
+          FROM joined j LEFT JOIN cheap2 d USING (request_id))"""
     ),
 )
 def reply_doubt_route(spark, sf):
@@ -423,8 +443,10 @@ def micro_route(spark, sf):
     _check(
         """SELECT request_id, CASE WHEN e THEN 'escalated' ELSE 'stayed' END AS route,
         CASE WHEN e THEN f.label ELSE m.micro_label END AS final_label FROM (
-          SELECT q.request_id, m AS m, f AS f, m.max_proba < 0.6 OR length(q."user") < 12 OR m.max_proba > 0.95 AS e
-          FROM requests q JOIN micro m USING (request_id) JOIN fallback f USING (request_id))"""
+          SELECT q.request_id, m AS m, f AS f, coalesce(m.max_proba < 0.6, true) OR coalesce(length(q."user") < 12, false) OR coalesce(m.max_proba > 0.95, false) AS e
+          FROM requests q LEFT JOIN (SELECT * FROM micro WHERE """
+        + _EMBEDDED
+        + """) m USING (request_id) LEFT JOIN fallback f USING (request_id))"""
     ),
 )
 def noise_filter(spark, sf):
@@ -435,9 +457,9 @@ def noise_filter(spark, sf):
 @query(
     "threshold_sweep",
     _check(
-        f"""SELECT t::double / 10 AS threshold, {where('max_proba >= t::double / 10')} AS stay,
+        f"""SELECT t::double / 10 AS threshold, {where('coalesce(max_proba >= t::double / 10, false)')} AS stay,
         {where('CASE WHEN max_proba >= t::double / 10 THEN micro_label ELSE fallback_label END = expected')} AS n_correct,
-        {where('max_proba < t::double / 10 AND NOT fallback_called')} AS unknown, count(*) AS total,
+        {where('coalesce(max_proba < t::double / 10, true) AND NOT fallback_called')} AS unknown, count(*) AS total,
         {share(where('CASE WHEN max_proba >= t::double / 10 THEN micro_label ELSE fallback_label END = expected'))} AS accuracy
         FROM microed CROSS JOIN range(4, 10) AS r(t) GROUP BY t"""
     ),

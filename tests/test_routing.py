@@ -76,6 +76,38 @@ def test_missing_fallback_and_unknown_model(spark, data):
     assert t.with_cost(odd).select("cost", "unknown_model").first() == (None, True)
 
 
+def test_requests_without_replies_are_rows(spark, data):
+    reqs, reps = data
+    some = reps.filter("NOT (request_id = 1 AND run_id = 'cheap') AND request_id <> 4 AND NOT (request_id = 3 AND run_id = 'strong')")
+    got = by_id(t.route_replay(reqs, some))
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert (got[1].route, got[1].final_label, got[1].n_calls, got[1].n_missing, got[1].total_latency_ms) == ("escalated", "modify", 1, 1, 50.0)
+    assert (got[3].final_label, got[3].n_calls, got[3].n_missing, got[3].total_latency_ms) == (None, 1, 1, 100.0)
+    assert (got[4].final_label, got[4].n_calls, got[4].n_missing, got[4].total_cost, got[4].total_latency_ms, got[4].calls) == (None, 0, 2, None, None, [])
+    alone = by_id(t.single_model(reqs, some, "strong"))
+    assert len(alone) == 5 and alone[3].route is None and not alone[3].correct and alone[3].n_missing == 1
+    modes = t.replay_modes(reqs, some)
+    assert {r.run_id: (r.total, r.n_missing, r.api_calls) for r in t.run_summary(modes).collect()} == {"cheap": (5, 2, 3), "strong": (5, 2, 3), "router": (5, 4, 6)}
+    none = t.run_summary(t.single_model(reqs, reps.limit(0), "strong"), []).first()
+    assert (none.total, none.correct_total, none.n_missing, none.latency_p95_ms, none.total_cost_usd) == (5, 0, 5, None, None)
+    tiers = by_id(t.three_tier(reqs, some))
+    assert len(tiers) == 5 and tiers[2].final_label == "understand" and tiers[2].n_missing == 1
+    assert len(by_id(t.best_of_two(reqs, some))) == len(by_id(t.reply_doubt(reqs, some))) == 5
+
+
+def test_all_runs_are_dealt_out_once(data):
+    """Requests and replies move once each, however many runs a route reads."""
+    reqs, reps = data
+    one = t.three_tier(reqs, reps).drop("calls")
+    spark = reqs.sparkSession
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = one._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Join") == 1
+
+
 def test_latest_call_wins(spark):
     rows = [call(1, "cheap", "search", 0.9) + (1,), call(1, "cheap", "modify", 0.9) + (2,)]
     schema = T.StructType(REPLY_SCHEMA.fields + [T.StructField("pos", T.IntegerType())])
@@ -138,6 +170,22 @@ def test_repeated_text_keeps_the_last_row(spark):
     assert got == {1: "modify", 2: "modify", 3: "search"}
 
 
+def test_percentiles_of_wide_groups(spark):
+    """Values of many sizes, signs and repeats, one of 10**12; every index of every group."""
+    import random
+
+    rng = random.Random(2)
+    data = {g: [float(rng.choice([rng.randint(-9000, 9000), rng.randint(0, 10**rng.randint(1, 11))])) for _ in range(rng.randint(1, 300))] for g in "abcd"}
+    data["a"] += [1e12, -1e12, 5e11]
+    rows = [(g, v) for g, vs in data.items() for v in vs] + [("a", None), (None, 7.0), ("empty", None)]
+    quantiles = [(f"q{i}", i / 20) for i in range(20)]
+    got = index_percentiles(spark.createDataFrame(rows, "g string, v double"), ["g"], F.col("v"), quantiles).collect()
+    by = {r.g: r for r in got}
+    for g, vs in data.items():
+        assert [by[g][name] for name, _ in quantiles] == [int(sorted(vs)[int(len(vs) * q)]) for _, q in quantiles]
+    assert by["a"].n == len(data["a"]) + 1 and by[None].q10 == 7 and by["empty"].q10 is None
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 20, 50])
 def test_index_percentiles(spark, n):
     values = [float((i * 37) % n) + 0.4 for i in range(n)]
