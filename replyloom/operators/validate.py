@@ -9,6 +9,7 @@ from replyloom.functions.replies import is_text_field, with_object
 from replyloom.functions.settle import settle
 from replyloom.functions.text import JSON_WHITESPACE, fingerprint, in_domain, strip
 from replyloom.operators.skew import lookup_counted
+from replyloom.session import cut_lineage
 
 _LENIENT_OFF = {"allowSingleQuotes": "false"}
 
@@ -106,10 +107,15 @@ def is_text_list(raw: Column, text: Column) -> Column:
     return F.when(quoted, real).otherwise(F.lit(True))
 
 
-def _clean(validated: DataFrame, file: str, line_no: str) -> DataFrame:
-    return validated.filter(F.size("errors") == 0).select(
-        F.col(file).alias("file"), F.col(line_no).alias("line_no"), fingerprint(F.col("user")).alias("_fp")
-    )
+def _judged(validated: DataFrame, file: str, line_no: str) -> DataFrame:
+    """Each line's place, errors and, without errors, the fingerprint of its user text, written once:
+    grouping lines and looking their groups up then reads slim rows and parses nothing again."""
+    mark = F.when(F.size("errors") == 0, fingerprint(F.col("user")))
+    return cut_lineage(validated.select(F.col(file).alias("file"), F.col(line_no).alias("line_no"), "errors", mark.alias("_fp")), "validated")
+
+
+def _clean(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.size("errors") == 0).select("file", "line_no", "_fp")
 
 
 def _groups(clean: DataFrame) -> DataFrame:
@@ -121,7 +127,10 @@ def _groups(clean: DataFrame) -> DataFrame:
 def duplicate_users(validated: DataFrame, file: str = "file", line_no: str = "line_no") -> DataFrame:
     """Lines without another error that repeat an earlier user text of their file,
     with the line that had it first."""
-    clean = _clean(validated, file, line_no)
+    return _duplicates(_clean(_judged(validated, file, line_no)))
+
+
+def _duplicates(clean: DataFrame) -> DataFrame:
     repeated = _groups(clean).filter(F.col("_copies") > 1)
     return (
         lookup_counted(clean, repeated, ["file", "_fp"], "_copies", F.col("line_no"))
@@ -132,10 +141,9 @@ def duplicate_users(validated: DataFrame, file: str = "file", line_no: str = "li
 
 def validation_errors(validated: DataFrame, file: str = "file", line_no: str = "line_no") -> DataFrame:
     """Every error as a row: those inside a line, then the duplicates."""
-    own = validated.select(
-        F.col(file).alias("file"), F.col(line_no).alias("line_no"), F.inline("errors")
-    )
-    dup = duplicate_users(validated, file, line_no).select(
+    judged = _judged(validated, file, line_no)
+    own = judged.select("file", "line_no", F.inline("errors"))
+    dup = _duplicates(_clean(judged)).select(
         "file", "line_no", F.lit("duplicate_user").alias("code"), F.col("first_line").cast("string").alias("detail")
     )
     return own.unionByName(dup)
@@ -148,10 +156,11 @@ def validate_summary(
     grouping that would find them, so nothing is joined back to the lines.
     ``expected_files(file, found)`` adds files without lines: one that was not
     found is one error, an empty one is fine."""
-    own = validated.groupBy(F.col(file).alias("file")).agg(
+    judged = _judged(validated, file, line_no)
+    own = judged.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(F.size("errors")).alias("_own")
     )
-    dup = _groups(_clean(validated, file, line_no)).groupBy("file").agg(
+    dup = _groups(_clean(judged)).groupBy("file").agg(
         F.sum(F.col("_copies") - 1).alias("_dup")
     )
     out = own.join(dup, "file", "left")

@@ -278,7 +278,8 @@ def line_levels(d: str) -> list[dict[str, str]]:
         {"h": "md5('line:' || conv_id || ':' || turn)"},
         {f"r{i}": hexnum(d, "h", i) for i in range(1, 3)},
         {
-            "file": "'part-' || (conv_id % 4)",
+            # files of twenty conversations, so that there are more of them in larger tables
+            "file": "'part-' || (conv_id - conv_id % 20)",
             "line_no": "conv_id * 1000000000 + turn",
             "label": pick(INTENTS, r(1) + " % 4"),
             "n": f"{r(2)} % 32",

@@ -273,6 +273,24 @@ def embed_cache_missing(spark, sf):
     return embeddings.missing_texts(docs, cache, "m")
 
 
+@query(
+    "embed_cache_append",
+    """SELECT sha256(text) AS text_key, min(w) AS writer, any_value(length(text)) AS size FROM (
+      SELECT text, 1 AS w FROM documents WHERE doc_id % 3 <> 0 UNION ALL SELECT text, 2 FROM documents WHERE doc_id % 3 <> 1) GROUP BY 1""",
+)
+def embed_cache_append(spark, sf):
+    """Two writers that each store most documents' vectors, many of the same texts; one vector a text is read."""
+    path, docs = shared_folder(spark, "cache"), d.table(spark, sf, "documents")
+    batches = [embeddings.new_batch() for _ in range(2)]
+    # the later batch is written first
+    for n in (2, 1):
+        mine = docs.filter(F.col("doc_id") % 3 != n - 1)
+        vector = F.array(F.lit(float(n)), F.length("text").cast("double"))
+        embeddings.append_vectors(mine.select(F.lit("m").alias("model"), embeddings.text_key(F.col("text")).alias("text_key"), vector.alias("embedding")), path, batches[n - 1])
+    got = embeddings.read_cache(spark, path, "m")
+    return got.select("text_key", F.col("embedding")[0].cast("int").alias("writer"), F.col("embedding")[1].cast("bigint").alias("size"))
+
+
 @query(
     "clean_pairs",
     with_ctes(
