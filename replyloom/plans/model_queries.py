@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from replyloom.domain import INTENTS
+from replyloom.domain import EMBED_MODEL, INTENTS
 from replyloom.functions.numeric import half_even
 from replyloom.functions.replies import with_reply
 from replyloom.functions.text import normalize_reply
@@ -23,24 +23,72 @@ def _vectors(spark, sf):
     return d.table(spark, sf, "embeddings").withColumn("label", F.expr(_CLASS_OF))
 
 
-def _train(spark, sf):
-    return m.train_classifier(_vectors(spark, sf))
+_bundles: dict[tuple[str, str], str] = {}
+
+
+def _bundle(spark, sf):
+    """The classifier of these vectors as it was saved: fitted when first asked for, loaded each time."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _bundles:
+        path = shared_folder(spark, "bundle")
+        m.train_classifier(_vectors(spark, sf)).save(spark, path)
+        _bundles[key] = path
+    return m.Classifier.load(spark, _bundles[key])
+
+
+# the same fit by another solver: 200 steps of gradient descent with momentum over the 65 weights of
+# each class, intercepts with a step of their own
+_NAMES = sorted(INTENTS)
+_SCORES = ", ".join(f"list_dot_product(w[{65 * k + 1}:{65 * k + 65}], x)" for k in range(4))
+_SHARES = "list_transform(e, lambda q: q / list_sum(e))"
+_MISSES = " || ".join(f"list_transform(x, lambda e: e * (p[{k + 1}] - CASE WHEN y = {k + 1} THEN 1.0 ELSE 0.0 END))" for k in range(4))
+_ZEROS = "list_transform(range(260), lambda j: 0.0::double)"
+_FITTED = f"""WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_position([{', '.join(f"'{c}'" for c in _NAMES)}], label) AS y, list_transform(embedding, lambda e: e::double) || [1.0::double] AS x
+  FROM (SELECT vec_id, embedding, {_CLASS_OF} AS label FROM embeddings)
+), size AS (SELECT count(*)::double AS n FROM v
+), steps AS (
+  SELECT 0 AS it, {_ZEROS} AS w, {_ZEROS} AS m
+  UNION ALL
+  SELECT it + 1, list(w + d ORDER BY j), list(d ORDER BY j) FROM (
+    SELECT it, j, w, 0.8::double * m - CASE WHEN j % 65 = 0 THEN 3.0 * g ELSE 100.0 * (g + w / (10 * n)) END AS d FROM (
+      SELECT it, g.j, s.w[g.j] AS w, s.m[g.j] AS m, g.s / n AS g, n FROM steps s, size, (
+        SELECT j, sum(c) AS s FROM (SELECT unnest(c) AS c, generate_subscripts(c, 1) AS j FROM (
+          SELECT {_MISSES} AS c FROM (SELECT x, y, {_SHARES} AS p FROM (SELECT x, y, list_transform([{_SCORES}], lambda q: exp(q)) AS e FROM steps, v))))
+        GROUP BY j) g WHERE it < 200)) GROUP BY it
+), fitted AS (SELECT w FROM steps ORDER BY it DESC LIMIT 1
+), scored AS (SELECT vec_id, label, y, {_SHARES} AS p FROM (SELECT v.*, list_transform([{_SCORES}], lambda q: exp(q)) AS e FROM fitted, v))
+"""
 
 
-@query("micro_train")
+@query(
+    "micro_train",
+    _FITTED
+    + f"""SELECT '{','.join(_NAMES)}' AS classes, '{EMBED_MODEL}' AS embed_model, count(*) AS n_train,
+      round_even(count(*) FILTER (list_position(p, list_max(p)) = y)::double / count(*), 6) AS train_accuracy, true AS optimal,
+      round_even(avg(-ln(p[y])) + (SELECT list_sum(list_transform(w, lambda q, j: CASE WHEN j % 65 = 0 THEN 0 ELSE q * q END)) FROM fitted) / (20 * count(*)), 8) AS loss
+    FROM scored""",
+)
 def micro_train(spark, sf):
-    """Fit on the embeddings; one row of bundle metadata."""
-    c = _train(spark, sf)
-    row = [(",".join(c.classes), c.embed_model, c.n_train, c.train_accuracy)]
-    return spark.createDataFrame(row, "classes string, embed_model string, n_train bigint, train_accuracy double")
+    """The saved bundle's metadata, the penalised loss at its weights and whether its gradient vanishes."""
+    c = _bundle(spark, sf)
+    proof = m.optimality(c, _vectors(spark, sf))
+    row = [(",".join(c.classes), c.embed_model, c.n_train, round(c.train_accuracy, 6), proof.gradient < 1e-6, round(proof.loss, 8))]
+    return spark.createDataFrame(row, "classes string, embed_model string, n_train bigint, train_accuracy double, optimal boolean, loss double")
 
 
-@query("micro_predict")
+@query(
+    "micro_predict",
+    _FITTED
+    + f"""SELECT vec_id, label, [{', '.join(f"'{c}'" for c in _NAMES)}][list_position(p, list_max(p))] AS micro_label,
+      round_even(list_max(p), 4) AS max_proba, 1.0::double AS mass FROM scored""",
+)
 def micro_predict(spark, sf):
+    """Probabilities by the saved bundle."""
     vectors = _vectors(spark, sf)
-    out = _train(spark, sf).predict(m.with_features(vectors))
+    out = _bundle(spark, sf).predict(m.with_features(vectors))
     return out.select(
-        "vec_id", "label", "micro_label", half_even(F.col("max_proba")).alias("max_proba"),
+        "vec_id", "label", "micro_label", half_even(F.col("max_proba"), 4).alias("max_proba"),
         F.round(F.aggregate(F.map_values("proba"), F.lit(0.0), lambda s, v: s + v), 6).alias("mass"),
     )
 

@@ -176,3 +176,19 @@ def test_embedding_cache(spark, tmp_path):
     assert missing.count() == 2
     embeddings.append_vectors(missing.select(F.lit("m").alias("model"), "text_key", F.array(F.lit(0.0)).alias("embedding")), path)
     assert embeddings.missing_texts(texts, spark.read.parquet(path), "m").count() == 0
+
+
+def test_two_writers_store_a_text_once(spark, tmp_path):
+    schema, path = "model string, text_key string, embedding array<double>", str(tmp_path / "cache")
+    write = lambda rows, batch=None: embeddings.append_vectors(spark.createDataFrame(rows, schema), path, batch)
+    first, second = embeddings.new_batch(), embeddings.new_batch()
+    assert first < second
+    write([("m", "b", [2.0]), ("m", "c", [2.0]), ("other", "a", [9.0])], second)
+    write([("m", "a", [1.0]), ("m", "b", [1.0]), ("m", "b", [0.5])], first)
+    write([("m", "a", [1.0]), ("m", "b", [1.0]), ("m", "b", [0.5])], first)  # tried again
+    read = lambda **kw: {r.text_key: r.embedding for r in embeddings.read_cache(spark, path, "m", **kw).collect()}
+    assert read() == {"a": [1.0], "b": [0.5], "c": [2.0]}
+    assert spark.read.parquet(path).count() == 6
+    wanted = spark.createDataFrame([("c",), ("z",), ("c",)], "text_key string")
+    assert read(wanted=wanted) == {"c": [2.0]}
+    assert embeddings.missing_texts(spark.createDataFrame([("x",)], "text string"), embeddings.read_cache(spark, path, "m"), "m").count() == 1

@@ -76,6 +76,10 @@ def test_classifier_reaches_the_penalised_optimum(spark, tmp_path):
     assert c.classes == tuple(sorted(c.classes)) and c.n_train == 120 and c.train_accuracy > 0.95
     c.save(spark, str(tmp_path / "bundle"))
     back = m.Classifier.load(spark, str(tmp_path / "bundle"))
+    proof = m.optimality(back, df, c=0.5)
+    assert proof.gradient < 1e-6 and abs(proof.loss * 0.5 * len(y) - best) < 1e-6
+    early = m.train_classifier(df, c=0.5, max_iter=2)
+    assert m.optimality(early, df, c=0.5).gradient > 1e-4
     assert back.classes == c.classes and back.train_accuracy == c.train_accuracy
     p = back.predict(m.with_features(df)).first()
     assert abs(sum(p.proba.values()) - 1) < 1e-9 and p.proba[p.micro_label] == p.max_proba == max(p.proba.values())
