@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from replyloom.domain import ROUTED_ROW
 from replyloom.functions.numeric import half_even
 from replyloom.operators import compare, route as t
 from replyloom.operators.quantiles import index_percentiles
 from replyloom.plans import derive as d
 from replyloom.plans.registry import query, with_ctes
+from replyloom.plans.reply_queries import BASE_SQL, _scored as baseline_rows
 from replyloom.plans.sqltext import CLASSES, COST, parsed, parsed_strict, share, usd, where
 from replyloom.session import shared_folder
 from replyloom.sources import runs
@@ -272,12 +274,46 @@ def latency_combine(spark, sf):
     ),
 )
 def run_explode(spark, sf):
-    calls = runs.explode_calls(_router(spark, sf))
+    """The routed run stored as documents of some thousand requests, read back and its calls laid out."""
+    row = T.StructType([T.StructField("request_id", T.LongType()), *ROUTED_ROW.fields])
+    results = _router(spark, sf)
+    path = _write_documents(spark, results.select("request_id", F.struct(*row.names).alias("row")), "router")
+    calls = runs.explode_calls(runs.read_run_document(spark, path, row))
     return calls.select(
         "request_id", "route", "call_no", "model", "label", "confidence", "input_tokens", "output_tokens", "latency_ms"
     )
 
 
+def _write_documents(spark, rows, mode):
+    """Documents ``{mode, config, results}`` of up to 4,000 requests each: (request_id, row)."""
+    path = shared_folder(spark, "documents")
+    key = F.col("request_id")
+    placed = rows.withColumn("doc", F.floor(key / 4000))
+    # the row that comes first in its document has no comma before it
+    first = placed.groupBy("doc").agg(F.min("request_id").alias("first"))
+    text = F.concat(F.when(key == F.col("first"), "").otherwise(","), F.to_json("row", {"ignoreNullFields": "false"}))
+    body = placed.join(first, "doc").select("doc", key.alias("place"), text.alias("value"))
+    head = first.select("doc", (F.col("first") - 1).alias("place"), F.lit(f'{{"mode": "{mode}", "config": {{"note": "}} \\" ]", "list": [1, 2]}}, "results": [').alias("value"))
+    foot = first.select("doc", F.lit(2**62).alias("place"), F.lit("]}").alias("value"))
+    lines = head.unionByName(body).unionByName(foot).repartition("doc").sortWithinPartitions("doc", "place")
+    lines.select("doc", "value").write.partitionBy("doc").text(path)
+    return path
+
+
+@query(
+    "baseline_document",
+    with_ctes(["replies"], "SELECT 'present' AS document, round_even(avg(correct::int), 6) AS accuracy FROM base UNION ALL SELECT 'absent', NULL", BASE_SQL),
+)
+def baseline_document(spark, sf):
+    """Accuracy of a stored baseline run, and what an absent one gives."""
+    rows = baseline_rows(spark, sf).withColumn("user", F.col("user").substr(1, 40))
+    row = F.struct("user", "expected", F.col("raw_reply"), F.col("final_label").alias("normalized"), "format_ok", "correct")
+    path = _write_documents(spark, rows.select("request_id", row.alias("row")), "baseline")
+    some = runs.baseline_metrics(spark, path).withColumn("document", F.lit("present"))
+    none = runs.baseline_metrics(spark, f"{path}/absent").agg(F.max("accuracy").alias("accuracy")).withColumn("document", F.lit("absent"))
+    return some.unionByName(none).select("document", half_even(F.col("accuracy")).alias("accuracy"))
+
+
 _CHEAP = {"cheap_only": "SELECT * FROM singles WHERE run_id = 'cheap'", "strong_only": "SELECT * FROM singles WHERE run_id = 'strong'"}
 
 

@@ -7,23 +7,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from replyloom.domain import BASELINE_ROW, ROUTED_ROW
 from replyloom.functions.numeric import share
+from replyloom.functions.settle import settle
+from replyloom.sources.documents import array_elements
 
 
 def read_run_document(spark: SparkSession, path, row: T.StructType = ROUTED_ROW) -> DataFrame:
-    """Rows of run documents ``{mode, results: [...]}`` with their position. Such a
-    document is one JSON value, hence one task per file; ``write_run`` stores runs
-    in a form that splits."""
-    schema = T.StructType(
-        [
-            T.StructField("mode", T.StringType()),
-            T.StructField("model", T.StringType()),
-            T.StructField("results", T.ArrayType(row)),
-        ]
-    )
-    doc = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
-    return doc.select(F.coalesce("mode", "model").alias("run_id"), F.posexplode("results").alias("position", "_r")).select(
-        "run_id", "position", "_r.*"
+    """Rows of run documents ``{mode, results: [...]}`` with their position: run_id, position and the fields
+    of ``row``. A document is one JSON object, but its blocks are read by as many tasks (``documents``);
+    an element that is no such row fails the job."""
+    elements, fields = array_elements(spark, path)
+    named = fields.filter(F.col("key").isin("mode", "model")).groupBy(F.col("file").alias("_file")).agg(
+        F.coalesce(F.max(F.when(F.col("key") == "mode", F.col("value"))), F.max("value")).alias("run_id")
     )
+    read = elements.join(named, F.col("file") == F.col("_file"), "left")
+    # settled: what is asked of a row later must not be asked of other parts of the document
+    return settle(read, {"_r": F.from_json("text", row, {"mode": "FAILFAST"})}).select("run_id", F.col("position").cast("int").alias("position"), "_r.*")
 
 
 def baseline_metrics(spark: SparkSession, path: str | None) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F, types as T
 from replyloom.domain import REPLY_SCHEMA, ROUTED_ROW
 from replyloom.operators import compare, route as t
 from replyloom.operators.quantiles import index_percentiles
-from replyloom.sources import runs
+from replyloom.session import settings
+from replyloom.sources import documents, runs
+from replyloom.sources.documents import array_elements
 
 REQ = "request_id bigint, user string, expected string, kind string"
 SMALL, LARGE = "gpt-4o-mini", "gpt-4o"
@@ -240,3 +242,63 @@ def test_run_documents_and_tables(spark, tmp_path, data):
     base = {"model": "m", "metrics": {}, "results": [{"user": "a", "expected": "search", "correct": True}, {"user": "b", "expected": "search", "correct": False}]}
     (tmp_path / "base.json").write_text(json.dumps(base))
     assert runs.baseline_metrics(spark, str(tmp_path / "base.json")).first().accuracy == 0.5
+
+
+@pytest.mark.parametrize("size, indent", [(331, None), (1009, 2), (1000000, None)])
+def test_one_document_over_many_blocks(spark, tmp_path, size, indent):
+    """Wherever blocks begin: inside strings with braces and escapes, between elements, in other arrays."""
+    nasty = ['a}b', 'quote \\" } ] , {', 'back\\\\', '', '}}}}', 'é✓}', '[1,2]', '\n}\t', '\\']
+    results = [{"user": nasty[i % len(nasty)], "n": i, "more": {"list": [1, [2, {"x": "}"}]], "s": nasty[(i + 1) % len(nasty)]}} for i in range(40)]
+    doc = {"config": {"results": ["no", "}"], "t": [0]}, "mode": "router", "empty": [], "results": results, "after": [{"user": "not this"}], "z": "}"}
+    path = tmp_path / "docs"
+    path.mkdir()
+    (path / "a.json").write_text(json.dumps(doc, indent=indent) + ("\n" if indent else ""), encoding="utf-8")
+    (path / "b.json").write_text(json.dumps({"model": "m", "results": [], "x": 1}))
+    (path / "c.json").write_text(json.dumps({"results": results[:1]}, ensure_ascii=False), encoding="utf-8")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"}):
+        elements, fields = array_elements(spark, str(path))
+        got = elements.collect()
+        named = {(r.file.rsplit("/", 1)[1], r.key): r.value for r in fields.collect()}
+    by = {}
+    for r in got:
+        by.setdefault(r.file.rsplit("/", 1)[1], {})[r.position] = json.loads(r.text)
+    assert [by["a.json"][i] for i in range(40)] == results and len(by["a.json"]) == 40
+    assert by["c.json"] == {0: results[0]} and set(by) == {"a.json", "c.json"}
+    assert named[("a.json", "mode")] == "router" and named[("b.json", "model")] == "m"
+
+
+def test_document_blocks_are_read_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "big.json"
+    path.write_text(json.dumps({"mode": "router", "results": [{"user": f"u{i}", "expected": "search"} for i in range(2000)]}))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}):
+        lines = spark.read.option("lineSep", "}").text(str(path))
+        assert lines.select(F.spark_partition_id().alias("p")).distinct().count() > 5
+        back = runs.read_run_document(spark, str(path))
+        assert sorted((r.position, r.user) for r in back.collect()) == [(i, f"u{i}") for i in range(2000)]
+        assert {r.run_id for r in back.collect()} == {"router"}
+
+
+def test_documents_cut_after_any_braces():
+    """Blocks begin after a brace, which may be inside a string, at any depth or in another array."""
+    import random
+
+    rng = random.Random(0)
+    nasty = ['a}b', 'quote \\" } ] , {', 'back\\\\', '', '}}}}', 'é✓}', '[1,2]', '\n}\t', '\\']
+    results = [{"user": nasty[i % len(nasty)], "n": i, "more": {"list": [1, [2, {"x": "}"}]], "s": nasty[(i + 1) % len(nasty)]}} for i in range(12)]
+    doc = {"config": {"results": ["no", "}"], "t": [0]}, "empty": [], "results": results, "after": [{"user": "not this"}], "z": "}"}
+    for _ in range(500):
+        text = json.dumps(doc, indent=rng.choice([None, 2])) + rng.choice(["", "\n"])
+        braces = [i + 1 for i, c in enumerate(text) if c == "}" and i + 1 < len(text)]
+        at = [0, *sorted(rng.sample(braces, rng.randint(0, len(braces)))), len(text)]
+        state, inside, before, parts = (False, 0), False, 0, {}
+        for a, b in zip(at, at[1:]):
+            in_string, deeper = documents._ends(text[a:b], state[0])
+            *got, end = documents._cut(text[a:b], *state, "results")
+            closed = lambda fresh: sum(kind == "part" and shut and f == fresh for kind, f, _, shut, _, _ in got)
+            new = before + (closed(False) if inside else 0)
+            for kind, fresh, n, _, _, part in got:
+                if kind == "part" and (fresh or inside):
+                    parts.setdefault(n + (new if fresh else before), []).append(part)
+            before, inside = new + closed(True), end[3] and (end[1] or inside)
+            state = (in_string, state[1] + deeper)
+        assert [json.loads("".join(parts[i])) for i in sorted(parts)] == results
