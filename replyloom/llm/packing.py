@@ -21,7 +21,6 @@ gives no pieces.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ MAX_LEN = 1024
 END_ID = 0
 CACHE_BYTES = 192 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
-_ODD = re.compile(r"\s | \s|\A[ ']|\s\Z|<\|endoftext\|>|\0")
+_NAMES = ("\0", "<|endoftext|>")
 _JOIN = 256
 _cache: dict = {}
 
@@ -52,7 +51,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        # ids of a stretch; None for one that spacing round it could change
+        self.known: dict[str, bytes | None] = {}
         self.size = 0
 
         # the zero byte has an id of its own that takes part in no merge: it parts the stretches of one call
@@ -79,19 +79,29 @@ class Encoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         out: list = [b""] * len(texts)
-        plain, whole = [], []
+        whole, cuts, met = [], {}, set()
         for i, t in enumerate(texts):
             if t:
-                (whole if _ODD.search(t) else plain).append(i)
-        cuts = {i: texts[i].replace(" ", "\0 ").split("\0") for i in plain}
+                if t[0] in " '" or any(name in t for name in _NAMES):
+                    whole.append(i)
+                else:
+                    cuts[i] = t.replace(" ", "\0 ").split("\0")
+                    met.update(cuts[i])
         if self.size > CACHE_BYTES:
             self.known, self.size = {}, 0
         known = self.known
-        new = list({p for i in plain for p in cuts[i] if p not in known})
-        self._learn(new)
+        new = [p for p in met if p not in known]
+        # white space next to a cut belongs to it
+        plain = [p for p in new if (bare := p.removeprefix(" ")) and bare == bare.strip()]
+        known.update(dict.fromkeys(new))
+        self._learn(plain)
         self.size += sum(map(len, new)) + 150 * len(new)
-        for i in plain:
-            out[i] = b"".join([known[p] for p in cuts[i]])
+        for i, cut in cuts.items():
+            ids = list(map(known.get, cut))
+            if None in ids:
+                whole.append(i)
+            else:
+                out[i] = b"".join(ids)
         for i, ids in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
             out[i] = ids
         return out
