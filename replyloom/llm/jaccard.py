@@ -26,6 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import MapType
 
 from replyloom.llm import words as W
 from replyloom.llm.common import per_batch, two_columns
@@ -153,8 +154,8 @@ def _key_bits(keys: DataFrame, bits: int = 24) -> np.ndarray:
 
 def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int, percent: int) -> DataFrame:
     """Tokens and the prefixes of the other orders of the classes in ``reps``, each from its witness
-    row. A bit table skips other rows where they are read; a row it lets through by
-    chance is a class that no pair asks for."""
+    row. A bit table skips other rows where they are read. Rows it lets through by chance, and rows
+    alike in id and text, may bring a class several times; then all but one go."""
     wanted = reps.distinct().join(witnesses.select("rep", "row_key"), "rep")
     table = texts.sparkSession.sparkContext.broadcast(_key_bits(wanted.select("row_key")))
 
@@ -171,11 +172,11 @@ def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int
         return pa.RecordBatch.from_arrays([pa.array(_names(v, n)), _lists(at, v.view(np.int64)), *others], names=["rep", "tokens", *_OTHERS])
 
     schema = "rep bigint, tokens array<bigint>, " + ", ".join(f"{o} array<bigint>" for o in _OTHERS)
-    found = texts.mapInArrow(per_batch(run), schema)
-    # rows alike in id and text would come several times
-    if not witnesses.filter("alike").isEmpty():
-        found = found.dropDuplicates(["rep"])
-    return cut_lineage(found, "sets")
+    found = cut_lineage(texts.mapInArrow(per_batch(run), schema), "sets")
+    table.destroy()
+    if found.groupBy("rep").count().filter("count > 1").isEmpty():
+        return found
+    return cut_lineage(found.dropDuplicates(["rep"]), "sets")
 
 
 _OTHERS = [f"other{i}" for i in range(1, ORDERS)]
@@ -220,15 +221,19 @@ def _can_reach(na: Column, nb: Column, at_a: Column, at_b: Column, percent: int)
     return (100 + percent) * F.least(na - at_a, nb - at_b) >= percent * (na + nb)
 
 
-def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row: the least doc_id reachable by links of
-    similarity ``percent`` / 100 or more, itself included."""
+def _row_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id.cast("bigint"), text.cast("string"))
+
+
+def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, row_key, n, rep), their classes (rep, least) and the component of each linked
+    class (node, root)."""
     spark = docs.sparkSession
-    texts = two_columns(docs).withColumn("row_key", F.xxhash64("doc_id", "text")).withColumn("text", F.coalesce("text", F.lit("")))
+    texts = two_columns(docs).withColumn("row_key", _row_key(F.col("doc_id"), F.col("text"))).withColumn("text", F.coalesce("text", F.lit("")))
     bands = spark.sparkContext.broadcast(sketch(texts, k, sketch_bits))
     measured = cut_lineage(_measure(texts, bands, k, percent), "prefixes")
     full = measured.filter("n > 0")
-    witnesses = full.groupBy("rep").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), (F.count("*") > F.count_distinct("row_key")).alias("alike"))
+    witnesses = full.groupBy("rep").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"))
     witnesses = cut_lineage(witnesses, "classes")
     classes = full.groupBy("rep").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("band").alias("band"))
     # postings; a token of a frequent cell is dealt out under a salt
@@ -276,6 +281,14 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
                 roots.join(higher.select(F.col("node").alias("root"), F.col("root").alias("_top")), "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
                 .unionByName(higher.join(roots.select("node"), "node", "left_anti"))
             )
+    bands.destroy()  # all that reads it is written
+    return measured, witnesses, roots
+
+
+def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row: the least doc_id reachable by links of
+    similarity ``percent`` / 100 or more, itself included."""
+    measured, witnesses, roots = _classes(docs, k, percent, sketch_bits)
     # least doc_id of each component, then of each class
     named = witnesses.select("rep", "least").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left")
     linked = named.filter("root is not null")
@@ -286,10 +299,17 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKET
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, one for each component: that with the least doc_id, and of rows repeating
-    this id the first by its content. Rows without an id cannot be named and stay."""
-    ids = link(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(docs[id_col].cast("bigint").alias("_id"), F.xxhash64(text_col).alias("_hash"), F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("_hash"))
-    named = rows.filter("_id is not null").join(ids, F.col("_id") == F.col("_kept"), "left_semi").withColumn("_nth", first).filter("_nth = 1")
-    return named.select("_row").unionByName(rows.filter("_id is null").select("_row")).select("_row.*")
+    """The rows of ``docs``, one for each component: that with the least doc_id, and of unlike rows under
+    this id the first by its content. Texts that are not linked stay, also under one id; rows alike in id
+    and text are one. Texts without words are linked with nothing; rows without an id cannot
+    be named and stay."""
+    measured, _, roots = _classes(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")), k, percent, SKETCH_BITS)
+    known = measured.filter("doc_id is not null")
+    firsts = known.filter("n > 0").groupBy("rep").agg(F.min(F.struct("doc_id", "row_key")).alias("_first"))
+    firsts = firsts.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").groupBy(F.coalesce("root", "rep").alias("root")).agg(F.min("_first").alias("_first"))
+    kept = firsts.select(F.col("_first.row_key").alias("_kept")).unionByName(known.filter("n = 0").select(F.col("row_key").alias("_kept"))).distinct()
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    rows = docs.select(docs[id_col].isNull().alias("_nameless"), _row_key(docs[id_col], docs[text_col]).alias("_key"), row.alias("_row"))
+    alike = Window.partitionBy("_key").orderBy(F.xxhash64(*[F.col(f"_row.`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]))
+    named = rows.filter(~F.col("_nameless")).join(kept, F.col("_key") == F.col("_kept"), "left_semi").withColumn("_nth", F.row_number().over(alike)).filter("_nth = 1")
+    return named.select("_row").unionByName(rows.filter("_nameless").select("_row")).select("_row.*")

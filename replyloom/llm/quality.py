@@ -15,6 +15,7 @@ has the neutral tail 0.5 and is kept.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -131,8 +132,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, ratings: DataFrame, levels: int = 3, sample_rows: int = SAMPLE_ROWS, fold: int = 5) -> Model | None:
     """``ratings``: doc_id, grade. Rows whose crc32(doc_id) mod ``fold`` is 0 are held out.
-    At most ``sample_rows`` rows take part; their features come to the driver as
-    sparse rows of at most ``DIMS`` values each."""
+    At most ``sample_rows`` rows take part, as sparse rows of at most ``DIMS`` values each. One
+    task holds them and fits; the driver gets the weights."""
     chosen = (
         ratings.filter(F.crc32(F.col("doc_id").cast("string")) % fold != 0)
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -146,16 +147,19 @@ def fit(docs: DataFrame, ratings: DataFrame, levels: int = 3, sample_rows: int =
         lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x)) for x in (d[order].astype(np.int32), v[order].astype(np.float32))]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), *lists], names=["doc_id", "grade", "d", "v"])
 
-    got = rated.mapInArrow(per_batch(sparse), "doc_id bigint, grade int, d array<int>, v array<float>").toArrow()
-    if got.num_rows == 0:
-        return None
-    # one row an id, whatever order they come in
-    got = got.sort_by([("doc_id", "ascending")])
-    ids = got.column("doc_id").to_numpy()
-    got = got.take(np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))))
-    d, v = (got.column(c).combine_chunks() for c in ("d", "v"))
-    rows = np.repeat(np.arange(len(d)), d.value_lengths().to_numpy())
-    return fit_arrays(rows, d.flatten().to_numpy(), v.flatten().to_numpy().astype(float), got.column("grade").to_numpy().astype(int), levels)
+    def fitted(got: pa.Table) -> pa.Table:
+        # one row an id, whatever order they come in
+        got = got.sort_by([("doc_id", "ascending")])
+        ids = got.column("doc_id").to_numpy()
+        got = got.take(np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))))
+        d, v = (got.column(c).combine_chunks() for c in ("d", "v"))
+        rows = np.repeat(np.arange(len(d)), d.value_lengths().to_numpy())
+        model = fit_arrays(rows, d.flatten().to_numpy(), v.flatten().to_numpy().astype(float), got.column("grade").to_numpy().astype(int), levels)
+        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    sample = rated.mapInArrow(per_batch(sparse), "doc_id bigint, grade int, d array<int>, v array<float>")
+    found = sample.groupBy().applyInArrow(fitted, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
 
 
 def score(docs: DataFrame, model: Model | None, keep_tail: float = KEEP_TAIL) -> DataFrame:

@@ -47,6 +47,27 @@ def brute_groups(data, k, percent):
     return sorted(((d[0], len(s), min(least.get(find(parent, i), []), default=d[0])) for i, (d, s) in enumerate(zip(data, sets, strict=True))), key=repr)
 
 
+def test_classes_let_through_by_chance_come_once(spark, monkeypatch):
+    """A key table that lets every row through: copies must not multiply pairs."""
+    base, near = words(60, 3), words(60, 3).replace(words(60, 3).split()[50], "other")
+    data = [(i, base) for i in range(30)] + [(100 + i, near) for i in range(30)]
+    seen = []
+    verify = jaccard._verify
+    monkeypatch.setattr(jaccard, "_key_bits", lambda keys, bits=24: np.full(1 << (bits - 5), 0xFFFFFFFF, np.uint32))
+    monkeypatch.setattr(jaccard, "_verify", lambda *a: seen.append(verify(*a)) or seen[-1])
+    got = jaccard.link(documents(spark, [(*d, "en", "s") for d in data]), 4, 80)
+    assert rows(got) == brute_groups(data, 4, 80) and {r.component_id for r in got.collect()} == {0}
+    assert max(e.count() for e in seen) == 1
+
+
+def test_unlike_texts_under_one_id_both_stay(spark):
+    data = [(1, words(30, 1)), (1, words(30, 2)), (1, words(30, 1)), (2, words(30, 2)), (3, ""), (3, ""), (3, None), (4, words(30, 9)), (None, words(30, 9)), (None, words(30, 9))]
+    got = jaccard.one_of_each(crowded(documents(spark, [(*d, "en", "s") for d in data])))
+    want = [(1, words(30, 1)), (1, words(30, 2)), (3, ""), (3, None), (4, words(30, 9)), (None, words(30, 9)), (None, words(30, 9))]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    assert got.columns == crowded(documents(spark, [])).columns
+
+
 @pytest.mark.parametrize("bits", [3, 14])
 def test_jaccard_groups_equal_brute_force(spark, bits):
     rng = random.Random(5)
