@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import shutil
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,4 +95,16 @@ def cut_lineage(df: DataFrame, purpose: str, arrow_rows: int = 1000) -> DataFram
     spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
     with shuffles_dropped(spark), settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(arrow_rows)}):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def remove_written(*tables: DataFrame) -> None:
+    """Remove what ``cut_lineage`` wrote for these tables, once nothing reads them any more."""
+    for table in tables:
+        if table in _written:
+            remove_folder(table.sparkSession, _written.pop(table))
