@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from replyloom.session import cut_lineage
+from replyloom.session import cut_lineage, remove_written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -36,8 +36,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     before = None
     while True:
-        edges = cut_lineage(_small_star(_large_star(edges)), "edges")
-        now = _state(edges)
+        following = cut_lineage(_small_star(_large_star(edges)), "edges")
+        remove_written(edges)
+        edges, now = following, _state(following)
         if now == before or not now[0]:
             break
         before = now

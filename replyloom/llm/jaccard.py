@@ -31,7 +31,7 @@ from pyspark.sql.types import MapType
 from replyloom.llm import words as W
 from replyloom.llm.common import per_batch, two_columns
 from replyloom.llm.components import components
-from replyloom.session import cut_lineage
+from replyloom.session import cut_lineage, remove_written
 
 ORDERS = 3
 SKETCH_BITS = 21
@@ -176,7 +176,9 @@ def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int
     table.destroy()
     if found.groupBy("rep").count().filter("count > 1").isEmpty():
         return found
-    return cut_lineage(found.dropDuplicates(["rep"]), "sets")
+    once = cut_lineage(found.dropDuplicates(["rep"]), "sets")
+    remove_written(found)
+    return once
 
 
 _OTHERS = [f"other{i}" for i in range(1, ORDERS)]
@@ -208,7 +210,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(np.flatnonzero(100 * both >= percent * (nx + ny - both)))
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok)], names=["a", "b"])
 
-    return cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "links", arrow_rows=64)
+    links = cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "links", arrow_rows=64)
+    remove_written(near)
+    return links
 
 
 def _sizes_fit(na: Column, nb: Column, percent: int) -> Column:
@@ -247,6 +251,9 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
     buckets = cut_lineage(
         postings.withColumn("pivot", pivot).withColumn("size", F.count("*").over(group)).filter("size > 1 or salt > 0").select("token", "salt", "rep", "place", "pivot"), "buckets"
     )
+    # prefixes are in the buckets now
+    rows = cut_lineage(measured.select("doc_id", "row_key", "n", "rep"), "rows")
+    remove_written(measured)
     size = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
     at = lambda c: F.shiftright(c, 32)
     fits = lambda x, y: _sizes_fit(size(x), size(y), percent) & _can_reach(size(x), size(y), at(x), at(y), percent)
@@ -259,19 +266,24 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
     ends = lambda pairs: pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
     sets = _sets(texts, ends(star), witnesses, bands, k, percent)
     edges = _verify(star, sets, percent)
+    remove_written(sets)
     roots = cut_lineage(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
     # whatever could still join two components
     slim = buckets.select("token", "rep", "place").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     slim = cut_lineage(slim, "bucket-roots")
+    remove_written(buckets)
     mixed = slim.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi").select("token")
     open_ = slim.join(mixed, "token", "left_semi")
     one, two = (open_.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "place", "root")]) for x in "ab")
     rest = one.join(two, (one["token"] == two["token"]) & (F.col("root_a") < F.col("root_b")) & fits("place_a", "place_b"))
     rest = rest.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
     rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"), "pairs")
+    remove_written(slim, star)
     if not rest.isEmpty():
         # the components found so far are single nodes now
-        more = _verify(rest, _sets(texts, ends(rest), witnesses, bands, k, percent), percent)
+        sets = _sets(texts, ends(rest), witnesses, bands, k, percent)
+        more = _verify(rest, sets, percent)
+        remove_written(sets)
         for side in ("a", "b"):
             more = more.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
         ends = cut_lineage(more.select(*[F.coalesce(f"r{x}", x).alias(y) for x, y in (("a", "u"), ("b", "v"))]), "links")
@@ -282,7 +294,7 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
                 .unionByName(higher.join(roots.select("node"), "node", "left_anti"))
             )
     bands.destroy()  # all that reads it is written
-    return measured, witnesses, roots
+    return rows, witnesses, roots
 
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
