@@ -13,7 +13,13 @@ classes get prefixes; in each bucket of an order-1 prefix token every class is f
 with one pivot, the class with the fewest rarer tokens, which is a number of pairs linear in the
 postings; verified links are merged into components; then all remaining pairs of a bucket
 whose components still differ are made, filtered by size, position and the
-other orders, and verified. No pair that could join two components is left out.
+other orders, and verified. No pair that could join two components is left out. Tokens met by
+the same classes are one bucket there.
+
+Parity bits keep pairs just below the similarity from piling up: a class has at least
+``PARITY`` bits a token, each the parity of the tokens hashed to it, so two sets differ in at
+least as many tokens as their bits differ. What differs in too many bits cannot reach the
+similarity and is dropped before sets are gathered; ``FOLD`` bits are compared inside the join.
 
 Edge cases: NULL and empty texts have an empty set and are linked with nothing; a text
 of fewer words than a shingle is one shingle; repeated rows and equal texts are one class and each
@@ -23,6 +29,9 @@ other members; other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -35,6 +44,8 @@ from replyloom.session import cut_lineage, remove_written
 
 ORDERS = 3
 SKETCH_BITS = 21
+PARITY = 4
+FOLD = 256
 _SALTS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 8, dtype=np.uint64)
 
 
@@ -97,7 +108,19 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (-(-n * percent // 100)) + 1
 
 
-_MEASURED = "doc_id bigint, row_key bigint, n bigint, rep bigint, prefix array<bigint>, band array<tinyint>"
+def _parity(d: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[pa.Array, list[pa.Array]]:
+    """Parity bits of each row's set, a power of two of them, and the same folded to ``FOLD`` bits."""
+    bits = np.maximum(FOLD, 1 << np.ceil(np.log2(np.maximum(PARITY * n, 1))).astype(np.int64))
+    first = np.concatenate(([0], np.cumsum(bits)))
+    cell = first[d] + (W.mix(v ^ _SALTS[6]) & (bits[d] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(cell, minlength=first[-1]) & 1).astype(bool), bitorder="little")
+    whole = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((first // 8).astype(np.int32)), pa.py_buffer(packed)])
+    folded = np.bitwise_xor.reduceat(packed.view(np.int64).reshape(-1, FOLD // 64), first[:-1] // FOLD, axis=0)
+    return whole, [pa.array(np.ascontiguousarray(folded[:, i])) for i in range(FOLD // 64)]
+
+
+_FOLDS = [f"fold{i}" for i in range(FOLD // 64)]
+_MEASURED = "doc_id bigint, row_key bigint, n bigint, rep bigint, prefix array<bigint>, band array<tinyint>, parity binary, " + ", ".join(f"{c} bigint" for c in _FOLDS)
 
 
 def _orders(d: np.ndarray, v: np.ndarray, n: np.ndarray, band: np.ndarray, percent: int, orders) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -128,17 +151,18 @@ def _names(v: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _measure(texts: DataFrame, bands, k: int, percent: int) -> DataFrame:
-    """Size, name and order-0 prefix of each row's set."""
+    """Size, name, order-0 prefix and parity bits of each row's set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         d, v = shingles(batch.column("text"), k)
         n = np.bincount(d, minlength=batch.num_rows)
         band = bands.value[_cell(v, int(len(bands.value)).bit_length() - 1)]
         ((offsets, tokens, levels),) = _orders(d, v, n, band, percent, [0])
+        parity, folds = _parity(d, v, n)
         cols = [
-            batch.column("doc_id"), batch.column("row_key"), pa.array(n.astype(np.int64)), pa.array(_names(v, n)), _lists(offsets, tokens.view(np.int64)), _lists(offsets, levels),
+            batch.column("doc_id"), batch.column("row_key"), pa.array(n.astype(np.int64)), pa.array(_names(v, n)), _lists(offsets, tokens.view(np.int64)), _lists(offsets, levels), parity, *folds,
         ]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row_key", "n", "rep", "prefix", "band"])
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "row_key", "n", "rep", "prefix", "band", "parity", *_FOLDS])
 
     return texts.mapInArrow(per_batch(run), _MEASURED)
 
@@ -152,10 +176,10 @@ def _key_bits(keys: DataFrame, bits: int = 24) -> np.ndarray:
     return out
 
 
-def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int, percent: int) -> DataFrame:
-    """Tokens and the prefixes of the other orders of the classes in ``reps``, each from its witness
+def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """As written and as to be read: tokens and the prefixes of the other orders of the classes in ``reps``, each from its witness
     row. A bit table skips other rows where they are read. Rows it lets through by chance, and rows
-    alike in id and text, may bring a class several times; then all but one go."""
+    alike in id and text, may bring a class several times; then readers skip all but one."""
     wanted = reps.distinct().join(witnesses.select("rep", "row_key"), "rep")
     table = texts.sparkSession.sparkContext.broadcast(_key_bits(wanted.select("row_key")))
 
@@ -172,18 +196,42 @@ def _sets(texts: DataFrame, reps: DataFrame, witnesses: DataFrame, bands, k: int
         return pa.RecordBatch.from_arrays([pa.array(_names(v, n)), _lists(at, v.view(np.int64)), *others], names=["rep", "tokens", *_OTHERS])
 
     schema = "rep bigint, tokens array<bigint>, " + ", ".join(f"{o} array<bigint>" for o in _OTHERS)
-    found = cut_lineage(texts.mapInArrow(per_batch(run), schema), "sets")
+    found = cut_lineage(texts.mapInArrow(per_batch(run), schema).withColumn("at", F.monotonically_increasing_id()), "sets")
     table.destroy()
-    if found.groupBy("rep").count().filter("count > 1").isEmpty():
-        return found
-    once = cut_lineage(found.dropDuplicates(["rep"]), "sets")
-    remove_written(found)
-    return once
+    places = Window.partitionBy("rep").orderBy("at")
+    doubles = cut_lineage(found.select("rep", "at").withColumn("nth", F.row_number().over(places)).filter("nth > 1").select("at"), "doubles")
+    return found, found.join(doubles, "at", "left_anti").drop("at")
 
 
 _OTHERS = [f"other{i}" for i in range(1, ORDERS)]
 
 
+def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parity bits differ in no more places than sets of that similarity can."""
+    for side, mark in (("a", "_x"), ("b", "_y")):
+        pairs = pairs.join(classes.select(F.col("rep").alias(side), F.col("n").alias(mark + "n"), F.col("parity").alias(mark)), side)
+
+    def ends(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+        return np.frombuffer(col.buffers()[2], np.uint8), offsets[:-1], np.diff(offsets)
+
+    def run(batches):
+        for whole in batches:
+            for i in range(0, whole.num_rows, 64):
+                batch = whole.slice(i, 64)
+                (x, at_x, nx), (y, at_y, ny) = ends(batch.column("_x")), ends(batch.column("_y"))
+                differ = np.zeros(batch.num_rows, np.int64)
+                for lx, ly in set(zip(nx.tolist(), ny.tolist(), strict=True)):
+                    rows, short = np.flatnonzero((nx == lx) & (ny == ly)), min(lx, ly)
+                    one, two = (np.bitwise_xor.reduce(v[at[rows][:, None] + np.arange(size)].reshape(len(rows), -1, short), axis=1) for v, at, size in ((x, at_x, lx), (y, at_y, ly)))
+                    differ[rows] = np.bitwise_count(one ^ two).sum(axis=1)
+                both = batch.column("_xn").to_numpy() + batch.column("_yn").to_numpy()
+                ok = pa.array(np.flatnonzero((100 + percent) * (both - differ) >= 2 * percent * both))
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok)], names=["a", "b"])
+
+    return cut_lineage(pairs.select("a", "b", "_xn", "_yn", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "alike", arrow_rows=64)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b), those that meet in the prefixes of every other order and then reach the
     similarity."""
@@ -237,7 +285,9 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
     bands = spark.sparkContext.broadcast(sketch(texts, k, sketch_bits))
     measured = cut_lineage(_measure(texts, bands, k, percent), "prefixes")
     full = measured.filter("n > 0")
-    witnesses = full.groupBy("rep").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"))
+    witnesses = full.groupBy("rep").agg(
+        F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in _FOLDS], F.first("parity").alias("parity")
+    )
     witnesses = cut_lineage(witnesses, "classes")
     classes = full.groupBy("rep").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("band").alias("band"))
     # postings; a token of a frequent cell is dealt out under a salt
@@ -263,10 +313,11 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
     star = buckets.select(F.col("rep").alias("x"), F.col("place").alias("px"), F.col("pivot.rep").alias("y"), F.col("pivot.place").alias("py")).unionByName(among)
     star = star.filter((F.col("x") != F.col("y")) & fits("px", "py")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     star = cut_lineage(star, "pairs")
+    near = _alike(star, witnesses, percent)
     ends = lambda pairs: pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-    sets = _sets(texts, ends(star), witnesses, bands, k, percent)
-    edges = _verify(star, sets, percent)
-    remove_written(sets)
+    written, sets = _sets(texts, ends(near), witnesses, bands, k, percent)
+    edges = _verify(near, sets, percent)
+    remove_written(written, near)
     roots = cut_lineage(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
     # whatever could still join two components
     slim = buckets.select("token", "rep", "place").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
@@ -274,16 +325,24 @@ def _classes(docs: DataFrame, k: int, percent: int, sketch_bits: int) -> tuple[D
     remove_written(buckets)
     mixed = slim.groupBy("token").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo != _hi").select("token")
     open_ = slim.join(mixed, "token", "left_semi")
-    one, two = (open_.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "place", "root")]) for x in "ab")
-    rest = one.join(two, (one["token"] == two["token"]) & (F.col("root_a") < F.col("root_b")) & fits("place_a", "place_b"))
+    # tokens met by the same classes make the same pairs; the first of them has the least place
+    lists = open_.groupBy("token").agg(F.xxhash64(F.bit_xor(F.xxhash64("rep")), F.count("*")).alias("list"))
+    merged = open_.join(lists, "token").groupBy("list", "rep", "root").agg(F.min("place").alias("place")).join(witnesses.select("rep", *_FOLDS), "rep")
+    one, two = (merged.select("list", *[F.col(c).alias(f"{c}_{x}") for c in ("rep", "place", "root", *_FOLDS)]) for x in "ab")
+    differ = functools.reduce(operator.add, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _FOLDS])
+    both = size("place_a") + size("place_b")
+    alike = (100 + percent) * (both - differ) >= 2 * percent * both
+    rest = one.join(two, (one["list"] == two["list"]) & (F.col("root_a") < F.col("root_b")) & fits("place_a", "place_b") & alike)
     rest = rest.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
     rest = cut_lineage(rest.join(star, ["a", "b"], "left_anti"), "pairs")
     remove_written(slim, star)
-    if not rest.isEmpty():
+    near = _alike(rest, witnesses, percent)
+    remove_written(rest)
+    if not near.isEmpty():
         # the components found so far are single nodes now
-        sets = _sets(texts, ends(rest), witnesses, bands, k, percent)
-        more = _verify(rest, sets, percent)
-        remove_written(sets)
+        written, sets = _sets(texts, ends(near), witnesses, bands, k, percent)
+        more = _verify(near, sets, percent)
+        remove_written(written, near)
         for side in ("a", "b"):
             more = more.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
         ends = cut_lineage(more.select(*[F.coalesce(f"r{x}", x).alias(y) for x, y in (("a", "u"), ("b", "v"))]), "links")
