@@ -45,7 +45,7 @@ from replyloom.session import cut_lineage, remove_written
 ORDERS = 3
 SKETCH_BITS = 21
 PARITY = 4
-FOLD = 256
+FOLD = 1024
 _SALTS = np.random.Generator(np.random.PCG64(77)).integers(1, 1 << 63, 8, dtype=np.uint64)
 
 
