@@ -4,6 +4,7 @@ import base64
 import collections
 import gzip
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -68,6 +69,30 @@ def test_unlike_texts_under_one_id_both_stay(spark):
     assert got.columns == crowded(documents(spark, [])).columns
 
 
+def test_parity_bits_bound_the_difference(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    sets = [base[:0], base[:1], base[:40], base[2:40], base[:300], base[10:310], base[:3000], base[900:4000], base]
+    n = np.array([len(x) for x in sets])
+    whole, folds = jaccard._parity(np.repeat(np.arange(len(sets)), n), np.concatenate(sets), n)
+    # numpy counts the bits of a signed number's absolute value, Spark those of its two's complement
+    folds = np.array([f.to_numpy().view(np.uint64) for f in folds]).T
+    assert spark.sql("select bit_count(-1L)").first()[0] == 64
+    bits = [np.frombuffer(x, np.uint8) for x in whole.to_pylist()]
+    pairs = list(itertools.combinations_with_replacement(range(len(sets)), 2))
+    for i, j in pairs:
+        short = min(len(bits[i]), len(bits[j]))
+        one, two = (np.bitwise_xor.reduce(bits[x].reshape(-1, short), axis=0) for x in (i, j))
+        differ = len(np.setxor1d(sets[i], sets[j]))
+        fine, coarse = int(np.bitwise_count(one ^ two).sum()), int(np.bitwise_count(folds[i] ^ folds[j]).sum())
+        assert coarse <= fine <= differ and (differ - fine) % 2 == 0
+    # the operator keeps every pair that reaches the similarity, and equal sets always
+    classes = spark.createDataFrame([(i, int(n[i]), bytearray(whole[i].as_py())) for i in range(len(sets))], "rep bigint, n bigint, parity binary")
+    kept = {tuple(r) for r in jaccard._alike(spark.createDataFrame(pairs, "a bigint, b bigint"), classes, 80).collect()}
+    near = {(i, j) for i, j in pairs if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert near <= kept and (6, 7) not in kept and (1, 2) not in kept
+
+
 @pytest.mark.parametrize("bits", [3, 14])
 def test_jaccard_groups_equal_brute_force(spark, bits):
     rng = random.Random(5)
