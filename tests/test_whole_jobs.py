@@ -17,5 +17,8 @@ def test_line_files_run_through_the_whole_table(spark, tmp_path):
     # the same user text in conversations that lie far apart
     rows = spark.range(0, 4000, 4).selectExpr("id AS conv_id", "1 AS turn", "'user' AS role", "'the very same request' AS text")
     rows.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = _checked(spark, tmp_path, "duplicate_users", "conversations")
+    assert {r.file for r in got} == {"part-0"} and len({r.first_line for r in got}) <= 2
+    assert len(got) > 500  # in files of twenty conversations: a few in each
     numbered = _checked(spark, tmp_path, "numbered_lines", "conversations")
     assert {r.file for r in numbered} == {"part-0"} and max(r.line_no for r in numbered) > 900
