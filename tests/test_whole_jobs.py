@@ -20,5 +20,7 @@ def test_line_files_run_through_the_whole_table(spark, tmp_path):
     got = _checked(spark, tmp_path, "duplicate_users", "conversations")
     assert {r.file for r in got} == {"part-0"} and len({r.first_line for r in got}) <= 2
     assert len(got) > 500  # in files of twenty conversations: a few in each
+    errors = _checked(spark, tmp_path, "validation_errors", "conversations")
+    assert sum(r.code == "duplicate_user" for r in errors) == len(got)
     numbered = _checked(spark, tmp_path, "numbered_lines", "conversations")
     assert {r.file for r in numbered} == {"part-0"} and max(r.line_no for r in numbered) > 900
