@@ -34,6 +34,12 @@ def _modes(spark, sf):
     return t.replay_modes(*_inputs(spark, sf, "cheap", "strong"))
 
 
+def _whole_micro(spark, sf):
+    """Small-model routing where every request has its embedding and its reply."""
+    reqs = d.requests(spark, sf)
+    return t.micro_route(d.slim(reqs), d.micro(reqs), d.replies(reqs, "cheap"))
+
+
 def _micro(spark, sf, **kw):
     reqs, replies = _inputs(spark, sf, "cheap")
     return t.micro_route(reqs, d.micro(d.requests(spark, sf)).filter(_EMBEDDED), replies, **kw)
@@ -519,8 +525,9 @@ def escalation_regret(spark, sf):
     "active_learning",
     _check(
         """SELECT request_id, kind, expected, micro_label, max_proba FROM microed
-        WHERE micro_label <> expected AND max_proba > 0.6"""
+        WHERE micro_label <> expected AND max_proba > 0.6""",
+        {k: RUNS_SQL[k].replace(f" AND {_RECORDED}", "").replace(f" WHERE {_EMBEDDED}", "") for k in ("fallback", "microed")},
     ),
 )
 def active_learning(spark, sf):
-    return t.active_learning(_micro(spark, sf))
+    return t.active_learning(_whole_micro(spark, sf))

@@ -24,3 +24,12 @@ def test_line_files_run_through_the_whole_table(spark, tmp_path):
     assert sum(r.code == "duplicate_user" for r in errors) == len(got)
     numbered = _checked(spark, tmp_path, "numbered_lines", "conversations")
     assert {r.file for r in numbered} == {"part-0"} and max(r.line_no for r in numbered) > 900
+
+
+def test_active_learning_asks_every_request(spark, tmp_path):
+    events = spark.range(5, 43 * 400, 43).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01 00:00:00' AS ts", "id % 50 AS user_id", "'other' AS event_type", "1.0D AS value", "concat('{\"k\": ', id % 33 * 3, '}') AS props"
+    )
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = _checked(spark, tmp_path, "active_learning", "events")
+    assert got and {r.request_id % 43 for r in got} == {5}
