@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Bucketizer, HashingTF, NGram, RegexTokenizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from replyloom.domain import EMBED_MODEL, INTENTS
 from replyloom.functions.numeric import half_even
 from replyloom.functions.settle import settle
-from replyloom.functions.text import domain_code
+from replyloom.functions.text import domain_code, murmur3
 from replyloom.session import cut_lineage
 
 # Inverse regularisation strength and iteration limit of the fit.
@@ -32,13 +35,64 @@ def with_features(df: DataFrame, embedding: str = "embedding") -> DataFrame:
 
 
 def text_features(df: DataFrame, text: str = "text", n: int = 3, dims: int = 1 << 12) -> DataFrame:
-    """Hashed character n-grams, for when no vectors are at hand."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_chars", pattern="", toLowercase=True, minTokenLength=1),
-        NGram(n=n, inputCol="_chars", outputCol="_grams"),
-        HashingTF(numFeatures=dims, inputCol="_grams", outputCol="features"),
-    ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop("_chars", "_grams")
+    """Hashed character n-grams of the lower-cased text, for when no vectors are at hand. Characters are code
+    points; a NULL text has none. The vectors are those that ``HashingTF`` makes of the grams of ``NGram``: a
+    gram is its characters with a space between."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            parts = [_gram_counts(batch[at : at + _TEXTS], n, dims, known) for at in range(0, len(batch), _TEXTS)]
+            yield pa.concat_arrays(parts)
+
+    lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return settle(df, {"features": F.arrow_udf(run, VectorUDT())(lowered)})
+
+
+#: Texts counted at a time, and codes that are numbered by a table.
+_TEXTS, _TABLE = 256, 1 << 22
+
+
+def _numbered(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of ``codes`` below ``size``, and the place of each code among them."""
+    if size > _TABLE:
+        return np.unique(codes, return_inverse=True)
+    place = np.zeros(size, np.int32)
+    place[codes] = 1
+    distinct = np.flatnonzero(place)
+    place[distinct] = np.arange(len(distinct))
+    return distinct, place[codes]
+
+
+def _gram_counts(texts: pa.Array, n: int, dims: int, known: dict[str, int]) -> pa.StructArray:
+    """Sparse vectors, as Spark stores them, of how often the n-grams of each text fall on each dimension."""
+    plain = texts.to_pylist()
+    points = np.frombuffer("".join(plain).encode("utf-32-le"), "<u4").astype(np.int64)
+    doc = np.repeat(np.arange(len(plain)), [len(t) for t in plain])
+    chars, char = _numbered(points, 0x110000)
+    letters = [chr(c) for c in chars.tolist()]
+    size = max(len(points) - n + 1, 0)
+    inside = doc[:size] == doc[len(doc) - size :]
+    # grams of one character more each time
+    grams, gram = letters, char[:size][inside]
+    for k in range(1, n):
+        pairs, gram = _numbered(gram.astype(np.int64) * len(letters) + char[k : k + size][inside], len(grams) * len(letters))
+        grams = [f"{grams[p // len(letters)]} {letters[p % len(letters)]}" for p in pairs.tolist()]
+    if len(known) > _TABLE // 8:
+        known.clear()
+    for g in grams:
+        if g not in known:
+            known[g] = murmur3(g.encode()) % dims
+    found = np.bincount(doc[:size][inside] * dims + np.array([known[g] for g in grams], np.int64)[gram], minlength=len(plain) * dims)
+    at = np.flatnonzero(found)
+    ends = pa.array(np.searchsorted(at, np.arange(len(plain) + 1) * dims), pa.int32())
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(np.zeros(len(plain), np.int8)), pa.array(np.full(len(plain), dims, np.int32)),
+            pa.ListArray.from_arrays(ends, pa.array((at % dims).astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(found[at].astype(float))),
+        ],
+        names=["type", "size", "indices", "values"],
+    )
 
 
 @dataclass

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from replyloom.domain import EMBED_MODEL, INTENTS
@@ -100,7 +99,8 @@ def micro_predict(spark, sf):
 def text_features(spark, sf):
     """Hashed character 3-grams of every whole text; their counts sum to their number."""
     docs = d.table(spark, sf, "documents").select("doc_id", "text")
-    counts = vector_to_array("features")
+    # the counts that are there; all other dimensions are 0
+    counts = F.unwrap_udt("features")["values"]
     return m.text_features(docs).select(
         "doc_id", F.aggregate(counts, F.lit(0.0), lambda s, v: s + v).alias("n_grams")
     )
