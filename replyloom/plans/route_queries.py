@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window as W, functions as F, types as T
 
 from replyloom.domain import ROUTED_ROW
 from replyloom.functions.numeric import half_even
@@ -294,14 +294,13 @@ def _write_documents(spark, rows, mode):
     """Documents ``{mode, config, results}`` of up to 4,000 requests each: (request_id, row)."""
     path = shared_folder(spark, "documents")
     key = F.col("request_id")
-    placed = rows.withColumn("doc", F.floor(key / 4000))
-    # the row that comes first in its document has no comma before it
-    first = placed.groupBy("doc").agg(F.min("request_id").alias("first"))
-    text = F.concat(F.when(key == F.col("first"), "").otherwise(","), F.to_json("row", {"ignoreNullFields": "false"}))
-    body = placed.join(first, "doc").select("doc", key.alias("place"), text.alias("value"))
-    head = first.select("doc", (F.col("first") - 1).alias("place"), F.lit(f'{{"mode": "{mode}", "config": {{"note": "}} \\" ]", "list": [1, 2]}}, "results": [').alias("value"))
-    foot = first.select("doc", F.lit(2**62).alias("place"), F.lit("]}").alias("value"))
-    lines = head.unionByName(body).unionByName(foot).repartition("doc").sortWithinPartitions("doc", "place")
+    placed = rows.withColumn("doc", F.floor(key / 4000)).filter("doc is not null")
+    # one shuffle: the rows of a document in order, its head before the first, its foot after the last
+    order = W.partitionBy("doc").orderBy("request_id")
+    head = f'{{"mode": "{mode}", "config": {{"note": "}} \\" ]", "list": [1, 2]}}, "results": [\n'
+    begin = F.when(F.lag(F.lit(1)).over(order).isNull(), head).otherwise(",")
+    end = F.when(F.lead(F.lit(1)).over(order).isNull(), "\n]}").otherwise("")
+    lines = placed.select("doc", F.concat(begin, F.to_json("row", {"ignoreNullFields": "false"}), end).alias("value"))
     lines.select("doc", "value").write.partitionBy("doc").text(path)
     return path
 
