@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import MapType
 
 from replyloom.llm import words as W
-from replyloom.llm.common import per_batch, two_columns
+from replyloom.llm.common import giving_back, per_batch, two_columns
 from replyloom.llm.components import components
 from replyloom.session import cut_lineage, remove_written
 
@@ -92,7 +92,7 @@ def sketch(texts: DataFrame, k: int, bits: int) -> np.ndarray:
         return pa.table({"segment": group.column("segment")[:1], "lane": group.column("lane")[:1], "counts": pa.array([out], pa.binary())})
 
     schema = "segment int, lane int, counts binary"
-    lanes = texts.select("text").mapInArrow(count, schema).groupBy("segment", "lane").applyInArrow(add, schema)
+    lanes = texts.select("text").mapInArrow(giving_back(count), schema).groupBy("segment", "lane").applyInArrow(add, schema)
     got = lanes.groupBy("segment").applyInArrow(add, schema).toArrow()
     total = np.zeros((1 << part_bits, width), np.uint32)
     for seg, x in zip(got.column("segment").to_pylist(), got.column("counts").to_pylist(), strict=True):
@@ -229,7 +229,7 @@ def _alike(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(np.flatnonzero((100 + percent) * (both - differ) >= 2 * percent * both))
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok)], names=["a", "b"])
 
-    return cut_lineage(pairs.select("a", "b", "_xn", "_yn", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "alike", arrow_rows=64)
+    return cut_lineage(pairs.select("a", "b", "_xn", "_yn", "_x", "_y").mapInArrow(giving_back(run), "a bigint, b bigint"), "alike", arrow_rows=64)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -258,7 +258,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(np.flatnonzero(100 * both >= percent * (nx + ny - both)))
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(ok), batch.column("b").take(ok)], names=["a", "b"])
 
-    links = cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(run, "a bigint, b bigint"), "links", arrow_rows=64)
+    links = cut_lineage(joined.select("a", "b", "_x", "_y").mapInArrow(giving_back(run), "a bigint, b bigint"), "links", arrow_rows=64)
     remove_written(near)
     return links
 
