@@ -30,11 +30,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from replyloom.llm.common import per_batch, two_columns
+from replyloom.llm.common import give_back, per_batch, two_columns
 
 MAX_LEN = 1024
 END_ID = 0
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 64 << 20
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 _NAMES = ("\0", "<|endoftext|>")
 _JOIN = 256
@@ -169,6 +169,8 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     if path not in _cache:
         _cache[path] = Encoder(path)
+        # reading the file leaves several times what is kept
+        give_back()
     return _cache[path]
 
 
@@ -197,7 +199,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, max_len: int = MAX_LEN,
         longs = [pa.array(x, pa.int64()) for x in (ids, starts, lengths, totals)]
         return pa.RecordBatch.from_arrays([*longs, pa.array(data, pa.binary())], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    pieces = two_columns(docs).mapInArrow(per_batch(run, 2 << 20), PIECES)
+    pieces = two_columns(docs).mapInArrow(per_batch(run, 1 << 20), PIECES)
     return pieces.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("bigint"))
 
 
