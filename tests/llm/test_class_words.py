@@ -2,10 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from corpus_cases import crowded, documents
 
 from replyloom.llm import classlm
+from replyloom.session import _written
 
 
 def ids(held):
@@ -74,3 +76,16 @@ def test_top_words_move_as_with_all_bigrams():
     assert (got == want[k:]).all() and (got != cls).any()
     member = np.eye(k, dtype=np.int64)[want]
     assert (n == member.T @ units @ member).all()
+
+
+def test_small_blocks_change_nothing_and_are_held_few_at_a_time(spark, monkeypatch):
+    data = [(i, t, None, None) for i, t in enumerate(corpus()[100:220])] + [(None, "red alone", None, None), (5, "", None, None), (6, None, None, None)]
+    docs = crowded(documents(spark, data))
+    key = lambda r: (r.doc_id is None, r.doc_id, r.n_tokens, round(r.base_score, 6), round(r.score, 6))
+    want = sorted(map(key, classlm.score(docs).collect()), key=repr)
+    monkeypatch.setattr(classlm, "BLOCK_BYTES", 300)
+    parts = classlm.blocks(docs, 7, 2)
+    assert parts.count() > 40
+    files = [f.removeprefix("file:").replace("//", "/") for f in parts.inputFiles()]
+    assert _written[parts] and max(g for f in files for m in [pq.ParquetFile(f).metadata] for g in (m.row_group(i).num_rows for i in range(m.num_row_groups))) <= 4
+    assert sorted(map(key, classlm.score(docs).collect()), key=repr) == want
